@@ -117,7 +117,7 @@ def check_schema(df: DataFrame, expected: Sequence[str], name: str = "schema") -
     absent, present = missing_columns(df, expected)
     found = f"missing: {', '.join(absent) or 'none'}; expected {len(set(expected))}, found {len(present)}"
     value = F.lit(found if expected else "no mapped columns")
-    return _rows(df.limit(0), [_result(name, WARN, F.lit(not absent), "missing_columns", value)])
+    return _rows(df, [_result(name, WARN, F.lit(not absent), "missing_columns", value)])
 
 
 def check_freshness(state: DataFrame, as_of, max_hours: int | Column) -> DataFrame:

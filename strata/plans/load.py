@@ -192,6 +192,12 @@ def publish(df: DataFrame, table: str, folder: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The newest published version of a table, also when another session published it."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def merge_partitions(
     spark: SparkSession,
     path: str,
@@ -239,17 +245,17 @@ def execute_load(
     the next run, which the upsert makes harmless.
     """
     try:
-        state = spark.table(state_table)
+        state = current(spark, state_table)
         raw = extract(spark, spec, *extraction_window(spec, current_watermark(state, spec), run_ts))
-        result = run_load(raw, spark.table(target_table), state, spec, run_ts, stage=True)
+        result = run_load(raw, current(spark, target_table), state, spec, run_ts, stage=True)
         if result.status == "success":
             publish(result.target, target_table, f"{folder}/{target_table}")
         publish(result.state, state_table, f"{folder}/{state_table}")
-        return LoadResult(spark.table(target_table), spark.table(state_table), result.stats, result.status)
+        return LoadResult(current(spark, target_table), current(spark, state_table), result.stats, result.status)
     except Exception as error:
         failed = _one_key(spark, spec).withColumns(
             {"status": F.lit("failed"), "error_message": F.lit(str(error))}
         )
-        after = watermark_set_status(spark.table(state_table), failed, run_ts)
+        after = watermark_set_status(current(spark, state_table), failed, run_ts)
         publish(after, state_table, f"{folder}/{state_table}")
         raise

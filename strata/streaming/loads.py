@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.merge import merge_upsert
-from strata.plans.load import merge_partitions, publish
+from strata.plans.load import current, merge_partitions, publish
 from strata.specs import key_list
 
 SALTS = 32
@@ -23,7 +23,7 @@ def table_sink(table: str, folder: str, keys: str | Sequence[str], order_by: str
     """Upsert into a catalog table by publishing a new version of it."""
 
     def upsert(batch: DataFrame) -> None:
-        publish(merge_upsert(batch.sparkSession.table(table), batch, keys, order_by), table, folder)
+        publish(merge_upsert(current(batch.sparkSession, table), batch, keys, order_by), table, folder)
 
     return upsert
 
