@@ -28,12 +28,12 @@ def warehouse_ts(column: str | Column) -> Column:
     is cut to eight characters, which also removes a negative offset. Missing seconds are not added.
     """
     text = F.regexp_replace(_col(column).cast("string"), r"^\s+|\s+$", "")
-    bare = F.translate(text, "Zz", "")
-    cut = F.when(F.instr(bare, "T") > 0, F.instr(bare, "T")).otherwise(F.instr(bare, " "))
-    day = F.when(cut > 0, F.substring(bare, F.lit(1), cut - 1)).otherwise(bare)
-    rest = F.when(cut > 0, F.substring(bare, cut + 1, F.length(bare))).otherwise("00:00:00")
-    time = F.substring(F.substring_index(F.substring_index(rest, ".", 1), "+", 1), 1, 8)
-    return F.when(text.isNull() | (text == ""), EPOCH_TEXT).otherwise(F.concat_ws(" ", day, time))
+    # Day and time are split at the first T or, in text without a T, at the first blank; the time
+    # ends at a fraction, a plus sign or after eight characters.
+    split = r"(?s)^(?:([^T]*)T|([^T ]*) (?=[^T]*$))([^.+]{0,8}).*$"
+    both = F.regexp_replace(F.translate(text, "Zz", ""), split, "$1$2 $3")
+    full = F.regexp_replace(both, r"^([^ ]*)$", "$1 00:00:00")
+    return F.when(text.isNull() | (text == ""), EPOCH_TEXT).otherwise(full)
 
 
 def null_zero_date(column: str | Column, empty_is_null: bool = False) -> Column:

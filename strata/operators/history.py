@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strata.functions.keys import any_null
 from strata.functions.time import clock
 from strata.operators.dedup import dedup_latest
-from strata.operators.sizing import hot_keys
+from strata.operators.sizing import hot_keys, key_piece, piece
 from strata.specs import key_list
 
 # Rows of a hot key handled by one task, as a share of the table: a key with a third of all rows
@@ -74,18 +74,20 @@ def _snapshot(history, source, keys, order_by, opened, changed, run_ts, hard_del
     added = [f for f in latest.schema if f.name not in history.columns]
     history = history.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else history
 
-    # Closed versions and versions without a key cannot change: they bypass the join.
-    loose = any_null(names)
-    settled = history.filter(F.col("valid_to").isNotNull() | loose)
-    current = history.filter(F.col("valid_to").isNull() & ~loose)
+    # Closed versions cannot change any more: they bypass the join.
+    settled = history.filter(F.col("valid_to").isNotNull())
+    current = history.filter(F.col("valid_to").isNull())
 
-    h = current.withColumn("_old", F.lit(True)).alias("h")
-    s = latest.filter(~loose).withColumn("_opened", opened).withColumn("_new", F.lit(True)).alias("s")
-    joined = h.join(s, [F.col(f"h.`{k}`") == F.col(f"s.`{k}`") for k in names], "full_outer")
+    # A version or a source row without a key matches nothing: the version stays as it is, and each
+    # look at the source opens the row anew.
+    h = current.withColumns({"_old": F.lit(True), "_piece": key_piece(names)}).alias("h")
+    s = latest.withColumns({"_opened": opened, "_new": F.lit(True), "_piece": key_piece(names)}).alias("s")
+    joined = h.join(s, [F.col(f"h.`{k}`") == F.col(f"s.`{k}`") for k in [*names, "_piece"]], "full_outer")
 
     in_history, in_source = F.col("h._old").isNotNull(), F.col("s._new").isNotNull()
+    keyed = ~any_null([F.col(f"h.`{k}`") for k in names])
     replaced = in_history & in_source & changed
-    gone = in_history & ~in_source if hard_deletes else F.lit(False)
+    gone = in_history & ~in_source & keyed if hard_deletes else F.lit(False)
     attributes = [c for c in history.columns if c not in ("valid_from", "valid_to")]
     stays = F.struct(
         *[F.col(f"h.`{c}`").alias(c) for c in attributes],
@@ -100,9 +102,7 @@ def _snapshot(history, source, keys, order_by, opened, changed, run_ts, hard_del
     # One joined row gives the old version, the new version or both.
     versions = F.array(F.when(in_history, stays), F.when(in_source & (~in_history | replaced), opens))
     moved = joined.select(F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("v")).select("v.*")
-    # A source row without a key matches nothing, so each look at the source opens it anew.
-    unkeyed = first_snapshot(latest.filter(loose), opened)
-    return settled.unionByName(moved).unionByName(unkeyed, allowMissingColumns=True).select(*history.columns)
+    return settled.unionByName(moved).select(*history.columns)
 
 
 def time_slices(
@@ -235,11 +235,9 @@ def asof_join(
     loose = any_null(names) | F.col(ts).isNull()
     at = F.col(ts).cast("timestamp_ntz")
 
-    fact_row = F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_fact")
-    version = F.struct(*attributes, F.col("valid_to")).alias("_version")
-    left = facts.filter(~loose).select(
-        *names, _slice_of(at, names, slices).alias("_slice"), at.alias("_at"), F.lit(1).alias("_kind"), fact_row
-    )
+    # Facts without a key or a time match nothing; negative slices hold no versions.
+    part = F.when(loose, -1 - piece()).otherwise(_slice_of(at, names, slices))
+    left = facts.withColumns({"_slice": part, "_at": at, "_kind": F.lit(1)})
     start, stop = F.col("valid_from").cast("timestamp_ntz"), F.col("valid_to").cast("timestamp_ntz")
     spans = history.filter(~any_null(names))
     if slices:
@@ -248,6 +246,7 @@ def asof_join(
         spans = spans.withColumn("_slice", F.explode(F.sequence(first, F.greatest(first, last))))
     else:
         spans = spans.withColumn("_slice", F.lit(0))
+    version = F.struct(*attributes, stop.alias("valid_to")).alias("_version")
     right = spans.select(*names, "_slice", start.alias("_at"), F.lit(0).alias("_kind"), version)
 
     # At equal times the version comes first, so it is already valid for the fact.
@@ -255,14 +254,10 @@ def asof_join(
         Window.partitionBy(*names, "_slice").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     )
     stacked = left.unionByName(right, allowMissingColumns=True)
-    matched = stacked.withColumn("_seen", F.last("_version", ignorenulls=True).over(running)).filter(
-        F.col("_kind") == 1
-    )
-    valid = F.col("_seen.valid_to").isNull() | (F.col("_at") < F.col("_seen.valid_to").cast("timestamp_ntz"))
-    joined = matched.select(
-        "_fact.*", *[F.when(valid, F.col(f"_seen.`{a}`")).alias(a) for a in attributes]
-    )
-    return joined.unionByName(facts.filter(loose), allowMissingColumns=True)
+    seen = F.last("_version", ignorenulls=True).over(running)
+    matched = stacked.withColumn("_seen", seen).filter(F.col("_kind") == 1)
+    valid = F.col("_seen.valid_to").isNull() | (F.col("_at") < F.col("_seen.valid_to"))
+    return matched.select(*facts.columns, *[F.when(valid, F.col(f"_seen.`{a}`")).alias(a) for a in attributes])
 
 
 def dim_scd1(source: DataFrame, keys: str | Sequence[str], columns: Sequence[str], order_by: str) -> DataFrame:

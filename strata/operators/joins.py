@@ -8,13 +8,9 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from strata.functions.keys import any_null
-from strata.operators.sizing import fits_broadcast, hot_keys
+from strata.operators.sizing import PIECES, fits_broadcast, hot_keys, piece
 from strata.specs import key_list
 
-# Pieces a hot key is cut into.
-SALTS = 64
-
-
 def left_lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -26,7 +22,7 @@ def left_lookup(
     """Add dimension columns to facts; facts without a match keep NULLs.
 
     A dimension that measures small is broadcast. A larger one is joined by shuffle, where facts of
-    hot keys and facts without a key are spread over :data:`SALTS` pieces; only the few dimension
+    hot keys and facts without a key are spread over several pieces; only the few dimension
     rows of hot keys are copied to every piece.
     """
     names = key_list(keys)
@@ -42,12 +38,10 @@ def left_lookup(
         for k in names:
             same = same & (F.col(k) == F.lit(row[k]))
         is_hot = is_hot | same
-    # The salt is the input partition: the same on a task retry, and it also spreads equal rows.
-    piece = F.pmod(F.spark_partition_id(), F.lit(SALTS))
-    salted = facts.withColumn("_salt", F.when(any_null(names) | is_hot, piece).otherwise(0))
-    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copies = side.withColumn("_salt", F.explode(pieces))
-    return salted.join(copies, [*names, "_salt"], "left").select(*facts.columns, *columns)
+    spread = facts.withColumn("_piece", F.when(any_null(names) | is_hot, piece()).otherwise(0))
+    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))
+    copies = side.withColumn("_piece", F.explode(pieces))
+    return spread.join(copies, [*names, "_piece"], "left").select(*facts.columns, *columns)
 
 
 def left_join_agg(

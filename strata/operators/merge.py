@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import any_null
 from strata.functions.time import clock
 from strata.operators.align import align_by_name, column_intersect, find_column, widened
 from strata.operators.dedup import dedup_latest
 from strata.operators.mapping import drop_etl_columns
+from strata.operators.sizing import key_piece
 from strata.specs import key_list
 
 
@@ -36,8 +36,8 @@ def merge_upsert(
     * The batch is deduplicated first (newest ``order_by`` wins).
     * On a match every common non-key column takes the batch value, NULL included; columns in
       ``insert_only`` and columns the batch lacks keep the target value.
-    * A NULL in any key part never matches: such batch rows are inserted. They take no part in the
-      join, so a mass of NULL keys cannot pile up in one task.
+    * A NULL in any key part never matches: such batch rows are inserted. Rows without a key are
+      spread over several tasks, so a mass of them cannot pile up in one.
     * ``new_columns`` adds columns only the batch has, NULL for untouched rows.
     * ``small_batch`` is a promise that the batch was measured and fits a broadcast (see
       :func:`strata.operators.sizing.fits_broadcast`); then the target is not shuffled at all.
@@ -54,12 +54,8 @@ def merge_upsert(
     names = [find_column(k, batch.columns) for k in names]
     new = dedup_latest(batch, names, order_by)
 
-    loose = any_null(names)
     join = _broadcast_merge if small_batch else _shuffle_merge
-    merged = join(old.filter(~loose), new.filter(~loose), names, insert_only)
-    kept = old.filter(loose)
-    inserted = align_by_name(new.filter(loose), schema)
-    return merged.select(*schema.names).unionByName(kept).unionByName(inserted)
+    return join(old, new, names, insert_only).select(*schema.names)
 
 
 def _merged_column(name: str, in_batch: bool, insert_only: Sequence[str], new_row: Column, old_row: Column) -> Column:
@@ -79,9 +75,9 @@ def _same_key(keys: Sequence[str]) -> list[Column]:
 
 def _shuffle_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], insert_only: Sequence[str]) -> DataFrame:
     # Presence is a flag of its own: any value column may be NULL in a row that exists.
-    t = old.withColumn("_old", F.lit(True)).alias("t")
-    s = new.withColumn("_new", F.lit(True)).alias("s")
-    joined = t.join(s, _same_key(keys), "full_outer")
+    t = old.withColumns({"_old": F.lit(True), "_piece": key_piece(keys)}).alias("t")
+    s = new.withColumns({"_new": F.lit(True), "_piece": key_piece(keys)}).alias("s")
+    joined = t.join(s, _same_key([*keys, "_piece"]), "full_outer")
     new_row, old_row = F.col("s._new").isNotNull(), F.col("t._old").isNotNull()
     columns = [
         F.coalesce(F.col(f"t.`{c}`"), F.col(f"s.`{c}`")).alias(c)

@@ -11,11 +11,28 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.functions.keys import any_null
+
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is hot when it holds this share of a table, and the table is large enough to care.
 HOT_SHARE = 0.01
 HOT_MIN_ROWS = 5_000_000
+# Pieces that rows of one hot key, or rows without a key, are spread over.
+PIECES = 64
+
+
+def piece() -> Column:
+    """A piece number that also tells equal rows apart.
+
+    It is the number of the input partition, so a repeated task gives its rows the same piece again.
+    """
+    return F.pmod(F.spark_partition_id(), F.lit(PIECES))
+
+
+def key_piece(keys: Sequence[str]) -> Column:
+    """An extra join key: 0 for rows with a key, a piece for rows without one, which match nothing."""
+    return F.when(any_null(keys), piece()).otherwise(0)
 
 
 def row_bytes(schema: T.StructType) -> Column:
