@@ -11,7 +11,7 @@ from strata.functions.time import clock
 from strata.operators.align import align_by_name, column_intersect, find_column, widened
 from strata.operators.dedup import dedup_latest
 from strata.operators.mapping import drop_etl_columns
-from strata.operators.sizing import key_piece
+from strata.operators.sizing import fits_broadcast, key_piece
 from strata.specs import key_list
 
 
@@ -30,6 +30,7 @@ def merge_upsert(
     insert_only: Sequence[str] = ("inserted_at",),
     new_columns: bool = False,
     small_batch: bool = False,
+    co_located: bool = False,
 ) -> DataFrame:
     """Upsert a batch into a target by primary key and return the new target.
 
@@ -39,8 +40,11 @@ def merge_upsert(
     * A NULL in any key part never matches: such batch rows are inserted. Rows without a key are
       spread over several tasks, so a mass of them cannot pile up in one.
     * ``new_columns`` adds columns only the batch has, NULL for untouched rows.
-    * ``small_batch`` is a promise that the batch was measured and fits a broadcast (see
-      :func:`strata.operators.sizing.fits_broadcast`); then the target is not shuffled at all.
+    * ``small_batch`` asks to join by broadcast, so that the target is not shuffled at all. The batch
+      is measured first and joined by shuffle after all if it is too large; it is read several times
+      and should be a staged table.
+    * ``co_located`` is for a target bucketed by exactly its key (see
+      :func:`strata.plans.load.publish`): its buckets are joined as they lie and only the batch moves.
 
     Keys are unique on both sides of the join, so no join partition can be skewed.
     """
@@ -54,8 +58,12 @@ def merge_upsert(
     names = [find_column(k, batch.columns) for k in names]
     new = dedup_latest(batch, names, order_by)
 
-    join = _broadcast_merge if small_batch else _shuffle_merge
-    return join(old, new, names, insert_only).select(*schema.names)
+    if small_batch and fits_broadcast(new):
+        merged = _broadcast_merge(old, new, names, insert_only)
+    else:
+        # The extra join key that spreads rows without a key would not fit the buckets.
+        merged = _shuffle_merge(old, new, names, insert_only, spread=not co_located)
+    return merged.select(*schema.names)
 
 
 def _merged_column(name: str, in_batch: bool, insert_only: Sequence[str], new_row: Column, old_row: Column) -> Column:
@@ -73,11 +81,14 @@ def _same_key(keys: Sequence[str]) -> list[Column]:
     return [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys]
 
 
-def _shuffle_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], insert_only: Sequence[str]) -> DataFrame:
+def _shuffle_merge(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], insert_only: Sequence[str], spread: bool
+) -> DataFrame:
     # Presence is a flag of its own: any value column may be NULL in a row that exists.
-    t = old.withColumns({"_old": F.lit(True), "_piece": key_piece(keys)}).alias("t")
-    s = new.withColumns({"_new": F.lit(True), "_piece": key_piece(keys)}).alias("s")
-    joined = t.join(s, _same_key([*keys, "_piece"]), "full_outer")
+    extra = {"_piece": key_piece(keys)} if spread else {}
+    t = old.withColumns({"_old": F.lit(True), **extra}).alias("t")
+    s = new.withColumns({"_new": F.lit(True), **extra}).alias("s")
+    joined = t.join(s, _same_key([*keys, *extra]), "full_outer")
     new_row, old_row = F.col("s._new").isNotNull(), F.col("t._old").isNotNull()
     columns = [
         F.coalesce(F.col(f"t.`{c}`"), F.col(f"s.`{c}`")).alias(c)

@@ -12,8 +12,8 @@ from strata.functions.keys import surrogate_key
 # First day of the calendar and days it runs past the clock.
 DEFAULT_START = dt.date(2020, 1, 1)
 DAYS_AHEAD = 365
-# A calendar is generated by one task and joined by broadcast; a thousand years stay small.
-MAX_DAYS = 366_000
+# A calendar stays small: two hundred years at most.
+MAX_DAYS = 73_050
 
 
 def _day(value) -> dt.date:

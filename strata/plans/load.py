@@ -21,7 +21,6 @@ from strata.operators.incremental import as_timestamp
 from strata.operators.mapping import filter_watermark, map_fields
 from strata.operators.merge import full_refresh, merge_upsert
 from strata.operators.quality import load_stats
-from strata.operators.sizing import fits_broadcast
 from strata.operators.watermarks import (
     STATE_KEY,
     STATE_SCHEMA,
@@ -166,23 +165,38 @@ def run_load(
     batch, stats = prepare_batch(raw, spec, watermark, run_ts)
     if stage:
         batch = staged(batch, spec.name)
-        merge_options.setdefault("small_batch", fits_broadcast(batch))
+        merge_options.setdefault("small_batch", True)
     return load_batch(target, batch, spec, started, run_ts, stats, **merge_options)
 
 
-def publish(df: DataFrame, table: str, folder: str) -> None:
+def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequence[str] = ()) -> None:
     """Make ``df`` the new content of a catalog table, which ``df`` may be reading.
 
     The content goes to a new folder below ``folder`` and the table is then pointed at it, so the
     switch is one catalog change: readers see the old or the new version, and a failed write leaves
     the old one in place. Old versions stay until their folders are removed.
+
+    ``buckets`` stores the table bucketed and sorted by ``keys``; upserts by exactly these keys then
+    leave the table's rows where they are. It is for tables whose rows all have a key: rows without
+    one would share a bucket.
     """
     spark = df.sparkSession
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not spark.catalog.tableExists(table):
-        spark.catalog.createTable(table, path, "parquet", df.schema)
-        return
+    version = uuid.uuid4().hex
+    path = f"{folder.rstrip('/')}/{version}"
+    if buckets:
+        # One task and one file per bucket.
+        rows = df.repartition(buckets, *keys)
+        writer = rows.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path)
+        name = f"{table}_{version}" if spark.catalog.tableExists(table) else table
+        writer.saveAsTable(name)
+        if name == table:
+            return
+        spark.sql(f"DROP TABLE {name}")  # only the entry: the files belong to the path
+    else:
+        df.write.parquet(path)
+        if not spark.catalog.tableExists(table):
+            spark.catalog.createTable(table, path, "parquet", df.schema)
+            return
     known = {f.name.lower() for f in spark.table(table).schema}
     added = [f for f in df.schema if f.name.lower() not in known]
     if added:

@@ -15,13 +15,9 @@ from strata.specs import key_list
 
 
 def join_date(fact: DataFrame, calendar: DataFrame, created_at: str) -> DataFrame:
-    """Add ``date_sk`` for the day of a timestamp; NULL outside the calendar.
-
-    The calendar is broadcast: its size is bounded when it is built.
-    """
-    days = calendar.select("date_day", "date_sk")
-    on = F.col(created_at).cast("date") == F.col("date_day")
-    return fact.join(F.broadcast(days), on, "left").drop("date_day")
+    """Add ``date_sk`` for the day of a timestamp; NULL outside the calendar."""
+    dated = fact.withColumn("date_day", F.col(created_at).cast("date"))
+    return left_lookup(dated, calendar, "date_day", ["date_sk"]).drop("date_day")
 
 
 def fct_build(
@@ -51,8 +47,7 @@ def obt_build(
     The date comes first, so a recent-days filter thins the fact before the other joins.
     ``lookups`` are (dimension, key, columns).
     """
-    days = F.broadcast(calendar.select("date_sk", *calendar_columns))
-    wide = fact.join(days, "date_sk", "left")
+    wide = left_lookup(fact, calendar, "date_sk", calendar_columns)
     if recent_days is not None:
         wide = limit_recent(wide, "date_day", as_of, recent_days)
     for dim, key, columns in lookups:

@@ -47,11 +47,14 @@ DIRTY = """dirty AS (
   FROM events)"""
 
 
+# Added to a key to make it one the target does not have.
+NEW_KEY = 1_000_000_000
+
+
 def events_target(spark: SparkSession, d: str) -> DataFrame:
-    """Two thirds of the events, as loaded the day before the clock."""
+    """All events, as loaded the day before the clock."""
     return (
         table(spark, d, "events")
-        .filter(F.col("event_id") % 3 != 0)
         .select("event_id", "ts", "user_id", "event_type", "value", F.lit("old").alias("note"))
         .withColumn("inserted_at", clock("2024-01-30 00:00:00"))
     )
@@ -59,24 +62,35 @@ def events_target(spark: SparkSession, d: str) -> DataFrame:
 
 TARGET = """tgt AS (
   SELECT event_id, ts, user_id, event_type, value, 'old' AS note, TIMESTAMP '2024-01-30 00:00:00' AS inserted_at
-  FROM events WHERE event_id % 3 <> 0)"""
+  FROM events)"""
 
 
-def events_staging(spark: SparkSession, d: str, tie: bool = False) -> DataFrame:
-    """Half of the events with changed values, every fifth of them twice: an hour older, or at the same time."""
-    half = table(spark, d, "events").filter(F.col("event_id") % 2 == 0)
-    new = half.select(
-        "event_id", "ts", "user_id", "event_type", F.when(F.col("event_id") % 7 != 0, F.col("value") + 1).alias("value")
-    )
-    again = new.filter(F.col("event_id") % 10 == 0).withColumns(
-        {"ts": F.col("ts") if tie else F.col("ts") - F.expr("INTERVAL 1 HOUR"), "value": F.col("value") + 100}
+def restage(events: DataFrame, tie: bool = False) -> DataFrame:
+    """A batch made of all events: even ids come again with changed values, odd ids come as new ids.
+
+    Every tenth id comes twice, the copy an hour older or, for ``tie``, at the same time.
+    """
+    i = F.col("event_id")
+    copies = F.when(i % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = events.withColumn("copy", F.explode(copies))
+    older = F.when(F.col("copy") == 1, F.col("ts") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
+    return rows.select(
+        F.when(i % 2 == 0, i).otherwise(i + NEW_KEY).alias("event_id"),
+        (F.col("ts") if tie else older).alias("ts"),
+        "user_id",
+        "event_type",
+        F.when(i % 7 != 0, F.col("value") + 1 + 100 * F.col("copy")).alias("value"),
+        clock(AS_OF).alias("inserted_at"),
     )
-    return new.unionByName(again).withColumn("inserted_at", clock(AS_OF))
+
+
+def events_staging(spark: SparkSession, d: str, tie: bool = False) -> DataFrame:
+    return restage(table(spark, d, "events"), tie)
 
 
 STAGING = """stg AS (
-  SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 7 <> 0 THEN value + 1 END AS value,
-    TIMESTAMP '2024-01-31 00:00:00' AS inserted_at FROM events WHERE event_id % 2 = 0
+  SELECT CASE WHEN event_id % 2 = 0 THEN event_id ELSE event_id + 1000000000 END AS event_id, ts, user_id, event_type,
+    CASE WHEN event_id % 7 <> 0 THEN value + 1 END AS value, TIMESTAMP '2024-01-31 00:00:00' AS inserted_at FROM events
   UNION ALL
   SELECT event_id, ts - INTERVAL 1 HOUR, user_id, event_type, CASE WHEN event_id % 7 <> 0 THEN value + 1 + 100 END,
     TIMESTAMP '2024-01-31 00:00:00' FROM events WHERE event_id % 10 = 0)"""
@@ -150,33 +164,29 @@ def customer_v1(spark: SparkSession, d: str) -> DataFrame:
 
 
 def customer_v2(spark: SparkSession, d: str) -> DataFrame:
-    """Changed segments, removed customers, new customers."""
-    old = customer_v1(spark, d)
-    changed = F.col("c_custkey") % 5 == 0
-    kept = old.filter(F.col("c_custkey") % 11 != 0).withColumns(
-        {
-            "c_mktsegment": F.when(changed & (F.col("c_custkey") % 2 == 0), F.lit("MOVED"))
-            .when(changed, None)
-            .otherwise(F.col("c_mktsegment")),
-            "updated_at": F.when(changed, clock("2024-01-20 00:00:00")).otherwise(F.col("updated_at")),
-        }
-    )
-    new = old.filter(F.col("c_custkey") % 7 == 0).withColumns(
-        {"c_custkey": F.col("c_custkey") + 1000000, "updated_at": clock("2024-01-25 00:00:00")}
+    """All customers again: changed segments, and some under a new key in place of the old one."""
+    i = F.col("c_custkey")
+    changed, moved = i % 5 == 0, i % 11 == 0
+    return customer_v1(spark, d).select(
+        F.when(moved, i + NEW_KEY).otherwise(i).alias("c_custkey"),
+        "c_name",
+        F.when(i % 10 == 0, F.lit("MOVED")).when(changed, None).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        "c_acctbal",
+        F.when(moved, clock("2024-01-25 00:00:00"))
+        .when(changed, clock("2024-01-20 00:00:00"))
+        .otherwise(F.col("updated_at"))
+        .alias("updated_at"),
     )
-    return kept.unionByName(new)
 
 
 CUSTOMERS = """v1 AS (
   SELECT c_custkey, c_name, c_mktsegment, c_acctbal, TIMESTAMP '2024-01-10 00:00:00' AS updated_at FROM customer),
 v2 AS (
-  SELECT c_custkey, c_name,
+  SELECT CASE WHEN c_custkey % 11 = 0 THEN c_custkey + 1000000000 ELSE c_custkey END AS c_custkey, c_name,
     CASE WHEN c_custkey % 10 = 0 THEN 'MOVED' WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment,
-    c_acctbal, CASE WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-01-20 00:00:00' ELSE updated_at END AS updated_at
-  FROM v1 WHERE c_custkey % 11 <> 0
-  UNION ALL
-  SELECT c_custkey + 1000000, c_name, c_mktsegment, c_acctbal, TIMESTAMP '2024-01-25 00:00:00' FROM v1
-  WHERE c_custkey % 7 = 0)"""
+    c_acctbal, CASE WHEN c_custkey % 11 = 0 THEN TIMESTAMP '2024-01-25 00:00:00'
+      WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-01-20 00:00:00' ELSE updated_at END AS updated_at
+  FROM v1)"""
 
 
 def order_log(spark: SparkSession, d: str) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import types as T
 from strata.operators import align, merge
 from strata.operators import incremental as I
 from strata.operators import watermarks as W
-from strata.operators.sizing import fits_broadcast
 from strata.plans import load
 from strata.queries.base import AS_OF, query, table
 from strata.queries.inputs import (
     DEDUPED,
     MERGED,
+    NEW_KEY,
     STAGING,
     STATE_ALL,
     TARGET,
@@ -90,16 +90,14 @@ def merge_upsert(spark, d):
 @query("merge_upsert_small_batch", _UPSERT)
 def merge_upsert_small_batch(spark, d):
     batch = staged(events_staging(spark, d))
-    return merge.merge_upsert(
-        events_target(spark, d), batch, "event_id", "ts", small_batch=fits_broadcast(batch)
-    )
+    return merge.merge_upsert(events_target(spark, d), batch, "event_id", "ts", small_batch=True)
 
 
 @query(
     "merge_upsert_null_keys",
     f"""WITH {TARGET}, {STAGING}, t AS (SELECT CASE WHEN event_id % 4 = 1 THEN NULL ELSE event_id END AS event_id, user_id, event_type FROM tgt),
     s AS (SELECT CASE WHEN event_id % 8 = 0 THEN NULL ELSE event_id END AS event_id, user_id % 10 AS user_id, max(event_type) AS event_type
-      FROM stg WHERE event_id % 10 <> 0 GROUP BY ALL)
+      FROM stg GROUP BY ALL)
     SELECT s.event_id, s.user_id, s.event_type FROM t JOIN s ON t.event_id = s.event_id AND t.user_id = s.user_id
     UNION ALL SELECT t.event_id, t.user_id, t.event_type FROM t WHERE NOT EXISTS (
       SELECT 1 FROM s WHERE s.event_id = t.event_id AND s.user_id = t.user_id)
@@ -111,7 +109,7 @@ def merge_upsert_null_keys(spark, d):
     target = events_target(spark, d).select(
         F.when(i % 4 != 1, i).alias("event_id"), "user_id", "event_type"
     )
-    batch = events_staging(spark, d).filter(i % 10 != 0).select(
+    batch = events_staging(spark, d).select(
         F.when(i % 8 != 0, i).alias("event_id"), (F.col("user_id") % 10).alias("user_id"), "event_type"
     )
     return merge.merge_upsert(target, batch, "event_id,user_id", "event_type")
@@ -199,21 +197,20 @@ def incremental_id(spark, d):
 
 
 _MAPPED_SQL = """raw AS (
-  SELECT CASE WHEN event_id % 17 <> 0 THEN event_id END AS event_id, ts, user_id,
-    CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+  SELECT CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 3 = 0 THEN event_id + 1000000000 ELSE event_id END AS event_id,
+    ts, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
 fresh AS (SELECT event_id, ts, user_id, k FROM raw WHERE event_id IS NOT NULL AND ts > TIMESTAMP '2024-01-20 00:00:00'),
 old AS (SELECT event_id, ts, user_id, -1 AS k, TIMESTAMP '2024-01-20 00:00:00' AS inserted_at,
-  TIMESTAMP '2024-01-20 00:00:00' AS updated_at FROM events WHERE event_id % 3 <> 0 AND ts < TIMESTAMP '2024-01-22 00:00:00')"""
+  TIMESTAMP '2024-01-20 00:00:00' AS updated_at FROM events)"""
 
 
 def _run_inputs(spark, d):
     i = F.col("id").cast("bigint")
-    raw = raw_events(spark, d).withColumn("id", F.when(i % 17 != 0, i))
+    key = F.when(i % 17 == 0, None).when(i % 3 == 0, i + NEW_KEY).otherwise(i)
+    raw = raw_events(spark, d).withColumn("id", key)
     stamp = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
-    target = (
-        table(spark, d, "events")
-        .filter((F.col("event_id") % 3 != 0) & (F.col("ts") < F.lit("2024-01-22").cast("timestamp_ntz")))
-        .select("event_id", "ts", "user_id", F.lit(-1).alias("k"), stamp.alias("inserted_at"), stamp.alias("updated_at"))
+    target = table(spark, d, "events").select(
+        "event_id", "ts", "user_id", F.lit(-1).alias("k"), stamp.alias("inserted_at"), stamp.alias("updated_at")
     )
     spec = _spec(
         field_mappings=(
@@ -283,22 +280,27 @@ _NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 
 
 def _updates(spark, d):
-    """New watermarks for three known tables and one new table."""
+    """New watermarks for two known tables and for tables without a state row."""
     found = (
         table(spark, d, "events")
-        .filter(F.col("event_type").isin("click", "error", "view"))
         .groupBy("event_type")
         .agg(F.count("*").alias("rows_processed"), F.max("event_id").cast("string").alias("watermark_value"))
     )
-    named = F.when(F.col("event_type") == "view", "brand_new").otherwise(F.col("event_type"))
+    kind = F.col("event_type")
+    named = F.when(kind.isin("click", "error"), kind).otherwise(F.concat(kind, F.lit("_new")))
     return W.state_rows(found, "raw", "raw_events", named, [F.col("rows_processed"), F.col("watermark_value")])
 
 
+_UPDATES = """u AS (
+      SELECT CASE WHEN event_type IN ('click', 'error') THEN event_type ELSE event_type || '_new' END AS t,
+        count(*) AS n, CAST(max(event_id) AS VARCHAR) AS w,
+        CASE WHEN event_type = 'error' THEN 'no_new_data' ELSE 'failed' END AS s
+      FROM events GROUP BY event_type)"""
+
+
 @query(
     "watermark_update",
-    f"""WITH {STATE_ALL}, u AS (
-      SELECT CASE WHEN event_type = 'view' THEN 'brand_new' ELSE event_type END AS t, count(*) AS n, CAST(max(event_id) AS VARCHAR) AS w
-      FROM events WHERE event_type IN ('click', 'error', 'view') GROUP BY 1)
+    f"""WITH {STATE_ALL}, {_UPDATES}
     SELECT {_KEY}, watermark_value, rows_processed, status, last_run_at, last_success_at, CAST(NULL AS VARCHAR) AS error_message, updated_at
     FROM state_new WHERE target_table NOT IN (SELECT t FROM u)
     UNION ALL SELECT 'raw', 'raw_events', t, w, n, 'success', {_NOW}, {_NOW}, NULL, {_NOW} FROM u""",
@@ -320,15 +322,14 @@ def watermark_mark_started(spark, d):
 
 @query(
     "watermark_set_status",
-    f"""WITH {STATE_ALL}, u AS (SELECT * FROM (VALUES ('click', 'failed'), ('error', 'no_new_data'), ('brand_new', 'failed')) v(t, s)),
-    e AS (SELECT repeat('x', 100 + 2 * CAST(count(*) % 1 + 300 AS INTEGER)) AS msg FROM events)
+    f"""WITH {STATE_ALL}, {_UPDATES}
     SELECT {_KEY}, watermark_value, rows_processed, coalesce(s, status) AS status,
       CASE WHEN s IS NOT NULL THEN {_NOW} ELSE last_run_at END AS last_run_at,
       CASE WHEN s = 'no_new_data' THEN {_NOW} ELSE last_success_at END AS last_success_at,
-      CASE WHEN s IS NOT NULL THEN left(msg, 500) END AS error_message,
+      CASE WHEN s IS NOT NULL THEN repeat('x', 500) END AS error_message,
       CASE WHEN s IS NOT NULL THEN {_NOW} ELSE updated_at END AS updated_at
-    FROM state_new LEFT JOIN u ON target_table = t CROSS JOIN e
-    UNION ALL SELECT 'raw', 'raw_events', 'brand_new', NULL, 0, 'failed', {_NOW}, NULL, left(msg, 500), {_NOW} FROM e""",
+    FROM state_new LEFT JOIN u ON target_table = t
+    UNION ALL SELECT 'raw', 'raw_events', t, NULL, 0, s, {_NOW}, NULL, repeat('x', 500), {_NOW} FROM u WHERE t LIKE '%_new'""",
 )
 def watermark_set_status(spark, d):
     name = F.col("target_table")

@@ -174,7 +174,7 @@ def surrogate_key_(spark, d):
     """SELECT md5(CAST(c_custkey AS VARCHAR)) AS customer_sk, CAST(c_custkey AS VARCHAR) AS customer_id,
       lower(trim(c_name)) AS customer_name, lower(trim(c_mktsegment)) AS customer_segment,
       CASE WHEN c_acctbal >= 0 THEN true ELSE false END AS is_active
-    FROM customer WHERE c_custkey IS NOT NULL AND c_custkey % 50 <> 49""",
+    FROM customer WHERE c_custkey IS NOT NULL AND c_acctbal > -500""",
 )
 def stage_clean(spark, d):
     return M.stage_clean(
@@ -186,7 +186,7 @@ def stage_clean(spark, d):
             "customer_segment": clean_string("c_mktsegment"),
             "is_active": yes_flag(F.when(F.col("c_acctbal") >= 0, "Y").otherwise("N")),
         },
-        keep=F.col("c_custkey").isNotNull() & (F.col("c_custkey") % 50 != 49),
+        keep=F.col("c_custkey").isNotNull() & (F.col("c_acctbal") > -500),
     )
 
 
@@ -241,7 +241,7 @@ def map_types(spark, d):
 
 
 @query(
-    "enrich_page_views",
+    "enrich_events",
     """SELECT page_id, nullif(regexp_extract(url, '[0-9]+'), '') AS page_uuid,
       CASE WHEN url LIKE '%/fr/%' THEN 'french' WHEN url LIKE '%/en/%' THEN 'english' ELSE 'other' END AS url_type,
       split_part(url, '/', 3) AS url_host,
@@ -251,7 +251,7 @@ def map_types(spark, d):
       CAST(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 1 HOUR * page_id AS DATE) AS event_date
     FROM pages""",
 )
-def enrich_page_views(spark, d):
+def enrich_events(spark, d):
     i = F.col("page_id")
     host = F.split_part("url", F.lit("/"), F.lit(3))
     views = table(spark, d, "pages").select(

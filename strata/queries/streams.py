@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strata.functions.time import clock
 from strata.plans.load import current, publish
-from strata.queries.base import AS_OF, ORACLES, query, table
-from strata.queries.inputs import events_target
+from strata.queries.base import ORACLES, query, table
+from strata.queries.inputs import STAGING, events_target, restage
 from strata.session import work_dir
 from strata.streaming import stream_dedup, stream_upsert, table_sink
 
@@ -20,13 +19,7 @@ def _event_stream(spark, d):
 
 def _staging_stream(spark, d):
     """The staging rule of the batch queries, applied to a stream."""
-    i = F.col("event_id")
-    stream = _event_stream(spark, d).filter(i % 2 == 0)
-    new = stream.select("event_id", "ts", "user_id", "event_type", F.when(i % 7 != 0, F.col("value") + 1).alias("value"))
-    again = new.filter(i % 10 == 0).withColumns(
-        {"ts": F.col("ts") - F.expr("INTERVAL 1 HOUR"), "value": F.col("value") + 100}
-    )
-    return new.unionByName(again).withColumn("inserted_at", clock(AS_OF))
+    return restage(_event_stream(spark, d))
 
 
 @query("stream_upsert", ORACLES["merge_upsert"])
@@ -39,7 +32,7 @@ def stream_upsert_(spark, d):
     return current(spark, name)
 
 
-@query("stream_dedup", "SELECT event_id, event_type, user_id FROM events WHERE event_id % 2 = 0")
+@query("stream_dedup", f"WITH {STAGING} SELECT DISTINCT event_id, event_type, user_id FROM stg")
 def stream_dedup_(spark, d):
     folder = work_dir(spark, "dedup")
     deduped = stream_dedup(_staging_stream(spark, d), "event_id", "ts", spread=F.col("ts"))

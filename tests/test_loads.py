@@ -139,6 +139,27 @@ def test_publish_adds_columns(spark):
     assert rows_of(load.current(spark, "pub_t")) == [(0, "x"), (1, "x"), (2, "x")]
 
 
+def test_bucketed_target_stays_where_it_is(spark, plan):
+    from strata.operators.merge import merge_upsert
+
+    folder = work_dir(spark, "bucket")
+    base = spark.range(2000).select("id", F.lit(0).alias("v"))
+    load.publish(base, "bucket_t", folder, buckets=4, keys=["id"])
+    batch = staged(spark.range(1000, 3000).select("id", F.lit(1).alias("v")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for _ in range(2):
+            merged = merge_upsert(load.current(spark, "bucket_t"), batch, "id", co_located=True)
+            tree = plan(merged).split("\n\n")[0]
+            assert "SortMergeJoin" in tree and tree.count("Exchange") == 1
+            load.publish(merged, "bucket_t", folder, buckets=4, keys=["id"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = load.current(spark, "bucket_t").groupBy("v").count()
+    assert rows_of(got) == [(0, 1000), (1, 2000)]
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("bucket_t")] == ["bucket_t"]
+
+
 def daily(spark, *rows):
     return spark.createDataFrame([(i, v, day(n).date() if n is not None else None) for i, v, n in rows], "id int, v string, d date")
 
