@@ -43,7 +43,15 @@ def null_zero_date(column: str | Column, empty_is_null: bool = False) -> Column:
     return F.when(~bad, c)
 
 
+def wall_micros(column: str | Column) -> Column:
+    """Microseconds of a wall-clock time since 1970; no time zone takes part in it."""
+    t = _col(column).cast("timestamp_ntz")
+    days = F.unix_date(t.cast("date")).cast("bigint")
+    seconds = F.hour(t) * 3600 + F.minute(t) * 60
+    fraction = (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+    return days * 86_400_000_000 + seconds.cast("bigint") * 1_000_000 + fraction
+
+
 def hours_between(later: str | Column, earlier: str | Column) -> Column:
     """Hours from ``earlier`` to ``later``, from whole microseconds."""
-    micros = F.timestamp_diff("MICROSECOND", _col(earlier), _col(later))
-    return micros / F.lit(3_600_000_000.0)
+    return (wall_micros(later) - wall_micros(earlier)) / F.lit(3_600_000_000.0)

@@ -7,21 +7,18 @@ means it still is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.keys import any_null
-from strata.functions.time import clock
+from strata.functions.time import clock, wall_micros
 from strata.operators.dedup import dedup_latest
-from strata.operators.sizing import hot_keys, key_piece, piece
+from strata.operators.sizing import PIECE_ROWS, hot_keys, input_piece, key_piece, pieces_of, small_side
+from strata.session import staged
 from strata.specs import key_list
 
-# Rows of a hot key handled by one task, as a share of the table: a key with a third of all rows
-# is cut into about 66 time slices.
-SLICE_SHARE = 0.005
-
-
 def first_snapshot(source: DataFrame, valid_from: Column) -> DataFrame:
     """Every row of the source as an open version."""
     return source.withColumns(
@@ -105,67 +102,119 @@ def _snapshot(history, source, keys, order_by, opened, changed, run_ts, hard_del
     return settled.unionByName(moved).select(*history.columns)
 
 
+@dataclass(frozen=True)
+class TimeSlices:
+    """How the rows of hot keys are cut along time.
+
+    ``edges``: per hot key the first microsecond, the width and number of its equal steps in time,
+    and its last slice. ``steps``: per hot key and step its first slice; thin neighbouring steps
+    share a slice, and a step with more rows than a slice is cut again between the first and the
+    last time that occurs in it, so a burst is spread as well.
+    """
+
+    keys: tuple[str, ...]
+    edges: DataFrame
+    steps: DataFrame
+
+
+# Steps a slice is put together from, on average.
+STEPS_PER_SLICE = 4
+
+
 def time_slices(
     parts: Sequence[tuple[DataFrame, str]],
-    keys: Sequence[str],
-    share: float | None = None,
-    min_rows: int | None = None,
-) -> dict[tuple, list]:
-    """Cut points in time for each hot key: ``{key: [t1, t2, ...]}``, empty without hot keys.
-
-    ``parts`` are (rows, time column); NULL counts as a key. Bounded: at most ``1 / share`` keys with at most
-    ``1 / SLICE_SHARE`` points each, whatever the size of the table.
+    keys: str | Sequence[str],
+    hot_rows: int | None = None,
+    slice_rows: int | None = None,
+) -> TimeSlices | None:
+    """Cut hot keys along time; None if no key is hot. ``parts`` are (rows, time column).
+
+    The number of slices grows with the number of rows, so a slice keeps a size that one task can
+    sort. Everything returned is small: about ``STEPS_PER_SLICE`` rows per slice.
     """
+    names = key_list(keys)
+    size = PIECE_ROWS if slice_rows is None else slice_rows
     rows = None
     for df, time in parts:
-        part = df.select(*keys, F.col(time).cast("timestamp_ntz").alias("_t"))
+        part = df.select(*names, wall_micros(time).alias("_t"))
         rows = part if rows is None else rows.unionByName(part)
-    limits = {} if share is None else {"share": share}
-    hot = hot_keys(rows, keys, min_rows=min_rows, **limits)
-    if not hot:
-        return {}
-    total = sum(r["n_rows"] for r in hot)
-    points = max(2, round(1 / SLICE_SHARE))
-    wanted = F.lit(False)
-    for row in hot:
-        wanted = wanted | _is_key(keys, [row[k] for k in keys])
-    micros = F.unix_micros(F.col("_t").cast("timestamp"))
-    cuts = (
-        rows.filter(wanted)
-        .groupBy(*keys)
-        .agg(F.percentile_approx(micros, [i / points for i in range(1, points)], 10_000).alias("_cuts"))
+    hot = hot_keys(rows, names, hot_rows)
+    if hot is None:
+        return None
+
+    picked = _on_keys(rows, small_side(hot), names, "inner").filter(F.col("_t").isNotNull())
+    n_steps = pieces_of(F.count("*"), size) * STEPS_PER_SLICE
+    span = F.max("_t") - F.min("_t") + 1
+    edges = staged(
+        picked.groupBy(*names).agg(
+            F.min("_t").alias("_low"), F.ceil(span / n_steps).alias("_width"), (n_steps - 1).alias("_last_step")
+        ),
+        "edges",
     )
-    found = {tuple(r[k] for k in keys): sorted(set(r["_cuts"])) for r in cuts.collect()}
-    # The hottest key gets all its cut points, smaller ones proportionally fewer.
-    thinned = {}
-    for row in hot:
-        key = tuple(row[k] for k in keys)
-        step = max(1, round(total / max(1, row["n_rows"])))
-        thinned[key] = found[key][::step]
-    return thinned
+    side = small_side(edges)
+    counts = (
+        _on_keys(picked.select(*names, "_t"), side, names, "inner")
+        .withColumn("_step", _step(F.col("_t")))
+        .groupBy(*names, "_step")
+        .agg(F.count("*").alias("_n"), F.min("_t").alias("_from"), F.max("_t").alias("_to"))
+    )
+    every = edges.select(*names, F.explode(F.sequence(F.lit(0), F.col("_last_step"))).alias("_step"))
+    before = Window.partitionBy(*names).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = F.coalesce(pieces_of(F.col("_n"), size), F.lit(1))
+    steps = staged(
+        _on_keys(every, counts, [*names, "_step"], "left").select(
+            *names,
+            "_step",
+            F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / size).cast("int").alias("_slice"),
+            F.coalesce("_from", F.lit(0)).alias("_from"),
+            F.coalesce(F.ceil((F.col("_to") - F.col("_from") + 1) / cuts), F.lit(1)).alias("_cut_width"),
+            (cuts - 1).alias("_last_cut"),
+        ),
+        "steps",
+    )
+    last = steps.groupBy(*names).agg(F.max(F.col("_slice") + F.col("_last_cut")).alias("_last_slice"))
+    located = staged(_on_keys(edges, last, names, "left"), "edges")
+    return TimeSlices(tuple(names), small_side(located), small_side(steps))
+
+
+def _on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys where NULL equals NULL; the right side's other columns are added."""
+    renamed = right.withColumnsRenamed({k: f"_right_{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_right_{i}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{i}" for i in range(len(keys))])
 
 
-def _is_key(keys: Sequence[str], values: Sequence) -> Column:
-    cond = F.lit(True)
-    for k, v in zip(keys, values):
-        cond = cond & F.col(k).eqNullSafe(F.lit(v))
-    return cond
+def _step(micros: Column) -> Column:
+    """The step of a time on a row that carries its key's edges."""
+    return _part(micros, "_low", "_width", "_last_step")
 
 
-def _cut_points(keys: Sequence[str], slices: dict[tuple, list]) -> Column:
-    """The cut points (in microseconds) of the row's key; an empty array for ordinary keys."""
-    points = F.when(F.lit(False), F.array().cast("array<bigint>"))
-    for key, cuts in slices.items():
-        points = points.when(_is_key(keys, key), F.array(*[F.lit(c).cast("bigint") for c in cuts]))
-    return points.otherwise(F.array().cast("array<bigint>"))
+def _part(micros: Column, low: str, width: str, last: str) -> Column:
+    """Which of several equal parts of a range a value lies in; outer values belong to the outer parts."""
+    n = F.floor((micros - F.col(low)) / F.col(width))
+    return F.greatest(F.lit(0), F.least(n, F.col(last))).cast("int")
 
 
-def _slice_of(time: Column, keys: Sequence[str], slices: dict[tuple, list]) -> Column:
-    """How many cut points lie at or before ``time``: the number of the row's time slice."""
-    if not slices:
-        return F.lit(0)
-    micros = F.unix_micros(time.cast("timestamp"))
-    return F.coalesce(F.size(F.filter(_cut_points(keys, slices), lambda c: c <= micros)), F.lit(0))
+def _with_edges(df: DataFrame, slices: TimeSlices) -> DataFrame:
+    return _on_keys(df, slices.edges, slices.keys, "left")
+
+
+def _with_slice(df: DataFrame, time: Column, slices: TimeSlices, name: str) -> DataFrame:
+    """Number of the time slice on rows that carry their key's edges; 0 for ordinary keys and NULL times."""
+    located = df.withColumn("_at_step", _step(wall_micros(time)))
+    steps = slices.steps.withColumnsRenamed({"_step": "_at_step", "_slice": "_base"})
+    found = _on_keys(located, steps, [*slices.keys, "_at_step"], "left")
+    cut = _part(wall_micros(time), "_from", "_cut_width", "_last_cut")
+    return found.withColumn(name, F.coalesce(F.col("_base") + cut, F.lit(0))).drop(
+        "_at_step", "_base", "_from", "_cut_width", "_last_cut"
+    )
+
+
+EDGE_COLUMNS = ("_low", "_width", "_last_step", "_last_slice")
+# Stands for "measure the input" where slices may also be None.
+MEASURE = object()
 
 
 def bulk_history(
@@ -173,42 +222,40 @@ def bulk_history(
     keys: str | Sequence[str],
     updated_at: str,
     order_by: Sequence[str] = (),
-    slices: dict[tuple, list] | None = None,
+    slices: TimeSlices | None | object = MEASURE,
 ) -> DataFrame:
     """Full history from a change log: each version ends where the next one of its key begins.
 
     Several changes of a key at one time leave one version, the first by ``order_by`` descending.
-    Keys found hot by :func:`time_slices` are worked on slice by slice.
+    Hot keys are worked on slice by slice. ``slices`` takes a result of :func:`time_slices`; None
+    promises that no key is hot.
     """
     names = key_list(keys)
-    if slices is None:
+    if slices is MEASURE:
         slices = time_slices([(log, updated_at)], names)
     versions = dedup_latest(log, [*names, updated_at], list(order_by)).withColumn(
         "valid_from", F.col(updated_at).cast("timestamp_ntz")
     )
-    by_time = Window.partitionBy(*names).orderBy("valid_from")
-    if not slices:
+    if slices is None:
+        by_time = Window.partitionBy(*names).orderBy("valid_from")
         return versions.withColumn("valid_to", F.lead("valid_from").over(by_time))
 
-    sliced = versions.withColumn("_slice", _slice_of(F.col("valid_from"), names, slices))
+    sliced = _with_slice(_with_edges(versions, slices), F.col("valid_from"), slices, "_slice")
     in_slice = Window.partitionBy(*names, "_slice").orderBy("valid_from")
     # The last version of a slice ends with the first one of the key's next slice. Only hot keys
-    # have a next slice, so this lookup has at most (hot keys x cut points) rows.
-    hot = F.lit(False)
-    for key in slices:
-        hot = hot | _is_key(names, key)
-    starts = sliced.filter(hot).groupBy(*names, "_slice").agg(F.min("valid_from").alias("_start"))
-    following = starts.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(names)],
-        F.col("_slice").alias("_from_slice"),
-        F.lead("_start").over(Window.partitionBy(*names).orderBy("_slice")).alias("_next"),
-    ).filter(F.col("_next").isNotNull())
-    same = F.col("_slice") == F.col("_from_slice")
-    for i, k in enumerate(names):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    # have a next slice, so this lookup has one row per slice of a hot key.
+    hot = _on_keys(log.select(*names, F.col(updated_at).cast("timestamp_ntz").alias("_t")), slices.edges, names, "inner")
+    starts = (
+        _with_slice(hot, F.col("_t"), slices, "_slice").groupBy(*names, "_slice").agg(F.min("_t").alias("_start"))
+    )
+    by_slice = Window.partitionBy(*names).orderBy("_slice")
+    following = staged(
+        starts.select(*names, "_slice", F.lead("_start").over(by_slice).alias("_next")).filter("_next IS NOT NULL"),
+        "slices",
+    )
+    ended = sliced.withColumn("valid_to", F.lead("valid_from").over(in_slice))
     return (
-        sliced.withColumn("valid_to", F.lead("valid_from").over(in_slice))
-        .join(F.broadcast(following), same, "left")
+        _on_keys(ended, small_side(following), [*names, "_slice"], "left")
         .withColumn("valid_to", F.coalesce("valid_to", "_next"))
         .select(*versions.columns, "valid_to")
     )
@@ -220,32 +267,36 @@ def asof_join(
     keys: str | Sequence[str],
     ts: str,
     attributes: Sequence[str],
-    slices: dict[tuple, list] | None = None,
+    slices: TimeSlices | None | object = MEASURE,
 ) -> DataFrame:
     """Left join of facts to the version valid at their time: ``valid_from <= ts < valid_to``.
 
     Versions of a key must not overlap. Facts and versions are stacked and sorted once by key and
     time, and each fact takes the last version before it, so the work is linear even where a key has
     many facts and many versions. A hot key is cut into time slices; a version that spans several
-    slices is placed in each of them.
+    slices is placed in each of them. ``slices`` takes a result of :func:`time_slices`; None promises
+    that no key is hot.
     """
     names = key_list(keys)
-    if slices is None:
-        slices = time_slices([(facts, ts), (history, "valid_from")], names)
+    if slices is MEASURE:
+        matchable = facts.filter(~any_null(names))
+        slices = time_slices([(matchable, ts), (history.filter(~any_null(names)), "valid_from")], names)
     loose = any_null(names) | F.col(ts).isNull()
     at = F.col(ts).cast("timestamp_ntz")
-
-    # Facts without a key or a time match nothing; negative slices hold no versions.
-    part = F.when(loose, -1 - piece()).otherwise(_slice_of(at, names, slices))
-    left = facts.withColumns({"_slice": part, "_at": at, "_kind": F.lit(1)})
     start, stop = F.col("valid_from").cast("timestamp_ntz"), F.col("valid_to").cast("timestamp_ntz")
-    spans = history.filter(~any_null(names))
-    if slices:
-        first = _slice_of(start, names, slices)
-        last = F.when(stop.isNull(), F.size(_cut_points(names, slices))).otherwise(_slice_of(stop, names, slices))
-        spans = spans.withColumn("_slice", F.explode(F.sequence(first, F.greatest(first, last))))
+
+    left, spans = facts, history.filter(~any_null(names))
+    if slices is None:
+        left, spans = left.withColumn("_slice", F.lit(0)), spans.withColumn("_slice", F.lit(0))
     else:
-        spans = spans.withColumn("_slice", F.lit(0))
+        left = _with_slice(_with_edges(left, slices), at, slices, "_slice").drop(*EDGE_COLUMNS)
+        spans = _with_slice(_with_edges(spans, slices), start, slices, "_first")
+        spans = _with_slice(spans, stop, slices, "_end")
+        until = F.when(stop.isNull(), F.coalesce("_last_slice", F.lit(0))).otherwise(F.col("_end"))
+        spans = spans.withColumn("_slice", F.explode(F.sequence(F.col("_first"), F.greatest("_first", until))))
+    # Facts without a key or a time match nothing; negative slices hold no versions.
+    part = F.when(loose, -1 - input_piece()).otherwise(F.col("_slice"))
+    left = left.withColumns({"_slice": part, "_at": at, "_kind": F.lit(1)})
     version = F.struct(*attributes, stop.alias("valid_to")).alias("_version")
     right = spans.select(*names, "_slice", start.alias("_at"), F.lit(0).alias("_kind"), version)
 

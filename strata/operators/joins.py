@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.keys import any_null
-from strata.operators.sizing import PIECES, fits_broadcast, hot_keys, piece
+from strata.operators.sizing import fits_broadcast, hot_keys, input_piece, key_piece, pieces_of, small_side
 from strata.specs import key_list
 
 def left_lookup(
@@ -16,14 +16,16 @@ def left_lookup(
     dim: DataFrame,
     keys: str | Sequence[str],
     columns: Sequence[str],
-    hot: Sequence[Row] | None = None,
+    hot: DataFrame | None = None,
     broadcast_bytes: int | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add dimension columns to facts; facts without a match keep NULLs.
 
     A dimension that measures small is broadcast. A larger one is joined by shuffle, where facts of
-    hot keys and facts without a key are spread over several pieces; only the few dimension
-    rows of hot keys are copied to every piece.
+    hot keys and facts without a key are spread over pieces; only the dimension rows of hot keys
+    are copied to every piece of their key. ``hot`` is a result of
+    :func:`strata.operators.sizing.hot_keys` if it is known; otherwise the facts are counted by key.
     """
     names = key_list(keys)
     side = dim.select(*names, *columns)
@@ -31,17 +33,21 @@ def left_lookup(
         return facts.join(F.broadcast(side), names, "left").select(*facts.columns, *columns)
 
     if hot is None:
-        hot = hot_keys(facts.filter(~any_null(names)), names)
-    is_hot = F.lit(False)
-    for row in hot:
-        same = F.lit(True)
-        for k in names:
-            same = same & (F.col(k) == F.lit(row[k]))
-        is_hot = is_hot | same
-    spread = facts.withColumn("_piece", F.when(any_null(names) | is_hot, piece()).otherwise(0))
-    pieces = F.when(is_hot, F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))
-    copies = side.withColumn("_piece", F.explode(pieces))
-    return spread.join(copies, [*names, "_piece"], "left").select(*facts.columns, *columns)
+        hot = hot_keys(facts.filter(~any_null(names)), names, hot_rows)
+    if hot is None:
+        spread = facts.withColumn("_piece", key_piece(names))
+        copies = side.withColumn("_piece", F.lit(0))
+    else:
+        cut = small_side(hot.select(*names, pieces_of(F.col("n_rows"), hot_rows).alias("_pieces")))
+        piece = F.pmod(input_piece(), F.col("_pieces"))
+        spread = facts.join(cut, names, "left").withColumn(
+            "_piece", F.when(F.col("_pieces").isNotNull(), piece).otherwise(key_piece(names))
+        )
+        last = F.coalesce(F.col("_pieces"), F.lit(1)) - 1
+        copies = side.join(cut, names, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
+    return (
+        spread.join(copies.drop("_pieces"), [*names, "_piece"], "left").select(*facts.columns, *columns)
+    )
 
 
 def left_join_agg(

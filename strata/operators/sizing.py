@@ -1,38 +1,22 @@
-"""Size and skew measurements that decide between physical strategies.
-
-Both return a bounded answer: a number, or at most ``1 / share`` keys.
-"""
+"""Size and skew measurements that decide between physical strategies."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.keys import any_null
+from strata.session import staged
 
 # A side is broadcast only when its measured size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# A key is hot when it holds this share of a table, and the table is large enough to care.
-HOT_SHARE = 0.01
-HOT_MIN_ROWS = 5_000_000
-# Pieces that rows of one hot key, or rows without a key, are spread over.
-PIECES = 64
-
-
-def piece() -> Column:
-    """A piece number that also tells equal rows apart.
-
-    It is the number of the input partition, so a repeated task gives its rows the same piece again.
-    """
-    return F.pmod(F.spark_partition_id(), F.lit(PIECES))
-
-
-def key_piece(keys: Sequence[str]) -> Column:
-    """An extra join key: 0 for rows with a key, a piece for rows without one, which match nothing."""
-    return F.when(any_null(keys), piece()).otherwise(0)
+# A key with this many rows is hot: one task should not have to handle all of them.
+HOT_ROWS = 10_000_000
+# Rows of a hot key that one task gets.
+PIECE_ROWS = 2_000_000
 
 
 def row_bytes(schema: T.StructType) -> Column:
@@ -59,15 +43,33 @@ def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     return size <= limit
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int | None = None
-) -> list[Row]:
-    """Keys that hold at least ``share`` of the rows, largest first; never more than ``1 / share``.
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it fits, unmarked otherwise."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
 
-    Costs a row count on small tables and one pre-aggregated count per key on large ones.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
+    """Keys (NULL included) with at least ``min_rows`` rows and their counts; None if there are none.
+
+    One pass over the key columns, counted before the shuffle. The result has at most
+    ``rows / min_rows`` rows and is kept as a staged table.
     """
-    total = df.count()
-    if total < (HOT_MIN_ROWS if min_rows is None else min_rows):
-        return []
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-    return counts.filter(F.col("n_rows") >= max(1, int(total * share))).orderBy(F.desc("n_rows")).collect()
+    least = HOT_ROWS if min_rows is None else min_rows
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") >= least)
+    found = staged(counts, "hot")
+    return None if found.isEmpty() else found
+
+
+def pieces_of(n_rows: Column, piece_rows: int | None = None) -> Column:
+    """How many pieces a key with so many rows is cut into."""
+    return F.ceil(n_rows / F.lit(PIECE_ROWS if piece_rows is None else piece_rows)).cast("int")
+
+
+def input_piece() -> Column:
+    """The number of the row's input partition: tells equal rows apart, and a repeated task gives it again."""
+    return F.spark_partition_id()
+
+
+def key_piece(keys: Sequence[str]) -> Column:
+    """An extra join key: 0 for rows with a key, spread values for rows without one, which match nothing."""
+    return F.when(any_null(keys), input_piece() + 1).otherwise(0)

@@ -109,13 +109,26 @@ def model_history(log):
 def test_bulk_history_sliced_and_whole(spark, seed):
     log = change_log(seed)
     df = spark.createDataFrame(log, LOG).repartition(4)
-    slices = H.time_slices([(df, "t")], ["k"], share=0.05, min_rows=1)
-    assert (7,) in slices and (None,) in slices and all(len(c) > 1 for c in slices.values())
+    slices = H.time_slices([(df, "t")], ["k"], hot_rows=30, slice_rows=10)
+    cut = {r.k: r._last_slice for r in slices.edges.collect()}
+    assert cut[7] > 8 and cut[None] > 2
     expected = model_history(log)
-    assert rows_of(H.bulk_history(df, "k", "t", ["v"], slices={})) == expected
+    assert rows_of(H.bulk_history(df, "k", "t", ["v"], slices=None)) == expected
+    assert rows_of(H.bulk_history(df, "k", "t", ["v"])) == expected
     assert rows_of(H.bulk_history(df, "k", "t", ["v"], slices=slices)) == expected
 
 
+def test_slices_are_balanced(spark):
+    """Most of a hot key's rows lie in a short burst; slices still get similar shares."""
+    times = [at(0)] + [at(900) + dt.timedelta(seconds=s) for s in range(2000)] + [at(1000)]
+    df = spark.createDataFrame([(1, t) for t in times] + [(2, at(5))], "k int, t timestamp_ntz")
+    slices = H.time_slices([(df, "t")], "k", hot_rows=100, slice_rows=50)
+    sizes = H._with_slice(H._with_edges(df, slices), F.col("t"), slices, "_slice").groupBy("k", "_slice").count()
+    counts = [r["count"] for r in sizes.collect()]
+    assert sum(counts) == len(times) + 1 and max(counts) <= 100 and len(counts) > 20
+    assert H.time_slices([(df, "t")], "k") is None
+
+
 def test_history_invariants(spark):
     df = spark.createDataFrame(change_log(9), LOG)
     hist = H.bulk_history(df, "k", "t", ["v"])
@@ -144,9 +157,9 @@ def test_asof_join_sliced_and_whole(spark, seed):
         expected.append((k, t, i, hit[0] if hit else None))
     f = spark.createDataFrame(facts, "k int, t timestamp_ntz, i int").repartition(4)
     h = spark.createDataFrame(hist_rows, "k int, t timestamp_ntz, v int, valid_from timestamp_ntz, valid_to timestamp_ntz")
-    slices = H.time_slices([(f, "t"), (h, "valid_from")], ["k"], share=0.05, min_rows=1)
-    assert (7,) in slices
-    for s in ({}, slices):
+    slices = H.time_slices([(f, "t"), (h, "valid_from")], ["k"], hot_rows=30, slice_rows=8)
+    assert {r.k: r._last_slice for r in slices.edges.collect()}[7] > 8
+    for s in (None, slices):
         assert rows_of(H.asof_join(f, h, "k", "t", ["v"], slices=s)) == sorted(expected, key=repr)
 
 
