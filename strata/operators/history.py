@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.keys import any_null
 from strata.functions.time import clock, wall_micros
 from strata.operators.dedup import dedup_latest
-from strata.operators.sizing import PIECE_ROWS, hot_keys, input_piece, key_piece, pieces_of, small_side
+from strata.operators.sizing import PIECE_ROWS, hot_keys, input_piece, key_piece, no_piece, pieces_of, small_side
 from strata.session import staged
 from strata.specs import key_list
 
@@ -65,10 +65,10 @@ def snapshot_check(
 
 def _snapshot(history, source, keys, order_by, opened, changed, run_ts, hard_deletes) -> DataFrame:
     names = key_list(keys)
-    latest = dedup_latest(source, names, order_by)
+    latest = dedup_latest(source.withColumn("_piece", no_piece(names)), [*names, "_piece"], order_by)
     if history is None:
-        return first_snapshot(latest, opened)
-    added = [f for f in latest.schema if f.name not in history.columns]
+        return first_snapshot(latest.drop("_piece"), opened)
+    added = [f for f in source.schema if f.name not in history.columns]
     history = history.withColumns({f.name: F.lit(None).cast(f.dataType) for f in added}) if added else history
 
     # Closed versions cannot change any more: they bypass the join.
@@ -78,7 +78,7 @@ def _snapshot(history, source, keys, order_by, opened, changed, run_ts, hard_del
     # A version or a source row without a key matches nothing: the version stays as it is, and each
     # look at the source opens the row anew.
     h = current.withColumns({"_old": F.lit(True), "_piece": key_piece(names)}).alias("h")
-    s = latest.withColumns({"_opened": opened, "_new": F.lit(True), "_piece": key_piece(names)}).alias("s")
+    s = latest.withColumns({"_opened": opened, "_new": F.lit(True)}).alias("s")
     joined = h.join(s, [F.col(f"h.`{k}`") == F.col(f"s.`{k}`") for k in [*names, "_piece"]], "full_outer")
 
     in_history, in_source = F.col("h._old").isNotNull(), F.col("s._new").isNotNull()

@@ -21,9 +21,18 @@ SMALL_TABLE_ROWS = 10_000
 def high_water(df: DataFrame, column: str):
     """Greatest value of a column as one driver-side scalar; None on an empty table.
 
-    A scalar becomes a literal in the next filter, which the scan can push down.
+    A scalar becomes a literal in the next filter, which the scan can push down. Times come as wall
+    clock of the session, whatever the time zone of the driver.
     """
-    return df.agg(F.max(column)).first()[0]
+    top = F.max(column)
+    if isinstance(df.schema[column].dataType, T.TimestampType):
+        top = top.cast("timestamp_ntz")
+    return df.agg(top).first()[0]
+
+
+def _days_before(high, days: int) -> Column:
+    bound = F.lit(str(high)).cast("timestamp_ntz") if isinstance(high, (str, dt.datetime)) else F.lit(high)
+    return bound - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
 def max_watermark(df: DataFrame, column: str) -> DataFrame:
@@ -39,7 +48,7 @@ def lookback(df: DataFrame, column: str, high, days: int = LOOKBACK_DAYS) -> Dat
     """Rows no older than ``days`` before the target's high-water mark; a first run reads everything."""
     if high is None:
         return df
-    return df.filter(F.col(column) >= F.lit(high) - F.expr(f"INTERVAL {int(days)} DAYS"))
+    return df.filter(F.col(column) >= _days_before(high, days))
 
 
 def window_predicate(
@@ -56,7 +65,7 @@ def window_predicate(
         start, end = (F.lit(str(b)).cast("timestamp_ntz") for b in backfill)
         return (c >= start) & (c < end)
     if target_high is not None:
-        return c >= F.lit(target_high) - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+        return c >= _days_before(target_high, lookback_days)
     return c >= F.date_sub(F.lit(str(as_of)).cast("date"), dev_days)
 
 

@@ -11,7 +11,7 @@ from strata.functions.time import clock
 from strata.operators.align import align_by_name, column_intersect, find_column, widened
 from strata.operators.dedup import dedup_latest
 from strata.operators.mapping import drop_etl_columns
-from strata.operators.sizing import fits_broadcast, key_piece
+from strata.operators.sizing import fits_broadcast, key_piece, no_piece
 from strata.specs import key_list
 
 
@@ -56,13 +56,18 @@ def merge_upsert(
     if lost:
         raise ValueError(f"target and batch must both have key columns {', '.join(lost)}")
     names = [find_column(k, batch.columns) for k in names]
-    new = dedup_latest(batch, names, order_by)
+    # Deduplicated by the join key, the batch is shuffled once for both.
+    extra = [] if co_located else ["_piece"]
+    for column in extra:
+        batch = batch.withColumn(column, no_piece(names))
+    new = dedup_latest(batch, [*names, *extra], order_by)
 
     if small_batch and fits_broadcast(new):
-        merged = _broadcast_merge(old, new, names, insert_only)
+        merged = _broadcast_merge(old, new.drop(*extra), names, insert_only)
     else:
         # The extra join key that spreads rows without a key would not fit the buckets.
-        merged = _shuffle_merge(old, new, names, insert_only, spread=not co_located)
+        old = old if co_located else old.withColumn("_piece", key_piece(names))
+        merged = _shuffle_merge(old, new, [*names, *extra], insert_only)
     return merged.select(*schema.names)
 
 
@@ -81,14 +86,11 @@ def _same_key(keys: Sequence[str]) -> list[Column]:
     return [F.col(f"t.`{k}`") == F.col(f"s.`{k}`") for k in keys]
 
 
-def _shuffle_merge(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], insert_only: Sequence[str], spread: bool
-) -> DataFrame:
+def _shuffle_merge(old: DataFrame, new: DataFrame, keys: Sequence[str], insert_only: Sequence[str]) -> DataFrame:
     # Presence is a flag of its own: any value column may be NULL in a row that exists.
-    extra = {"_piece": key_piece(keys)} if spread else {}
-    t = old.withColumns({"_old": F.lit(True), **extra}).alias("t")
-    s = new.withColumns({"_new": F.lit(True), **extra}).alias("s")
-    joined = t.join(s, _same_key([*keys, *extra]), "full_outer")
+    t = old.withColumn("_old", F.lit(True)).alias("t")
+    s = new.withColumn("_new", F.lit(True)).alias("s")
+    joined = t.join(s, _same_key(keys), "full_outer")
     new_row, old_row = F.col("s._new").isNotNull(), F.col("t._old").isNotNull()
     columns = [
         F.coalesce(F.col(f"t.`{c}`"), F.col(f"s.`{c}`")).alias(c)

@@ -73,3 +73,12 @@ def input_piece() -> Column:
 def key_piece(keys: Sequence[str]) -> Column:
     """An extra join key: 0 for rows with a key, spread values for rows without one, which match nothing."""
     return F.when(any_null(keys), input_piece() + 1).otherwise(0)
+
+
+def no_piece(keys: Sequence[str]) -> Column:
+    """The extra join key of a side with one row per key: always 0.
+
+    It is computed from the key because a plain literal would be optimised away, and with it the
+    chance that a deduplication by (key, piece) leaves the rows where the join wants them.
+    """
+    return F.pmod(F.hash(*keys), F.lit(1))

@@ -216,6 +216,20 @@ def test_lookback_on_an_empty_target(spark):
     assert rows_of(I.lookback(rows, "at", I.high_water(rows, "at")), "id") == [(2,)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_lookback_follows_the_wall_clock(spark, kind):
+    rows = table(spark, (1, "a", 1), (2, "b", 4), (3, "c", 7)).withColumn("at", F.col("at").cast(kind))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        high = I.high_water(rows, "at")
+        assert str(high)[:10] == ("2024-01-07" if kind == "timestamp" else "2024-01-08")
+        assert rows_of(I.lookback(rows, "at", high), "id") == [(2,), (3,)]
+        assert I.incremental_window(rows, "at", NOW, target_high=high).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_max_watermark_ignores_empty_text(spark):
     df = spark.createDataFrame([("",), ("b",), (None,), ("a",)], "w string")
     assert tuple(I.max_watermark(df, "w").first()) == ("b", "b")

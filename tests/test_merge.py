@@ -157,6 +157,17 @@ def test_small_batch_does_not_shuffle_the_target(spark, plan, tmp_path):
     assert "Cartesian" not in broadcast and "BroadcastNestedLoop" not in broadcast
 
 
+def test_each_side_is_shuffled_once(spark, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        side = spark.range(1000).select("id", F.lit(0).alias("v"))
+        tree = plan(merge_upsert(side, side.withColumn("v", F.lit(1)), "id")).split("\n\n")[0]
+        assert "FullOuter" in tree or "SortMergeJoin" in tree
+        assert tree.count("Exchange") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_measuring(spark):
     df = spark.createDataFrame([("x" * 1000,)] * 50 + [(None,)], "t string")
     assert sizing.fits_broadcast(df) and not sizing.fits_broadcast(df, 50_000)
