@@ -16,7 +16,8 @@ def nullable(schema: T.StructType) -> T.StructType:
 
 def staging_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty, fully nullable copy of a target."""
-    return spark.createDataFrame([], nullable(schema))
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in nullable(schema)]
+    return spark.range(1).select(*columns).limit(0)
 
 
 def find_column(name: str, candidates: Sequence[str]) -> str | None:
@@ -65,8 +66,9 @@ def json_encode_nested(df: DataFrame, target: T.StructType) -> DataFrame:
 
 def align_by_name(df: DataFrame, target: T.StructType) -> DataFrame:
     """A batch in exactly the target's columns; what the batch lacks is NULL."""
-    empty = staging_like(df.sparkSession, target)
-    return empty.unionByName(column_intersect(df, target), allowMissingColumns=True)
+    known = column_intersect(df, target)
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in target if f.name not in known.columns}
+    return known.withColumns(missing).select(*target.names) if missing else known
 
 
 def append_new_columns(target: DataFrame, batch: DataFrame) -> DataFrame:

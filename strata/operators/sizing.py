@@ -51,13 +51,14 @@ def small_side(df: DataFrame) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame | None:
     """Keys (NULL included) with at least ``min_rows`` rows and their counts; None if there are none.
 
-    One pass over the key columns, counted before the shuffle. The result has at most
-    ``rows / min_rows`` rows and is kept as a staged table.
+    One pass over the key columns, counted before the shuffle; a second one only if there are hot
+    keys. The result has at most ``rows / min_rows`` rows and is kept as a staged table.
     """
     least = HOT_ROWS if min_rows is None else min_rows
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") >= least)
-    found = staged(counts, "hot")
-    return None if found.isEmpty() else found
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
+    if (counts.agg(F.max("n_rows")).first()[0] or 0) < least:
+        return None
+    return staged(counts.filter(F.col("n_rows") >= least), "hot")
 
 
 def pieces_of(n_rows: Column, piece_rows: int | None = None) -> Column:

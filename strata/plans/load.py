@@ -50,8 +50,8 @@ class LoadResult:
 
 
 def _one_key(spark: SparkSession, spec: LoadSpec) -> DataFrame:
-    key = (spec.layer, spec.target_schema, spec.target_table)
-    return spark.createDataFrame([key], ", ".join(f"{k} string" for k in STATE_KEY))
+    values = (spec.layer, spec.target_schema, spec.target_table)
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in zip(STATE_KEY, values)])
 
 
 def current_watermark(state: DataFrame, spec: LoadSpec) -> str | None:

@@ -73,21 +73,19 @@ SELECT f.*, h.o_orderstatus AS known_status, h.o_orderkey AS known_order FROM fa
   ON f.o_custkey = h.o_custkey AND f.l_shipdate >= h.valid_from AND f.l_shipdate < coalesce(h.valid_to, TIMESTAMP '9999-12-31 00:00:00')"""
 
 
-def _known(spark, d):
-    return bulk_history(spark, d).select(
+@query("scd2_asof_join", _ASOF)
+def scd2_asof_join(spark, d):
+    facts, log = _order_facts(spark, d), order_log(spark, d)
+    # Hot keys are looked for once, for both steps.
+    slices = H.time_slices([(facts, "l_shipdate"), (log, "changed_at")], "o_custkey")
+    known = H.bulk_history(log, "o_custkey", "changed_at", ["o_orderkey"], slices).select(
         "o_custkey",
         F.col("o_orderstatus").alias("known_status"),
         F.col("o_orderkey").alias("known_order"),
         "valid_from",
         "valid_to",
     )
-
-
-@query("scd2_asof_join", _ASOF)
-def scd2_asof_join(spark, d):
-    return H.asof_join(
-        _order_facts(spark, d), _known(spark, d), "o_custkey", "l_shipdate", ["known_status", "known_order"]
-    )
+    return H.asof_join(facts, known, "o_custkey", "l_shipdate", ["known_status", "known_order"], slices)
 
 
 @query(
