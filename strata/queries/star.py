@@ -22,14 +22,14 @@ _DAYS = """days AS (SELECT CAST(range AS DATE) AS date_day FROM range(
   (SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) + INTERVAL 1 DAY FROM orders), INTERVAL 1 DAY))"""
 _DIM_DATE = f"""{_DAYS}, dim_date AS (
   SELECT md5(CAST(date_day AS VARCHAR)) AS date_sk, date_day,
-    extract(year FROM date_day) AS year_number, CAST(extract(year FROM date_day) AS VARCHAR) AS year_text,
-    extract(quarter FROM date_day) AS quarter_number,
+    CAST(extract(year FROM date_day) AS INTEGER) AS year_number, CAST(extract(year FROM date_day) AS VARCHAR) AS year_text,
+    CAST(extract(quarter FROM date_day) AS INTEGER) AS quarter_number,
     CAST(extract(year FROM date_day) AS VARCHAR) || '-Q' || CAST(extract(quarter FROM date_day) AS VARCHAR) AS year_quarter,
-    extract(month FROM date_day) AS month_number, strftime(date_day, '%B') AS month_name, strftime(date_day, '%b') AS month_short,
-    strftime(date_day, '%Y-%m') AS year_month, extract(week FROM date_day) AS week_number,
-    extract(dow FROM date_day) AS day_of_week_number, strftime(date_day, '%A') AS day_of_week_name,
-    strftime(date_day, '%a') AS day_of_week_short, extract(day FROM date_day) AS day_of_month,
-    extract(doy FROM date_day) AS day_of_year, extract(dow FROM date_day) IN (0, 6) AS is_weekend,
+    CAST(extract(month FROM date_day) AS INTEGER) AS month_number, strftime(date_day, '%B') AS month_name, strftime(date_day, '%b') AS month_short,
+    strftime(date_day, '%Y-%m') AS year_month, CAST(extract(week FROM date_day) AS INTEGER) AS week_number,
+    CAST(extract(dow FROM date_day) AS INTEGER) AS day_of_week_number, strftime(date_day, '%A') AS day_of_week_name,
+    strftime(date_day, '%a') AS day_of_week_short, CAST(extract(day FROM date_day) AS INTEGER) AS day_of_month,
+    CAST(extract(doy FROM date_day) AS INTEGER) AS day_of_year, extract(dow FROM date_day) IN (0, 6) AS is_weekend,
     extract(dow FROM date_day) BETWEEN 1 AND 5 AS is_weekday, date_day = DATE '2000-02-29' AS is_today,
     date_day = DATE '2000-02-28' AS is_yesterday, CAST(date_trunc('week', date_day) AS DATE) AS week_start_date,
     CAST(date_trunc('week', date_day) + INTERVAL 6 DAY AS DATE) AS week_end_date,

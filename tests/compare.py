@@ -23,8 +23,6 @@ def _plain(t: pa.DataType) -> str:
         return "string"
     if pa.types.is_timestamp(t):
         return "timestamp"
-    if pa.types.is_integer(t):
-        return "integer"
     return str(t)
 
 
