@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +24,26 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one beside the tables of the warehouse.
 
-    Only a local session may fall back to a folder of its own; on a cluster a machine-local
-    folder would be invisible to the other executors, so an unset setting is an error there.
+    Both are reached by every executor. The caller's session is not changed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="strata-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return base.rstrip("/")
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark keeps it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -50,3 +56,35 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Evaluate ``df`` once into a checkpoint, for tables that a lazy result still needs.
+
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark deletes the files when nothing
+    refers to the table any more.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+class Workspace:
+    """Staged tables that are deleted when the block ends; nothing lazy may outlive it."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.path = spark, work_dir(spark, label)
+        self.count = 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        remove(self.spark, self.path)
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.path}/{self.count}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
