@@ -86,8 +86,8 @@ _WS = r"[^\x20\x09-\x0D]+"
         FROM counts LEFT JOIN covered USING (doc_id)
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-           NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 15 * n_words AND n_symbols / n_words <= 0.1
-           AND n_stop / n_words >= 0.02 AND (n_lines = 0 OR n_dup_lines / n_lines <= 0.3) AS kept
+           NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 15 * n_words AND n_symbols / n_words <= 0.2
+           AND n_stop / n_words >= 0.02 AND (n_lines = 0 OR n_dup_lines / n_lines <= 0.5) AS kept
     FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
     """,
 )

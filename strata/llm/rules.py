@@ -34,9 +34,9 @@ class Rule:
 RULES = (
     Rule("length", "n_words", low=50),
     Rule("mean_word", "chars_per_word", low=2.0, high=15.0),
-    Rule("symbols", "symbols_per_word", high=0.1),
+    Rule("symbols", "symbols_per_word", high=0.2),
     Rule("stop_words", "stop_words_per_word", low=0.02),
-    Rule("duplicate_lines", "dup_lines_per_line", high=0.3),
+    Rule("duplicate_lines", "dup_lines_per_line", high=0.5),
     Rule("repetition", "repeat_words_per_word", high=0.5),
 )
 
