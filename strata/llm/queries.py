@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import public_tokenizers
+from strata.llm.bpe import Bpe, bpe_decode, bpe_encode
 from strata.llm.common import content
+from strata.llm.compression import fit_quality, quality_scores
 from strata.llm.exact import exact_dedup
 from strata.llm.mixing import mix
+from strata.llm.pii import pii_spans
 from strata.llm.rules import STOP_WORDS, quality_rules
 from strata.llm.sharding import kd_shards, payload
+from strata.llm.toxicity import fit_toxicity, toxicity_scores
 from strata.queries.base import Query, table
 
 QUERIES: dict[str, Query] = {"pipeline": corpus_pipeline.run}
@@ -135,3 +140,52 @@ def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Targets are rounded to a thousandth of a word, so that the order of additions doesn't show."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query("op4_compression_quality")
+def op4_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    model = fit_quality(docs, labels, _remainder(5) != 0)
+    return quality_scores(docs, model).select(
+        "doc_id", (_remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii_spans(table(spark, folder, "documents").select("doc_id", "text"))
+
+    def base(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[base(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(listed(F.filter("spans", lambda s: s["base"])).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    model = fit_toxicity(docs, labels, _remainder(4) != 2)
+    return toxicity_scores(docs, model).select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    bpe = Bpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), bpe)
+    return bpe_decode(encoded, bpe).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
