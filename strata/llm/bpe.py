@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from heapq import heappop, heappush
 
 import numpy as np
@@ -17,64 +18,28 @@ from strata.llm.common import col, content, fresh, without
 
 OUT = ("n_tokens", "ids")
 # Pre-tokens of at most so many bytes are remembered, and so many of them by one worker.
-CACHED_BYTES, CACHED = 48, 200_000
+CACHED_BYTES, CACHED = 48, 500_000
 
 
-class RankQueue:
-    """Positions by merge rank; the lowest rank comes first, and within it the leftmost position.
-
-    A bit of the lowest bitmap says that a rank's bucket has entries, a bit of a higher one that a
-    word below has bits. Find-first-set from the top reaches the lowest rank in a few steps, so an
-    operation costs the same however long the pre-token is.
-    """
-
-    def __init__(self, ranks: int):
-        self.levels = [[0] * (ranks // 64 + 1)]
-        while len(self.levels[-1]) > 1:
-            self.levels.append([0] * ((len(self.levels[-1]) - 1) // 64 + 1))
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            word, bit = rank >> 6, 1 << (rank & 63)
-            before = level[word]
-            level[word] = before | bit
-            if before:
-                break
-            rank = word
-
-    def pop(self) -> tuple[int, int] | None:
-        word = 0
-        for level in reversed(self.levels):
-            bits = level[word]
-            if not bits:
-                return None
-            word = (word << 6) | ((bits & -bits).bit_length() - 1)
-        rank, bucket = word, self.buckets[word]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            for level in self.levels:
-                level[word >> 6] &= ~(1 << (word & 63))
-                if level[word >> 6]:
-                    break
-                word >>= 6
-        return rank, position
+_BIT = [1 << i for i in range(256)]
 
 
 class Coder(dict):
-    """Ranks, pattern and remembered pre-tokens of one vocabulary; maps a pre-token to its packed ids."""
+    """Ranks, pattern and remembered pre-tokens of one vocabulary; maps a pre-token to its packed ids.
+
+    The rank queue holds positions in one bucket per merge rank. A bit of the lower bitmap, in words of
+    256 ranks, says that a rank's bucket has entries; a bit of the upper one, that a lower word has bits.
+    Two find-first-set steps reach the lowest rank, so an operation costs the same however long the
+    pre-token is. Buckets are heaps, so that of equal ranks the leftmost goes first.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        # Empty between pre-tokens, so they are made once.
+        self.buckets: dict[int, list[int]] = {}
+        self.lower = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
         # White space as Unicode has it; the pattern's \s would also take four separators.
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
 
@@ -84,35 +49,51 @@ class Coder(dict):
         Parts are a linked list over byte positions. An entry of the queue is stale, and skipped,
         when the pair at its position has another rank by now or is gone.
         """
-        rank_of, queue, n = self.ranks.get, self.queue, len(piece)
+        rank_of, buckets, lower, upper, n = self.ranks.get, self.buckets, self.lower, 0, len(piece)
         whole = rank_of(piece)
         if whole is not None:
             return [whole]
-        after, before, current = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-        for i in range(n - 1):
-            rank = rank_of(piece[i : i + 2])
+        after, before = list(range(1, n + 1)), list(range(-1, n))
+        current = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
+        current.append(None)
+        for i, rank in enumerate(current):
             if rank is not None:
-                current[i] = rank
-                queue.push(rank, i)
-        while entry := queue.pop():
-            rank, i = entry
+                if rank in buckets:
+                    buckets[rank].append(i)  # ascending, which is a heap
+                else:
+                    buckets[rank] = [i]
+                    lower[rank >> 8] |= _BIT[rank & 255]
+                    upper |= 1 << (rank >> 8)
+        while upper:
+            word = (upper & -upper).bit_length() - 1
+            bits = lower[word]
+            rank = (word << 8) | ((bits & -bits).bit_length() - 1)
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                lower[word] = bits = bits & (bits - 1)
+                if not bits:
+                    upper &= upper - 1
             if current[i] != rank:
                 continue
             gone = after[i]
-            end = after[gone]
-            after[i], current[gone], current[i] = end, -1, -1
-            if end < n:
-                before[end] = i
-                rank = rank_of(piece[i : after[end]])
-                if rank is not None:
-                    current[i] = rank
-                    queue.push(rank, i)
-            if i:
-                left = before[i]
-                rank = rank_of(piece[left:end])
-                current[left] = -1 if rank is None else rank
+            after[i] = end = after[gone]
+            current[gone] = current[i] = None
+            before[end] = i
+            left = before[i]
+            for at, stop in ((i, after[end] if end < n else 0), (left, end if left >= 0 else 0)):
+                if not stop:
+                    continue
+                rank = rank_of(piece[at:stop])
+                current[at] = rank
                 if rank is not None:
-                    queue.push(rank, left)
+                    if rank in buckets:
+                        heappush(buckets[rank], at)
+                    else:
+                        buckets[rank] = [at]
+                        lower[rank >> 8] |= _BIT[rank & 255]
+                        upper |= 1 << (rank >> 8)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i : after[i]]])
@@ -121,7 +102,8 @@ class Coder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
-        packed = np.array(self.merge(raw), "<u4").tobytes()
+        ids = self.merge(raw)
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(raw) <= CACHED_BYTES:
             if len(self) >= CACHED:
                 self.clear()
