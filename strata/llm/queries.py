@@ -11,6 +11,7 @@ from strata.llm.bpe import Bpe, bpe_decode, bpe_encode
 from strata.llm.common import content
 from strata.llm.compression import fit_quality, quality_scores
 from strata.llm.exact import exact_dedup
+from strata.llm.minhash import near_dedup
 from strata.llm.mixing import mix
 from strata.llm.pii import pii_spans
 from strata.llm.rules import STOP_WORDS, quality_rules
@@ -32,6 +33,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_minhash")
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return near_dedup(docs, shingle=4).drop("text")
+
+
 @query("op2_shards")
 def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
     """40 shards of nearly equal bytes by language, source, length and id."""
