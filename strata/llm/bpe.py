@@ -5,20 +5,24 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections.abc import Iterator, Sequence
 from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import col, content, fresh, without
 
 OUT = ("n_tokens", "ids")
 # Pre-tokens of at most so many bytes are remembered, and so many of them by one worker.
-CACHED_BYTES, CACHED = 48, 500_000
+CACHED_BYTES, CACHED = 48, 250_000
+SLICE_BYTES = 2 << 20
 
 
 _BIT = [1 << i for i in range(256)]
@@ -137,50 +141,72 @@ def _coder(shared: Broadcast, pattern: str) -> Coder:
 
 
 class Bpe:
-    """Column functions of one vocabulary. The file is read by the driver and has a fixed size; workers get its content."""
+    """One vocabulary, ready for use in tasks. The file is read by the driver and has a fixed size; workers get its content."""
 
     def __init__(self, spark: SparkSession, path: str, pattern: str):
         with open(path, "rb") as f:
-            shared = spark.sparkContext.broadcast(f.read())
+            self.shared = spark.sparkContext.broadcast(f.read())
+        self.pattern = pattern
 
-        @F.pandas_udf("binary")
-        def encode(texts: pd.Series) -> pd.Series:
-            coder = _coder(shared, pattern)
-            return texts.map(coder.encode)
+    def decode(self, packed: Column) -> Column:
+        shared, pattern = self.shared, self.pattern
 
         @F.pandas_udf("binary")
         def decode(packed: pd.Series) -> pd.Series:
-            coder = _coder(shared, pattern)
-            return packed.map(coder.decode)
+            return packed.map(_coder(shared, pattern).decode)
+
+        return decode(packed)
+
 
-        @F.pandas_udf("array<int>")
-        def unpack(packed: pd.Series) -> pd.Series:
-            return packed.map(lambda p: np.frombuffer(p, "<u4").astype("i4"))
+def unpack(packed: Column) -> Column:
+    """Packed ids as an array of integers."""
 
-        self.encode, self.decode, self.unpack = encode, decode, unpack
+    @F.pandas_udf("array<int>")
+    def unpack(packed: pd.Series) -> pd.Series:
+        return packed.map(lambda p: np.frombuffer(p, "<u4").astype("i4"))
 
+    return unpack(packed)
 
-def bpe_encode(docs: DataFrame, bpe: Bpe, text: str = "text", arrays: bool = False) -> DataFrame:
-    """All rows with ``n_tokens`` and ``ids``: little-endian unsigned 32-bit integers in a binary, or an array.
 
-    Every match of the pattern is encoded separately; text that looks like a special token is text.
-    Whole texts, in Arrow batches that Spark bounds by bytes. NULL and empty texts have no ids. Columns of the
-    input named like an added one are replaced.
+def bpe_encode(
+    docs: DataFrame, bpe: Bpe, text: str = "text", carry: Sequence[str] | None = None, decoded: bool = False
+) -> DataFrame:
+    """All rows with ``n_tokens`` and ``ids``, little-endian unsigned 32-bit integers in a binary.
+
+    Every match of the pattern is encoded separately; text that looks like a special token is text. Texts are
+    encoded whole, and results leave the worker in slices of about ``SLICE_BYTES``, so that memory does not follow
+    the size of a batch. ``carry`` names the input columns to keep (default: all); ``decoded`` adds the bytes that the
+    ids stand for. NULL and empty texts have no ids. Columns of the input named like an added one are replaced.
     """
-    docs = without(docs, OUT)
-    (packed,) = fresh(docs, "packed")
-    out = docs.withColumn(packed, bpe.encode(content(text)))
-    return out.select(
-        *[col(c) for c in docs.columns],
-        (F.octet_length(packed) / 4).cast("bigint").alias("n_tokens"),
-        (bpe.unpack(F.col(packed)) if arrays else F.col(packed)).alias("ids"),
-    )
+    added = [*OUT, *(["decoded"] if decoded else [])]
+    docs = without(docs, added)
+    carried = [c for c in docs.columns if carry is None or c in carry]
+    (body,) = fresh(docs, "body")
+    shared, pattern = bpe.shared, bpe.pattern
+    source = docs.select(*[col(c) for c in carried], content(text).alias(body))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(shared, pattern)
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            done = 0
+            while done < len(texts):
+                ids, size, start = [], 0, done
+                while done < len(texts) and size < SLICE_BYTES:
+                    ids.append(coder.encode(texts[done].as_py()))
+                    size += len(ids[-1])
+                    done += 1
+                columns = [c.slice(start, done - start) for c in batch.columns[:-1]]
+                columns += [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([coder.decode(i) for i in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*carried, *added])
+
+    schema = T.StructType([docs.schema[c] for c in carried]).add("n_tokens", T.LongType()).add("ids", T.BinaryType())
+    return source.mapInArrow(run, schema.add("decoded", T.BinaryType()) if decoded else schema)
 
 
 def bpe_decode(encoded: DataFrame, bpe: Bpe, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All rows with the bytes that packed ``ids`` stand for; NULL ids give no bytes."""
     return without(encoded, (out,)).withColumn(out, bpe.decode(F.coalesce(col(ids), F.lit(b""))))
 
-
-def sha256_hex(c: Column) -> Column:
-    return F.sha2(c, 256)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from strata.llm.bpe import Bpe, bpe_decode, bpe_encode
+from strata.llm.bpe import Bpe, bpe_encode
 from strata.llm.common import content
 from strata.llm.compression import fit_quality, quality_scores
 from strata.llm.exact import exact_dedup
@@ -192,7 +192,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     bpe = Bpe(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), bpe)
-    return bpe_decode(encoded, bpe).select(
+    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), bpe, carry=["doc_id"], decoded=True)
+    return encoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
