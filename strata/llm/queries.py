@@ -11,6 +11,7 @@ from strata.llm.bpe import Bpe, bpe_encode
 from strata.llm.common import content
 from strata.llm.compression import fit_quality, quality_scores
 from strata.llm.exact import exact_dedup
+from strata.llm.lines import line_dedup
 from strata.llm.minhash import near_dedup
 from strata.llm.mixing import mix
 from strata.llm.pii import pii_spans
@@ -180,6 +181,11 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_line_dedup")
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
