@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,16 +42,20 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def choose_words(positive: list[set[str]], unlabelled: list[set[str]]) -> list[str]:
+def choose_words(positive: Sequence[str], unlabelled: Sequence[str]) -> list[str]:
     """Words and stems whose share of positive texts is above that of unlabelled ones, the clearest first.
 
-    Of a word and its stems only the clearest stays, the longest if equal.
+    Of a word and its stems only the clearest stays, the longest if equal. Texts are split again for every pass, so
+    that only counts are held.
     """
-    in_p, in_u = Counter(w for t in positive for w in t), Counter(w for t in unlabelled for w in t)
+    in_p, in_u = Counter(), Counter()
+    for text in positive:
+        in_p.update(tokens(text))
+    in_p = {w: k for w, k in in_p.items() if k >= LEAST_TEXTS}
+    for text in unlabelled:
+        in_u.update(w for w in tokens(text) if w in in_p)
     n, m, scores = len(positive), len(unlabelled), {}
     for word, k in in_p.items():
-        if k < LEAST_TEXTS:
-            continue
         pooled = (k + in_u[word]) / (n + m)
         spread = np.sqrt(max(pooled * (1 - pooled), 1e-12) * (1 / n + 1 / m))
         z = (k / n - in_u[word] / m) / spread
@@ -64,13 +69,13 @@ def choose_words(positive: list[set[str]], unlabelled: list[set[str]]) -> list[s
     return sorted(scores.keys() - beaten, key=lambda w: (-scores[w], w))[:MOST_WORDS]
 
 
-def _flat(texts: list[set[str]], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    pairs = [(i, place[w]) for i, t in enumerate(texts) for w in t if w in place]
+def _flat(texts: Sequence[str], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    pairs = [(i, place[w]) for i, t in enumerate(texts) for w in tokens(t) if w in place]
     both = np.array(pairs, dtype=np.int64).reshape(-1, 2)
     return both[:, 0], both[:, 1]
 
 
-def fit_nnpu(positive: list[set[str]], unlabelled: list[set[str]], prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 1e-4) -> ToxicityModel:
+def fit_nnpu(positive: Sequence[str], unlabelled: Sequence[str], prior: float, steps: int = 600, rate: float = 0.05, ridge: float = 1e-4) -> ToxicityModel:
     """Minimise the non-negative risk ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` with logistic loss.
 
     Unlabelled texts hold a share ``prior`` of positive ones; taking ``prior * R_p(-)`` off their risk as
@@ -132,7 +137,7 @@ def fit_toxicity(
     others = docs.filter(training).select(col(id).alias("k")).distinct().orderBy(*order).limit(unlabelled).withColumn("p", F.lit(0))
     picked = F.broadcast(toxic.unionByName(others))
     rows = docs.select(col(id).alias("k"), content(text).alias("t")).join(picked, "k").dropDuplicates(["k", "p"]).orderBy("p", "k").collect()
-    return fit_nnpu([tokens(r["t"]) for r in rows if r["p"] == 1], [tokens(r["t"]) for r in rows if r["p"] == 0], prior)
+    return fit_nnpu([r["t"] for r in rows if r["p"] == 1], [r["t"] for r in rows if r["p"] == 0], prior)
 
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
