@@ -17,7 +17,7 @@ from strata.llm.common import col, content, without
 OUT = ("score",)
 _words = re.compile(r"[^\W\d_]+").findall
 # A word is a feature if it stands out: in so many positive texts, and so many standard deviations more often than in unlabelled ones.
-LEAST_TEXTS, LEAST_Z, MOST_WORDS = 3, 6.0, 4000
+LEAST_TEXTS, LEAST_Z, MOST_WORDS = 3, 8.0, 4000
 # Beginnings of longer words are features too, for words that take endings.
 STEMS = (4, 5, 6, 7)
 
