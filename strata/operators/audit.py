@@ -18,6 +18,8 @@ def audit_except(a: DataFrame, b: DataFrame) -> DataFrame:
     the map-side aggregation.
     """
     columns = a.columns
+    if set(columns) != set(b.columns):
+        raise ValueError(f"only one version has the columns {sorted(set(columns) ^ set(b.columns))}")
     signed = a.withColumn("_sign", F.lit(1)).unionByName(b.select(*columns).withColumn("_sign", F.lit(-1)))
     net = signed.groupBy(*columns).agg(F.sum("_sign").alias("_net")).filter(F.col("_net") != 0)
     side = F.when(F.col("_net") > 0, "a_only").otherwise("b_only")
@@ -28,7 +30,8 @@ def audit_compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> Data
     """Row and value agreement of two versions: (column_name, outcome, n_rows).
 
     Keys are compared under ``column_name = '*'``: matched, a_only, b_only, and keys that are not
-    unique on a side (their values are not compared). One grouping by key replaces a full outer
+    unique on a side (their values are not compared). A column only one version has is reported as
+    ``only_in_a`` or ``only_in_b``, with that version's rows. One grouping by key replaces a full outer
     join, so repeated keys shrink before the shuffle instead of multiplying after it.
     """
     names = key_list(keys)
@@ -52,6 +55,8 @@ def audit_compare(a: DataFrame, b: DataFrame, keys: str | Sequence[str]) -> Data
         ("*", "b_only", (na == 0) & (nb == 1)),
         ("*", "key_not_unique", repeated),
     ]
+    outcomes += [(c, "only_in_a", na > 0) for c in a.columns if c not in b.columns]
+    outcomes += [(c, "only_in_b", nb > 0) for c in b.columns if c not in a.columns]
     for i, c in enumerate(columns):
         x, y = F.col(f"a{i}"), F.col(f"b{i}")
         outcomes += [

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.keys import any_null
 from strata.functions.time import clock, wall_micros
 from strata.operators.dedup import dedup_latest
-from strata.operators.sizing import PIECE_ROWS, hot_keys, input_piece, key_piece, no_piece, pieces_of, small_side
+from strata.operators.sizing import PIECE_ROWS, hot_keys, input_piece, key_piece, no_piece, pieces_of, plain_columns, small_side
 from strata.session import staged
 from strata.specs import key_list
 
@@ -77,7 +77,7 @@ def _snapshot(history, source, keys, order_by, opened, changed, run_ts, hard_del
 
     # A version or a source row without a key matches nothing: the version stays as it is, and each
     # look at the source opens the row anew.
-    h = current.withColumns({"_old": F.lit(True), "_piece": key_piece(names)}).alias("h")
+    h = current.withColumns({"_old": F.lit(True), "_piece": key_piece(names, plain_columns(current))}).alias("h")
     s = latest.withColumns({"_opened": opened, "_new": F.lit(True)}).alias("s")
     joined = h.join(s, [F.col(f"h.`{k}`") == F.col(f"s.`{k}`") for k in [*names, "_piece"]], "full_outer")
 
@@ -295,7 +295,7 @@ def asof_join(
         until = F.when(stop.isNull(), F.coalesce("_last_slice", F.lit(0))).otherwise(F.col("_end"))
         spans = spans.withColumn("_slice", F.explode(F.sequence(F.col("_first"), F.greatest("_first", until))))
     # Facts without a key or a time match nothing; negative slices hold no versions.
-    part = F.when(loose, -1 - input_piece()).otherwise(F.col("_slice"))
+    part = F.when(loose, -1 - input_piece(plain_columns(facts))).otherwise(F.col("_slice"))
     left = left.withColumns({"_slice": part, "_at": at, "_kind": F.lit(1)})
     version = F.struct(*attributes, stop.alias("valid_to")).alias("_version")
     right = spans.select(*names, "_slice", start.alias("_at"), F.lit(0).alias("_kind"), version)

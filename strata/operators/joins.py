@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.keys import any_null
-from strata.operators.sizing import fits_broadcast, hot_keys, input_piece, key_piece, pieces_of, small_side
+from strata.operators.sizing import fits_broadcast, hot_keys, input_piece, key_piece, no_piece, pieces_of, plain_columns, small_side
 from strata.specs import key_list
 
 def left_lookup(
@@ -35,13 +35,13 @@ def left_lookup(
     if hot is None:
         hot = hot_keys(facts.filter(~any_null(names)), names, hot_rows)
     if hot is None:
-        spread = facts.withColumn("_piece", key_piece(names))
+        spread = facts.withColumn("_piece", key_piece(names, plain_columns(facts)))
         copies = side.withColumn("_piece", F.lit(0))
     else:
         cut = small_side(hot.select(*names, pieces_of(F.col("n_rows"), hot_rows).alias("_pieces")))
-        piece = F.pmod(input_piece(), F.col("_pieces"))
+        piece = F.pmod(input_piece(plain_columns(facts)), F.col("_pieces"))
         spread = facts.join(cut, names, "left").withColumn(
-            "_piece", F.when(F.col("_pieces").isNotNull(), piece).otherwise(key_piece(names))
+            "_piece", F.when(F.col("_pieces").isNotNull(), piece).otherwise(key_piece(names, plain_columns(facts)))
         )
         last = F.coalesce(F.col("_pieces"), F.lit(1)) - 1
         copies = side.join(cut, names, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
@@ -55,10 +55,12 @@ def left_join_agg(
 ) -> DataFrame:
     """Entities with aggregates of their details; entities without details keep NULLs.
 
-    The details are aggregated before the join, so it moves one row per key.
+    The details are aggregated before the join, so it moves one row per key. Entities without a key are spread.
     """
     names = key_list(keys)
-    return entities.join(details.groupBy(*names).agg(*aggregates), names, "left")
+    spread = entities.withColumn("_piece", key_piece(names, plain_columns(entities)))
+    grouped = details.groupBy(*names).agg(*aggregates).withColumn("_piece", no_piece(names))
+    return spread.join(grouped, [*names, "_piece"], "left").drop("_piece")
 
 
 def fk_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:

@@ -11,7 +11,7 @@ from strata.functions.time import clock
 from strata.operators.align import align_by_name, column_intersect, find_column, widened
 from strata.operators.dedup import dedup_latest
 from strata.operators.mapping import drop_etl_columns
-from strata.operators.sizing import fits_broadcast, key_piece, no_piece
+from strata.operators.sizing import fits_broadcast, key_piece, no_piece, plain_columns
 from strata.specs import key_list
 
 
@@ -66,7 +66,7 @@ def merge_upsert(
         merged = _broadcast_merge(old, new.drop(*extra), names, insert_only)
     else:
         # The extra join key that spreads rows without a key would not fit the buckets.
-        old = old if co_located else old.withColumn("_piece", key_piece(names))
+        old = old if co_located else old.withColumn("_piece", key_piece(names, plain_columns(old)))
         merged = _shuffle_merge(old, new, [*names, *extra], insert_only)
     return merged.select(*schema.names)
 

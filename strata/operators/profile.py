@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from itertools import combinations
+from itertools import combinations, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,49 +109,44 @@ def custom_metadata(df: DataFrame, profile: Sequence[Mapping[str, str]]) -> Data
 KNOWN_KEYS = ("id", "uuid", "_id", "account_id")
 
 
+# Sketches kept in one pass over the table.
+SKETCHES = 400
+
+
 def candidate_keys(
     df: DataFrame,
     known: Sequence[str] = KNOWN_KEYS,
     columns: Sequence[str] | None = None,
-    max_columns: int = 3,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """Smallest column sets that identify every row: (key_columns, n_columns, n_rows).
 
-    A unique well-known name ends the search. Otherwise all sets of one column, then two, then three
-    are tried, up to the first size that gives a key; all keys of that size are reported. Distinct counts
-    per column come from one sketch pass and rule out sets that cannot reach the row count even with
-    the sketch's error; what remains is decided exactly, one aggregation per set size.
+    A unique well-known name ends the search, and so do rows that repeat in all columns. Otherwise all sets of
+    one column, then two, and so on are tried, up to the first size that gives a key; all keys of that size are
+    reported. A distinct-count sketch of each set's hash, many in one pass and without copying rows, rules out sets that
+    stay below the row count even with the sketch's error; what remains is decided exactly, set by set.
+    ``max_columns`` ends the search earlier.
     """
     spark = df.sparkSession
     names = list(columns or df.columns)
-    first = df.agg(
-        F.count("*").alias("n"),
-        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"d{i}") for i, c in enumerate(names)],
-        *[F.count(F.col(f"`{c}`")).alias(f"p{i}") for i, c in enumerate(names)],
-    ).first()
-    n = first["n"]
+    n, *present = df.agg(F.count("*"), *[F.count(F.col(f"`{c}`")) for c in names]).first()
     # A key part may not be NULL anywhere.
-    spread = {c: first[f"d{i}"] for i, c in enumerate(names) if first[f"p{i}"] == n}
-
-    def exact(sets: Sequence[tuple[str, ...]]) -> list[tuple[str, ...]]:
-        if not sets:
-            return []
-        counts = df.agg(
-            *[F.count_distinct(F.struct(*[F.col(f"`{c}`") for c in s])).alias(f"s{i}") for i, s in enumerate(sets)]
-        ).first()
-        return [s for i, s in enumerate(sets) if counts[f"s{i}"] == n]
-
-    def promising(s: tuple[str, ...]) -> bool:
-        room = 1.0
-        for c in s:
-            room *= spread[c] * 1.2
-        return room >= n
-
-    usual = [find_column(k, list(spread)) for k in known]
-    found = exact([(c,) for c in usual if c])[:1] if n else []
-    size = 1
-    while n and not found and size <= max_columns:
-        found = exact([s for s in combinations(spread, size) if promising(s)])
+    filled = [c for c, k in zip(names, present) if k == n]
+
+    def unique(s: Sequence[str]) -> bool:
+        return df.groupBy(*[F.col(f"`{c}`") for c in s]).count().filter("count > 1").isEmpty()
+
+    def near(sets: Sequence[tuple[str, ...]], error: float = 0.03) -> list[tuple[str, ...]]:
+        sketches = [F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in s]), error) for s in sets]
+        return [s for s, k in zip(sets, df.agg(*sketches).first()) if k >= n * (1 - 5 * error)]
+
+    usual = [find_column(k, filled) for k in known]
+    found = next(([(c,)] for c in usual if c and unique([c])), []) if n else []
+    size = 1 if n and not found and filled and unique(filled) else len(filled) + 1
+    while not found and size <= min(len(filled), max_columns or len(filled)):
+        sets = combinations(filled, size)
+        while chunk := list(islice(sets, SKETCHES)):
+            found += [s for s in near(chunk) if unique(s)]
         size += 1
     rows = [(",".join(s), len(s), n) for s in found]
     return spark.createDataFrame(rows, "key_columns string, n_columns int, n_rows bigint")

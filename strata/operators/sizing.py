@@ -66,14 +66,25 @@ def pieces_of(n_rows: Column, piece_rows: int | None = None) -> Column:
     return F.ceil(n_rows / F.lit(PIECE_ROWS if piece_rows is None else piece_rows)).cast("int")
 
 
-def input_piece() -> Column:
-    """The number of the row's input partition: tells equal rows apart, and a repeated task gives it again."""
-    return F.spark_partition_id()
+def input_piece(columns: Sequence[str] = ()) -> Column:
+    """A number that tells rows of one key apart, and that a repeated task gives again.
+
+    It mixes the row's other columns with its input partition: equal rows differ by where they lie, and rows that lie
+    together, say in a file sorted by the key, differ by what they hold.
+    """
+    values = [F.col(f"`{c}`") for c in columns]
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *values), F.lit(2**31 - 1)).cast("int")
+
+
+def plain_columns(df: DataFrame) -> list[str]:
+    """Columns that can be hashed as they are."""
+    nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+    return [f.name for f in df.schema if not isinstance(f.dataType, nested)]
 
 
-def key_piece(keys: Sequence[str]) -> Column:
+def key_piece(keys: Sequence[str], columns: Sequence[str] = ()) -> Column:
     """An extra join key: 0 for rows with a key, spread values for rows without one, which match nothing."""
-    return F.when(any_null(keys), input_piece() + 1).otherwise(0)
+    return F.when(any_null(keys), input_piece(columns) + 1).otherwise(0)
 
 
 def no_piece(keys: Sequence[str]) -> Column:

@@ -12,8 +12,6 @@ from strata.functions.keys import surrogate_key
 # First day of the calendar and days it runs past the clock.
 DEFAULT_START = dt.date(2020, 1, 1)
 DAYS_AHEAD = 365
-# A calendar stays small: two hundred years at most.
-MAX_DAYS = 73_050
 
 
 def _day(value) -> dt.date:
@@ -22,18 +20,26 @@ def _day(value) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value)[:10])
 
 
-def date_spine(spark: SparkSession, start=DEFAULT_START, end=None, as_of=None) -> DataFrame:
-    """One row per day from ``start`` up to but not including ``end`` (a year past ``as_of`` by default)."""
+def date_spine(spark: SparkSession, start=DEFAULT_START, end=None, as_of=None, last=None) -> DataFrame:
+    """One row per day from ``start`` up to but not including ``end`` (a year past ``as_of`` by default).
+
+    ``last`` names the last day instead; all days from 0001-01-01 to 9999-12-31 can be covered.
+    """
     first = _day(start)
-    stop = _day(end) if end is not None else _day(as_of) + dt.timedelta(days=DAYS_AHEAD)
-    if not 0 < (stop - first).days <= MAX_DAYS:
-        raise ValueError(f"a calendar covers 1 to {MAX_DAYS} days")
-    return spark.range((stop - first).days).select(
-        F.date_add(F.lit(first), F.col("id").cast("int")).alias("date_day")
+    if last is not None:
+        days = (_day(last) - first).days + 1
+    else:
+        days = ((_day(end) if end is not None else _day(as_of) + dt.timedelta(days=DAYS_AHEAD)) - first).days
+    if days <= 0:
+        raise ValueError("a calendar covers one day at least")
+    return spark.range(days).select(
+        F.date_add(F.lit(first.isoformat()).cast("date"), F.col("id").cast("int")).alias("date_day")
     )
 
 
-def dim_date(spark: SparkSession, as_of, start=DEFAULT_START, end=None, fiscal_start_month: int | None = None) -> DataFrame:
+def dim_date(
+    spark: SparkSession, as_of, start=DEFAULT_START, end=None, fiscal_start_month: int | None = None, last=None
+) -> DataFrame:
     """Calendar dimension, one row per day; weeks begin on Monday, day-of-week numbers on Sunday = 0."""
     d, today = F.col("date_day"), F.lit(_day(as_of))
     year, month, quarter = F.year(d), F.month(d), F.quarter(d)
@@ -69,7 +75,7 @@ def dim_date(spark: SparkSession, as_of, start=DEFAULT_START, end=None, fiscal_s
         "year_start_date": year1,
         "year_end_date": F.date_sub(F.add_months(year1, 12), 1),
     }
-    calendar = date_spine(spark, start, end, as_of).select(*[c.alias(n) for n, c in columns.items()])
+    calendar = date_spine(spark, start, end, as_of, last).select(*[c.alias(n) for n, c in columns.items()])
     return with_fiscal(calendar, fiscal_start_month) if fiscal_start_month else calendar
 
 

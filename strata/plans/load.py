@@ -20,7 +20,8 @@ from strata.operators.align import staging_like
 from strata.operators.incremental import as_timestamp
 from strata.operators.mapping import filter_watermark, map_fields
 from strata.operators.merge import full_refresh, merge_upsert
-from strata.operators.quality import load_stats
+from strata.operators.profile import custom_metadata, run_metadata
+from strata.operators.quality import load_stats, table_checks
 from strata.operators.watermarks import (
     STATE_KEY,
     STATE_SCHEMA,
@@ -28,12 +29,15 @@ from strata.operators.watermarks import (
     watermark_set_status,
     watermark_update,
 )
-from strata.session import staged
+from strata.session import Workspace, staged
+from strata.sources.files import read_csv, read_ndjson_tolerant
 from strata.specs import LoadSpec, key_list
 
 DEFAULT_WINDOW_DAYS = 90
-# Up to this many partition values are put into the scan as literals; more go through a join.
-MAX_PARTITION_LITERALS = 5_000
+# Partition values put into one scan as literals; more take several scans.
+PARTITION_LITERALS = 5_000
+# Folder in a partitioned table that holds the new content of partitions until they are replaced; readers skip it.
+PENDING = "_pending"
 
 # Extractor of a load: gets the window as ISO dates.
 Extract = Callable[[SparkSession, LoadSpec, str, str], DataFrame]
@@ -47,6 +51,9 @@ class LoadResult:
     state: DataFrame
     stats: DataFrame
     status: str = "success"
+    metadata: DataFrame | None = None  # what the run did, one row
+    profile: DataFrame | None = None  # the declared profile of the loaded table
+    checks: DataFrame | None = None  # the standing checks of the loaded table
 
 
 def _one_key(spark: SparkSession, spec: LoadSpec) -> DataFrame:
@@ -65,6 +72,14 @@ def current_watermark(state: DataFrame, spec: LoadSpec) -> str | None:
     return row[0] if row else None
 
 
+def last_run_at(state: DataFrame, spec: LoadSpec):
+    """When a table was last loaded; None if never."""
+    own = dict(zip(STATE_KEY, (spec.layer, spec.target_schema, spec.target_table)))
+    for k, v in own.items():
+        state = state.filter(F.col(k) == v)
+    return state.agg(F.max("last_run_at")).first()[0]
+
+
 def extraction_window(spec: LoadSpec, watermark: str | None, as_of, days: int = DEFAULT_WINDOW_DAYS) -> tuple[str, str]:
     """ISO dates from the day of the watermark (or a default span back) to the day of the clock."""
     today = as_timestamp(as_of).date()
@@ -127,6 +142,32 @@ def load_batch(
     return LoadResult(new_target, watermark_update(state, watermark_rows(batch, spec, run_ts), run_ts), stats)
 
 
+def read_files(spark: SparkSession, path: str, schema: T.StructType, kind: str | None = None) -> DataFrame:
+    """A batch from NDJSON or CSV files in those of the target's columns that the files name. The kind is told from the
+    path unless given.
+
+    Files hold mapped records: neither field mappings nor the watermark filter apply to them. NDJSON is looked through for
+    its field names first, so that an upsert leaves other columns as they are.
+    """
+    bare = path.rstrip("/").lower().removesuffix(".gz")
+    kind = kind or ("csv" if bare.endswith(".csv") else "ndjson")
+    if kind == "csv":
+        return read_csv(spark, path, schema)
+    if kind == "ndjson":
+        keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("name")).filter(F.col("name").isin(schema.names))
+        named = {r["name"] for r in keys.distinct().collect()}
+        return read_ndjson_tolerant(spark, path, T.StructType([f for f in schema if f.name in named]))
+    raise ValueError(f"files are ndjson or csv, not {kind!r}")
+
+
+def load_files(
+    path: str, target: DataFrame, spec: LoadSpec, state: DataFrame, run_ts, kind: str | None = None, **merge_options
+) -> LoadResult:
+    """:func:`load_batch` from NDJSON or CSV files, which are read once, into a staging table."""
+    batch = staged(read_files(target.sparkSession, path, target.schema, kind), spec.name)
+    return load_batch(target, batch, spec, state, run_ts, **merge_options)
+
+
 def prepare_batch(raw: DataFrame, spec: LoadSpec, watermark: str | None, run_ts) -> tuple[DataFrame, DataFrame]:
     """Mapped and filtered batch, and its statistics.
 
@@ -150,21 +191,20 @@ def run_load(
     state: DataFrame,
     spec: LoadSpec,
     run_ts,
-    stage: bool = False,
+    stage: bool = True,
     **merge_options,
 ) -> LoadResult:
     """One whole load as DataFrames.
 
-    ``stage`` writes the prepared batch to the shared folder first, as a real staging table: it is
-    then computed once for the merge, the watermark and the emptiness test, and survives the loss
-    of an executor. A staged batch is measured, and joined by broadcast if it is small.
+    ``stage`` writes the extract to the shared folder first, as a real staging table: the source is then read
+    once for the counts, the merge, the watermark and the emptiness test, which all see the same rows, and the
+    loss of an executor costs no second reading. A staged batch is measured, and joined by broadcast if it is small.
     """
     spark = raw.sparkSession
     watermark = current_watermark(state, spec)
     started = watermark_mark_started(state, _one_key(spark, spec), run_ts)
-    batch, stats = prepare_batch(raw, spec, watermark, run_ts)
+    batch, stats = prepare_batch(staged(raw, spec.name) if stage else raw, spec, watermark, run_ts)
     if stage:
-        batch = staged(batch, spec.name)
         merge_options.setdefault("small_batch", True)
     return load_batch(target, batch, spec, started, run_ts, stats, **merge_options)
 
@@ -178,9 +218,19 @@ def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequ
 
     ``buckets`` stores the table bucketed and sorted by ``keys``; upserts by exactly these keys then
     leave the table's rows where they are. It is for tables whose rows all have a key: rows without
-    one would share a bucket.
+    one would share a bucket. A table that is bucketed stays so; other buckets or keys than its own are an error, and so is a
+    column of another type, before anything is written. A column that ``df`` lacks reads as NULL.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        own, own_keys = bucketing(spark, table)
+        if buckets and (buckets, list(keys)) != (own, own_keys):
+            raise ValueError(f"{table} has {own} buckets by {own_keys}, not {buckets} by {list(keys)}")
+        buckets, keys = own, own_keys
+        have = {f.name.lower(): f.dataType for f in spark.table(table).schema}
+        changed = [f.name for f in df.schema if have.get(f.name.lower(), f.dataType) != f.dataType]
+        if changed:
+            raise ValueError(f"{table} has other types for {', '.join(changed)}")
     version = uuid.uuid4().hex
     path = f"{folder.rstrip('/')}/{version}"
     if buckets:
@@ -206,6 +256,13 @@ def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequ
     spark.catalog.refreshTable(table)
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets and bucket columns of a table; 0 and none if it is not bucketed."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    names = rows.get("Bucket Columns", "").strip("[]")
+    return int(rows.get("Num Buckets") or 0), [n.strip("` ") for n in names.split(",") if n.strip()]
+
+
 def current(spark: SparkSession, table: str) -> DataFrame:
     """The newest published version of a table, also when another session published it."""
     spark.catalog.refreshTable(table)
@@ -223,25 +280,48 @@ def merge_partitions(
 ) -> None:
     """Upsert into a partitioned parquet table, reading and rewriting only the partitions of the batch.
 
-    The partition column must be part of the key, so a key never moves between partitions.
+    The partition column must be part of the key, so a key never moves between partitions. The new content of
+    the touched partitions is complete in the table's folder before any is replaced.
     """
     names = key_list(keys)
     if partition_by not in names:
         raise ValueError(f"{partition_by} must be part of the key {', '.join(names)}")
+    replace_pending(spark, path, partition_by)
     target = spark.read.parquet(path)
-    touched = batch.select(F.col(partition_by).cast(target.schema[partition_by].dataType)).distinct()
-    values = [r[0] for r in touched.limit(MAX_PARTITION_LITERALS + 1).collect()]
-    if len(values) <= MAX_PARTITION_LITERALS:
-        wanted = F.col(partition_by).isin(*[v for v in values if v is not None])
-        old = target.filter(wanted | F.col(partition_by).isNull() if None in values else wanted)
-    else:
-        named = touched.withColumnRenamed(partition_by, "_touched")
-        old = target.join(named, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
-    merged = merge_upsert(old, batch, names, order_by, **merge_options)
-    # A rebalance keeps files at a sensible size and splits a partition value that holds most rows.
-    merged.hint("rebalance", partition_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(partition_by).parquet(path)
+    with Workspace(spark, "batch") as work:
+        batch = work.stage(batch)  # one reading for the touched partitions and for the merge
+        touched = batch.select(F.col(partition_by).cast(target.schema[partition_by].dataType)).distinct()
+        old = touched_partitions(target, partition_by, [r[0] for r in touched.collect()])
+        merged = merge_upsert(old, batch, names, order_by, **merge_options)
+        # A rebalance keeps files at a sensible size and splits a partition value that holds most rows.
+        merged.hint("rebalance", partition_by).write.mode("overwrite").parquet(f"{path}/{PENDING}")
+    replace_pending(spark, path, partition_by)
+
+
+def touched_partitions(target: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows of the listed partitions. Values go into scans as literals, so every scan lists only its own partitions."""
+    known = [v for v in values if v is not None]
+    out = target.filter(F.col(column).isNull()) if None in values else None
+    for i in range(0, len(known), PARTITION_LITERALS):
+        part = target.filter(F.col(column).isin(*known[i : i + PARTITION_LITERALS]))
+        out = part if out is None else out.unionByName(part)
+    return target.limit(0) if out is None else out
+
+
+def replace_pending(spark: SparkSession, path: str, partition_by: str) -> None:
+    """Put complete pending content in the place of its partitions, then forget it.
+
+    Spark replaces partitions by deleting and renaming. A run that dies in between leaves the content pending, and the next
+    merge puts it in place before anything else.
+    """
+    pending = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PENDING}")
+    files = pending.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(pending):
+        return
+    if files.exists(spark._jvm.org.apache.hadoop.fs.Path(pending, "_SUCCESS")):
+        rows = spark.read.parquet(f"{path}/{PENDING}")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    files.delete(pending, True)
 
 
 def execute_load(
@@ -255,17 +335,37 @@ def execute_load(
 ) -> LoadResult:
     """Extract, load and publish one table; a failure is recorded in the state table and raised.
 
+    The extract is staged, so the source is read once. The result also holds what the run did, the declared profile and
+    the standing checks of the table.
+
     Target and state are published one after the other. A crash between them replays the batch on
     the next run, which the upsert makes harmless.
     """
     try:
         state = current(spark, state_table)
-        raw = extract(spark, spec, *extraction_window(spec, current_watermark(state, spec), run_ts))
-        result = run_load(raw, current(spark, target_table), state, spec, run_ts, stage=True)
+        watermark, last_run = current_watermark(state, spec), last_run_at(state, spec)
+        # A run that dies leaves its started mark.
+        publish(watermark_mark_started(state, _one_key(spark, spec), run_ts), state_table, f"{folder}/{state_table}")
+        state = current(spark, state_table)
+        raw = staged(extract(spark, spec, *extraction_window(spec, watermark, run_ts)), spec.name)
+        before = current(spark, target_table)
+        n_before = before.count()
+        result = run_load(raw, before, state, spec, run_ts, stage=False, small_batch=True)
         if result.status == "success":
             publish(result.target, target_table, f"{folder}/{target_table}")
         publish(result.state, state_table, f"{folder}/{state_table}")
-        return LoadResult(current(spark, target_table), current(spark, state_table), result.stats, result.status)
+        target, state = current(spark, target_table), current(spark, state_table)
+        counts = result.stats.first()
+        batch, _ = prepare_batch(raw, spec, watermark, run_ts)
+        return LoadResult(
+            target,
+            state,
+            result.stats,
+            result.status,
+            run_metadata(batch, counts["pk_missing"], n_before, watermark, spec.incremental_column, run_ts, last_run),
+            custom_metadata(target, spec.custom_metadata) if spec.custom_metadata else None,
+            table_checks(target, spec, state, run_ts),
+        )
     except Exception as error:
         failed = _one_key(spark, spec).withColumns(
             {"status": F.lit("failed"), "error_message": F.lit(str(error))}

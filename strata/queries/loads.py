@@ -254,14 +254,17 @@ def run_load(spark, d):
 def run_load_state(spark, d):
     raw, target, known, spec = _run_inputs(spark, d)
     result = load.run_load(raw, target, known, spec, AS_OF)
+    key = ["layer", "target_schema", "target_table"]
     row = result.state.select(
-        "target_table",
+        *key,
         F.substring("watermark_value", 1, 19).alias("watermark_value"),
         "rows_processed",
         "status",
         "last_success_at",
     )
-    return row.join(result.stats.drop("mapped"), F.col("target_table") == "events")
+    own = dict(zip(key, (spec.layer, spec.target_schema, spec.target_table)))
+    stats = result.stats.drop("mapped").withColumns({k: F.lit(v) for k, v in own.items()})
+    return row.join(stats, key).drop("layer", "target_schema")
 
 
 _KEY = "layer, target_schema, target_table"

@@ -131,10 +131,10 @@ def date_range(spark, d):
     return M.date_range(known, AS_OF).select("target_table", "from_date", "to_date")
 
 
-@query("clean_string", "SELECT page_id, lower(trim(url)) AS url, lower(trim('  ' || left(html, 40) || ' ')) AS head FROM pages")
+@query("clean_string", "SELECT page_id, lower(trim(url)) AS url, lower(trim('  ' || html || ' ')) AS body FROM pages")
 def clean_string_(spark, d):
-    padded = F.concat(F.lit("  "), F.left("html", F.lit(40)), F.lit(" "))
-    return table(spark, d, "pages").select("page_id", clean_string("url").alias("url"), clean_string(padded).alias("head"))
+    padded = F.concat(F.lit("  "), F.col("html"), F.lit(" "))
+    return table(spark, d, "pages").select("page_id", clean_string("url").alias("url"), clean_string(padded).alias("body"))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +12,7 @@ from strata.operators.align import align_by_name
 from strata.operators.watermarks import STATE_SCHEMA
 from strata.plans import load
 from strata.queries.base import AS_OF, ORACLES, query, table
-from strata.queries.inputs import STAGING, TARGET, events_staging, events_target
+from strata.queries.inputs import STAGING, TARGET, customer_v1, customer_v2, events_staging, events_target
 from strata.queries.loads import _run_inputs
 from strata.session import work_dir
 
@@ -22,18 +24,38 @@ def _events(spark, d):
     return table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
 
 
-@query("scan_ndjson", _EVENTS_SQL)
+# A wrong value in every 30th record, NULL after reading.
+_TYPED_SQL = "SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 30 <> 7 THEN value END AS value FROM events"
+
+
+def _written(ts):
+    """A time as text: ISO with Z, with an offset, with a blank and no fraction lost, or plain ISO."""
+    micros = "HH:mm:ss.SSSSSS"
+    shifted = F.date_format(F.col(ts) + F.expr("INTERVAL 2 HOURS"), f"yyyy-MM-dd'T'{micros}'+02:00'")
+    plain = F.date_format(ts, f"yyyy-MM-dd'T'{micros}")
+    kind = F.col("event_id") % 4
+    return F.when(kind == 0, F.concat(plain, F.lit("Z"))).when(kind == 1, shifted).when(kind == 2, F.date_format(ts, f"yyyy-MM-dd {micros}")).otherwise(plain)
+
+
+def _wrong_value():
+    return F.when(F.col("event_id") % 30 == 7, "not a number").otherwise(F.col("value").cast("string"))
+
+
+@query("scan_ndjson", _TYPED_SQL)
 def scan_ndjson(spark, d):
-    path = S.write_ndjson(_events(spark, d).withColumn("not_in_target", F.lit(1)), work_dir(spark, "ndjson"))
+    """Times in four written forms, and a value of the wrong type, which is NULL while its record stays."""
+    rows = _events(spark, d).withColumns({"ts": _written("ts"), "value": _wrong_value(), "not_in_target": F.lit(1)})
+    path = S.write_ndjson(rows, work_dir(spark, "ndjson"))
     return S.read_ndjson(spark, path, T.StructType.fromDDL(_EVENTS))
 
 
-@query("scan_ndjson_gz_tolerant", f"{_EVENTS_SQL} WHERE event_id % 50 <> 0")
+@query("scan_ndjson_gz_tolerant", f"{_TYPED_SQL} WHERE event_id % 50 <> 0")
 def scan_ndjson_gz_tolerant(spark, d):
-    line = F.to_json(F.struct("*"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    line = F.to_json(F.struct("*"))
     broken = F.when(F.col("event_id") % 50 == 0, F.substring(line, 1, 20)).otherwise(line)
     path = work_dir(spark, "export")
-    _events(spark, d).select(broken.alias("value")).write.option("compression", "gzip").text(path)
+    rows = _events(spark, d).withColumns({"ts": _written("ts"), "value": _wrong_value()})
+    rows.select(broken.alias("value")).write.option("compression", "gzip").text(path)
     return S.read_ndjson_tolerant(spark, path, T.StructType.fromDDL(_EVENTS))
 
 
@@ -43,7 +65,10 @@ def scan_csv(spark, d):
     text = _events(spark, d).select(
         "event_type", "value", F.col("ts").cast("string").alias("TS"), F.lit('a "quoted", text').alias("extra"), "event_id", "user_id"
     )
-    text.write.options(header=True, escape='"').csv(path)
+    # Two sorts of files with the same columns in different order.
+    text.filter("event_id % 3 = 0").write.options(header=True, escape='"').csv(path)
+    other = text.filter("event_id % 3 <> 0").select(*reversed(text.columns))
+    other.write.mode("append").options(header=True, escape='"').csv(path)
     return S.read_csv(spark, path, T.StructType.fromDDL(_EVENTS))
 
 
@@ -83,7 +108,10 @@ def write_ndjson(spark, d):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels")
+_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels",
+    "embeddings", "benchmark", "conversations",
+)
 
 
 @query(
@@ -114,7 +142,7 @@ def materialize_view(spark, d):
     f"""WITH {TARGET}, {STAGING}, t AS (SELECT event_id, ts, value, CAST(ts AS DATE) AS day FROM tgt),
     s AS (SELECT * FROM (SELECT event_id, ts, value, CAST(ts AS DATE) AS day,
         row_number() OVER (PARTITION BY event_id, CAST(ts AS DATE) ORDER BY ts DESC) AS rn
-      FROM stg WHERE CAST(ts AS DATE) >= DATE '2024-01-20') WHERE rn = 1)
+      FROM (SELECT * REPLACE (CASE WHEN CAST(ts AS DATE) < DATE '2024-01-20' THEN ts + INTERVAL 10 YEAR ELSE ts END AS ts) FROM stg)) WHERE rn = 1)
     SELECT coalesce(t.event_id, s.event_id) AS event_id, coalesce(s.ts, t.ts) AS ts,
       CASE WHEN s.event_id IS NOT NULL THEN s.value ELSE t.value END AS value, coalesce(t.day, s.day) AS day
     FROM t FULL OUTER JOIN s ON t.event_id = s.event_id AND t.day = s.day""",
@@ -125,18 +153,79 @@ def merge_partitions(spark, d):
 
     path = work_dir(spark, "daily")
     daily(events_target(spark, d)).write.partitionBy("day").parquet(path)
-    batch = daily(events_staging(spark, d)).filter(F.col("day") >= F.lit("2024-01-20").cast("date"))
+    # Rows of earlier days move ten years on, so that those days' partitions are not touched.
+    early = F.col("ts").cast("date") < F.lit("2024-01-20").cast("date")
+    moved = events_staging(spark, d).withColumn("ts", F.when(early, F.col("ts") + F.expr("INTERVAL 10 YEARS")).otherwise(F.col("ts")))
+    batch = daily(moved)
     load.merge_partitions(spark, path, batch, ["event_id", "day"], "day", "ts")
     return spark.read.parquet(path)
 
 
 @query("execute_load", ORACLES["run_load"])
 def execute_load(spark, d):
+    return _executed(spark, d).target
+
+
+def _executed(spark, d):
     raw, target, known, spec = _run_inputs(spark, d)
     folder = work_dir(spark, "tables")
     mark = folder.rsplit("-", 1)[1]
     target_table, state_table = f"strata_events_{mark}", f"strata_state_{mark}"
     load.publish(target, target_table, f"{folder}/{target_table}")
     load.publish(align_by_name(known, STATE_SCHEMA), state_table, f"{folder}/{state_table}")
-    result = load.execute_load(spark, spec, lambda *_: raw, target_table, state_table, folder, AS_OF)
-    return result.target
+    return load.execute_load(spark, spec, lambda *_: raw, target_table, state_table, folder, AS_OF)
+
+
+def _landed(spark, d, kind):
+    """The target's columns of the new events, as files in the shared folder."""
+    path = work_dir(spark, kind) + f".{kind}"
+    rows = events_staging(spark, d)
+    rows.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").format("csv" if kind == "csv" else "json").save(path)
+    return path
+
+
+def _file_load(spark, d, kind):
+    _, _, known, spec = _run_inputs(spark, d)
+    spec = dataclasses.replace(spec, primary_key=("event_id",), incremental_column="ts", field_mappings=())
+    return load.load_files(_landed(spark, d, kind), events_target(spark, d), spec, align_by_name(known, STATE_SCHEMA), AS_OF).target
+
+
+@query("load_batch_ndjson", ORACLES["merge_upsert"])
+def load_batch_ndjson(spark, d):
+    return _file_load(spark, d, "ndjson")
+
+
+@query("load_batch_csv", ORACLES["merge_upsert"])
+def load_batch_csv(spark, d):
+    return _file_load(spark, d, "csv")
+
+
+@query(
+    "execute_load_metadata",
+    f"SELECT total_raw - pk_missing - watermark_skipped AS records_processed, pk_missing AS errors FROM ({ORACLES['run_load_state']})",
+)
+def execute_load_metadata(spark, d):
+    return _executed(spark, d).metadata.select("records_processed", "errors")
+
+
+@query("materialize_table", "SELECT user_id, count(*) AS n_events FROM events GROUP BY user_id")
+def materialize_table(spark, d):
+    per_user = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n_events"))
+    return S.materialize(per_user, f"strata_per_user_{work_dir(spark, 't').rsplit('-', 1)[1]}", "table")
+
+
+@query("materialize_incremental", ORACLES["merge_upsert"])
+def materialize_incremental(spark, d):
+    folder = work_dir(spark, "models")
+    name = f"strata_model_{folder.rsplit('-', 1)[1]}"
+    S.materialize(events_target(spark, d), name, "incremental", folder=folder, unique_key=["event_id"], updated_at="ts")
+    return S.materialize(events_staging(spark, d), name, "incremental", folder=folder, unique_key=["event_id"], updated_at="ts")
+
+
+@query("materialize_snapshot", ORACLES["snapshot_timestamp"])
+def materialize_snapshot(spark, d):
+    folder = work_dir(spark, "models")
+    name = f"strata_snapshot_{folder.rsplit('-', 1)[1]}"
+    options = {"folder": folder, "unique_key": ["c_custkey"], "updated_at": "updated_at"}
+    S.materialize(customer_v1(spark, d), name, "snapshot", run_ts="2024-01-11 00:00:00", **options)
+    return S.materialize(customer_v2(spark, d), name, "snapshot", run_ts=AS_OF, **options)

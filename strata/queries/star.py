@@ -13,9 +13,9 @@ from strata.queries.inputs import dim_customer, dim_nation, stg_orders
 
 
 def _span(spark, d):
-    """First day of the orders and the day after the last, so the calendar follows the data."""
+    """First and last day of the orders, so the calendar follows the data."""
     low, high = table(spark, d, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    return low.date(), high.date() + dt.timedelta(days=1)
+    return low.date(), high.date()
 
 
 _DAYS = """days AS (SELECT CAST(range AS DATE) AS date_day FROM range(
@@ -59,11 +59,13 @@ FROM obt GROUP BY 1, 2"""
 
 @query("date_spine", f"WITH {_DAYS} SELECT date_day FROM days")
 def date_spine_(spark, d):
-    return date_spine(spark, *_span(spark, d))
+    first, last = _span(spark, d)
+    return date_spine(spark, first, last=last)
 
 
 def _calendar(spark, d, **options):
-    return dim_date(spark, "2000-02-29", *_span(spark, d), **options)
+    first, last = _span(spark, d)
+    return dim_date(spark, "2000-02-29", first, last=last, **options)
 
 
 @query("dim_date", f"WITH {_DIM_DATE} SELECT * FROM dim_date")
@@ -94,8 +96,8 @@ def fct_join_date(spark, d):
 _FACT_COLUMNS = ["order_sk", "date_sk", "customer_sk", "order_id", "order_status", "order_amount", "created_at", "updated_at"]
 
 
-def _fact(spark, d):
-    return S.fct_build(stg_orders(spark, d), _calendar(spark, d), "created_at", _FACT_COLUMNS)
+def _fact(spark, d, calendar):
+    return S.fct_build(stg_orders(spark, d), calendar, "created_at", _FACT_COLUMNS)
 
 
 @query(
@@ -116,10 +118,10 @@ def fct_build(spark, d):
 
 
 def _wide(spark, d, **options):
-    customer = dim_customer(spark, d)
+    customer, calendar = dim_customer(spark, d), _calendar(spark, d)
     return S.obt_build(
-        _fact(spark, d),
-        _calendar(spark, d),
+        _fact(spark, d, calendar),
+        calendar,
         ["date_day", "year_month", "quarter_number", "year_number", "is_weekend"],
         [
             (customer, "customer_sk", ["customer_id", "customer_segment", "nation_sk"]),

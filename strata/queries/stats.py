@@ -35,7 +35,11 @@ _LINEITEM_TYPES = {
     "l_suppkey": "bigint",
     "l_linenumber": "int",
     "l_quantity": "double",
+    "l_extendedprice": "double",
+    "l_discount": "double",
+    "l_tax": "double",
     "l_returnflag": "string",
+    "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
 }
 
@@ -101,28 +105,29 @@ def dup_groups(spark, d):
     return A.dup_groups(table(spark, d, "lineitem"), "l_orderkey,l_linenumber")
 
 
-_TYPES = ("click", "error", "purchase", "signup", "view")
+# Types with a column of their own; all others, NULL included, are counted in n_other.
+_TYPES = ("click", "error", "purchase", "signup")
+_COUNTS = ", ".join(f"count(*) FILTER (event_type = '{t}') AS n_{t}" for t in _TYPES) + (
+    f", count(*) FILTER (event_type IS NULL OR event_type NOT IN {_TYPES}) AS n_other"
+)
+_METRICS = [f"n_{t}" for t in (*_TYPES, "other")]
 
 
 @query(
     "pivot_metrics",
-    "SELECT user_id, "
-    + ", ".join(f"count(*) FILTER (event_type = '{t}') AS n_{t}" for t in _TYPES)
-    + " FROM events GROUP BY user_id",
+    f"SELECT user_id, {_COUNTS} FROM events GROUP BY user_id",
 )
 def pivot_metrics(spark, d):
-    return A.pivot_metrics(table(spark, d, "events"), "user_id", "event_type", _TYPES, "n_")
+    return A.pivot_metrics(table(spark, d, "events"), "user_id", "event_type", _TYPES, "n_", "other")
 
 
 @query(
     "unpivot_metrics",
-    "WITH wide AS (SELECT user_id, "
-    + ", ".join(f"count(*) FILTER (event_type = '{t}') AS n_{t}" for t in _TYPES)
-    + " FROM events GROUP BY user_id) "
-    + " UNION ALL ".join(f"SELECT user_id, 'n_{t}' AS metric, n_{t} AS value FROM wide" for t in _TYPES),
+    f"WITH wide AS (SELECT user_id, {_COUNTS} FROM events GROUP BY user_id) "
+    + " UNION ALL ".join(f"SELECT user_id, '{m}' AS metric, {m} AS value FROM wide" for m in _METRICS),
 )
 def unpivot_metrics(spark, d):
-    return A.unpivot_metrics(pivot_metrics(spark, d), "user_id", [f"n_{t}" for t in _TYPES])
+    return A.unpivot_metrics(pivot_metrics(spark, d), "user_id", _METRICS)
 
 
 @query(
@@ -210,47 +215,46 @@ def orphaned_orders(spark, d):
     return table(spark, d, "orders").withColumn("o_custkey", fk)
 
 
+_COMPARED = ("c_name", "c_mktsegment", "c_acctbal", "updated_at")
+
+
 @query(
     "audit_compare",
-    f"""WITH {CUSTOMERS}, j AS (
-      SELECT v1.c_custkey AS ka, v2.c_custkey AS kb, v1.c_mktsegment AS sa, v2.c_mktsegment AS sb,
-        v1.updated_at AS ua, v2.updated_at AS ub FROM v1 FULL OUTER JOIN v2 ON v1.c_custkey = v2.c_custkey),
+    f"WITH {CUSTOMERS}, j AS (SELECT v1.c_custkey AS ka, v2.c_custkey AS kb, "
+    + ", ".join(f"v1.{c} AS a_{c}, v2.{c} AS b_{c}" for c in _COMPARED)
+    + """ FROM v1 FULL OUTER JOIN v2 ON v1.c_custkey = v2.c_custkey),
     m AS (SELECT * FROM j WHERE ka IS NOT NULL AND kb IS NOT NULL)
     SELECT '*' AS column_name, 'matched' AS outcome, count(*) AS n_rows FROM m
     UNION ALL SELECT '*', 'a_only', count(*) FROM j WHERE kb IS NULL
     UNION ALL SELECT '*', 'b_only', count(*) FROM j WHERE ka IS NULL
-    UNION ALL SELECT '*', 'key_not_unique', 0
-    UNION ALL SELECT 'c_mktsegment', 'equal', count(*) FROM m WHERE sa = sb
-    UNION ALL SELECT 'c_mktsegment', 'both_null', count(*) FROM m WHERE sa IS NULL AND sb IS NULL
-    UNION ALL SELECT 'c_mktsegment', 'null_in_a', count(*) FROM m WHERE sa IS NULL AND sb IS NOT NULL
-    UNION ALL SELECT 'c_mktsegment', 'null_in_b', count(*) FROM m WHERE sa IS NOT NULL AND sb IS NULL
-    UNION ALL SELECT 'c_mktsegment', 'different', count(*) FROM m WHERE sa <> sb
-    UNION ALL SELECT 'updated_at', 'equal', count(*) FROM m WHERE ua = ub
-    UNION ALL SELECT 'updated_at', 'both_null', count(*) FROM m WHERE ua IS NULL AND ub IS NULL
-    UNION ALL SELECT 'updated_at', 'null_in_a', count(*) FROM m WHERE ua IS NULL AND ub IS NOT NULL
-    UNION ALL SELECT 'updated_at', 'null_in_b', count(*) FROM m WHERE ua IS NOT NULL AND ub IS NULL
-    UNION ALL SELECT 'updated_at', 'different', count(*) FROM m WHERE ua <> ub""",
+    UNION ALL SELECT '*', 'key_not_unique', 0"""
+    + "".join(
+        f" UNION ALL SELECT '{c}', '{outcome}', count(*) FROM m WHERE {condition}"
+        for c in _COMPARED
+        for outcome, condition in (
+            ("equal", f"a_{c} = b_{c}"),
+            ("both_null", f"a_{c} IS NULL AND b_{c} IS NULL"),
+            ("null_in_a", f"a_{c} IS NULL AND b_{c} IS NOT NULL"),
+            ("null_in_b", f"a_{c} IS NOT NULL AND b_{c} IS NULL"),
+            ("different", f"a_{c} <> b_{c}"),
+        )
+    ),
 )
 def audit_compare(spark, d):
-    columns = ["c_custkey", "c_mktsegment", "updated_at"]
-    return audit.audit_compare(customer_v1(spark, d).select(*columns), customer_v2(spark, d).select(*columns), "c_custkey")
+    return audit.audit_compare(customer_v1(spark, d), customer_v2(spark, d), "c_custkey")
 
 
 @query(
     "audit_except",
-    """WITH a AS (SELECT l_suppkey, l_returnflag, l_linenumber FROM lineitem),
-    b AS (SELECT l_suppkey, CASE WHEN l_partkey % 50 = 0 THEN 'X' ELSE l_returnflag END AS l_returnflag, l_linenumber FROM lineitem)
-    SELECT l_suppkey, l_returnflag, l_linenumber, 'a_only' AS side, count(*) AS n_rows
-    FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) GROUP BY 1, 2, 3
-    UNION ALL
-    SELECT l_suppkey, l_returnflag, l_linenumber, 'b_only', count(*)
-    FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) GROUP BY 1, 2, 3""",
+    """WITH b AS (SELECT * REPLACE (CASE WHEN l_partkey % 50 = 0 THEN 'X' ELSE l_returnflag END AS l_returnflag) FROM lineitem)
+    SELECT *, 'a_only' AS side, count(*) AS n_rows FROM (SELECT * FROM lineitem EXCEPT ALL SELECT * FROM b) GROUP BY ALL
+    UNION ALL BY NAME
+    SELECT *, 'b_only' AS side, count(*) AS n_rows FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM lineitem) GROUP BY ALL""",
 )
 def audit_except(spark, d):
     lines = table(spark, d, "lineitem")
-    columns = ["l_suppkey", "l_returnflag", "l_linenumber"]
     changed = lines.withColumn("l_returnflag", F.when(F.col("l_partkey") % 50 == 0, "X").otherwise(F.col("l_returnflag")))
-    return audit.audit_except(lines.select(*columns), changed.select(*columns))
+    return audit.audit_except(lines, changed)
 
 
 @query(
@@ -282,12 +286,12 @@ def detect_strategy_(spark, d):
     return out
 
 
-_PAIRS = ("user_id", "event_type", "value", "ts")
+_PAIRS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 @query(
     "candidate_keys",
-    "WITH e AS (SELECT user_id, event_type, value, ts FROM events), n AS (SELECT count(*) AS n_rows FROM e), one AS ("
+    "WITH e AS (SELECT * FROM events), n AS (SELECT count(*) AS n_rows FROM e), one AS ("
     + " UNION ALL ".join(
         f"SELECT '{a}' AS key_columns, 1 AS n_columns, count(DISTINCT {a}) AS k FROM e HAVING count(DISTINCT {a}) = count(*)"
         for a in _PAIRS
@@ -302,7 +306,7 @@ _PAIRS = ("user_id", "event_type", "value", "ts")
     "SELECT key_columns, n_columns, n_rows FROM two, n WHERE k = n_rows AND NOT EXISTS (SELECT 1 FROM one)",
 )
 def candidate_keys(spark, d):
-    return profile.candidate_keys(table(spark, d, "events").select(*_PAIRS))
+    return profile.candidate_keys(table(spark, d, "events"))
 
 
 @query(

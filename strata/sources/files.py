@@ -8,41 +8,83 @@ from pyspark.sql import types as T
 
 from strata.operators.align import column_intersect
 
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+_NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType, T.BinaryType)
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    """The schema with every plain value as text; nested ones as they are."""
+    return T.StructType([f if isinstance(f.dataType, _NESTED) else T.StructField(f.name, T.StringType()) for f in schema])
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text values in the target's types; one that does not fit is NULL.
+
+    Times may be written with ``T`` or a blank, with or without fraction, zone mark or offset; one with a zone is shown in the
+    session's time zone.
+    """
+    columns = []
+    for f in schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, _TIMES):
+            c = c.try_cast("timestamp").cast(f.dataType)
+        elif not isinstance(f.dataType, _NESTED):
+            c = c.try_cast(f.dataType)
+        columns.append(c.alias(f.name))
+    return df.select(*columns)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One JSON object per line, read with the target's schema; blank lines are skipped, a bad line raises."""
-    return (
-        spark.read.schema(schema)
-        .options(mode="FAILFAST", timestampNTZFormat=ISO_SECONDS)
-        .json(path)
-    )
+    """One JSON object per line, read with the target's schema; blank lines are skipped, a line that does not parse raises.
+
+    A value of another type than its column's is NULL, and the rest of its record stays.
+    """
+    return _typed(spark.read.schema(_as_text(schema)).option("mode", "FAILFAST").json(path), schema)
 
 
 def read_ndjson_tolerant(
     spark: SparkSession, path: str, schema: T.StructType, partitions: int | None = None
 ) -> DataFrame:
-    """As :func:`read_ndjson`, but unparsable lines are dropped. Gzip is recognised by file name.
+    """As :func:`read_ndjson`, but lines that do not parse are dropped, and no others. Gzip is recognised by file name.
 
     A gzip file is read by one task whatever its size; ``partitions`` spreads the rows afterwards.
     """
-    rows = (
-        spark.read.schema(schema)
-        .options(mode="DROPMALFORMED", timestampNTZFormat=ISO_SECONDS)
-        .json(path)
-    )
+    rows = _typed(spark.read.schema(_as_text(schema)).option("mode", "DROPMALFORMED").json(path), schema)
     return rows.repartition(partitions) if partitions else rows
 
 
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of a folder by their first line."""
+    first = (
+        spark.read.text(path)
+        .select("_metadata.file_path", "_metadata.file_block_start", "value")
+        .filter("file_block_start = 0")
+        .groupBy("file_path")
+        .agg(F.first("value").alias("header"))
+    )
+    out: dict[str, list[str]] = {}
+    for r in first.collect():
+        out.setdefault(r["header"], []).append(r["file_path"])
+    return out
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """CSV with a header, matched to the target by column name; all text, then cast to target types.
 
-    The header decides which column is which, so files may order their columns differently from
-    the target. ``multiline`` allows line breaks inside quotes at the price of unsplittable files.
+    The header of each file decides which column is which: files of a folder are grouped by their header, and every group is
+    read with its own. That takes one pass over the beginnings of the files if there are several. Every column of the target that
+    any file has is in the result, NULL for files without it. ``multiline`` allows line breaks inside quotes at the price of
+    unsplittable files.
     """
-    raw = spark.read.options(header=True, escape='"', multiLine=multiline).csv(path)
-    return column_intersect(raw, schema)
+    reader = spark.read.options(header=True, escape='"', multiLine=multiline)
+    whole = reader.csv(path)
+    if len(whole.inputFiles()) < 2:
+        return column_intersect(whole, schema)
+    out = None
+    for _, files in sorted(_headers(spark, path).items()):
+        part = column_intersect(reader.option("enforceSchema", False).csv(files), schema)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out.select(*[c for c in schema.names if c in out.columns])
 
 
 def read_wrapped_json(
@@ -56,7 +98,7 @@ def read_wrapped_json(
     schema = T.StructType([T.StructField(field, T.ArrayType(record))])
     documents = (
         spark.read.schema(schema)
-        .options(mode="FAILFAST", multiLine=pretty, timestampNTZFormat=ISO_SECONDS)
+        .options(mode="FAILFAST", multiLine=pretty, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
         .json(path)
     )
     return documents.select(F.inline(field))

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.history import snapshot_timestamp
+from strata.operators.merge import merge_upsert
 from strata.operators.mapping import filter_watermark
 from strata.specs import LoadSpec
 
@@ -91,15 +93,39 @@ def read_jdbc(
     return read_incremental(load(**split), column, watermark)
 
 
-def materialize(df: DataFrame, name: str, kind: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
-    """Publish a model as a view or a table and return the published relation."""
+def materialize(
+    df: DataFrame,
+    name: str,
+    kind: str = "table",
+    partition_by: Sequence[str] = (),
+    folder: str | None = None,
+    unique_key: Sequence[str] = (),
+    updated_at: str | None = None,
+    run_ts=None,
+) -> DataFrame:
+    """Publish a model as a view, a table, an incremental table or a snapshot, and return the published relation.
+
+    An incremental model is upserted by ``unique_key``, the newest ``updated_at`` winning; a snapshot keeps the
+    history of its rows by ``updated_at`` as of ``run_ts``. Both are published as new versions below ``folder``.
+    """
     spark = df.sparkSession
+    if kind in ("incremental", "snapshot"):
+        # The load loop builds on the sources of this package.
+        from strata.plans.load import current, publish
+
+        old = current(spark, name) if spark.catalog.tableExists(name) else None
+        if kind == "snapshot":
+            new = snapshot_timestamp(old, df, list(unique_key), updated_at, run_ts)
+        else:
+            new = df if old is None else merge_upsert(old, df, list(unique_key), updated_at)
+        publish(new, name, f"{folder}/{name}")
+        return current(spark, name)
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
         df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
     else:
-        raise ValueError(f"kind must be view or table, not {kind!r}; incremental models use strata.plans.load")
+        raise ValueError(f"kind must be view, table, incremental or snapshot, not {kind!r}")
     return spark.table(name)
 
 

@@ -12,8 +12,6 @@ from strata.operators.merge import merge_upsert
 from strata.plans.load import current, merge_partitions, publish
 from strata.specs import key_list
 
-SALTS = 32
-
 
 # Writes one micro-batch into a target.
 Sink = Callable[[DataFrame], None]
@@ -71,6 +69,8 @@ def stream_dedup(
     names = key_list(keys)
     timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, lookback)
     if spread is not None:
-        piece = F.pmod(F.xxhash64(spread), F.lit(SALTS)).alias("_piece")
+        # As many pieces as the stream has shuffle partitions, which a cluster sizes for its data.
+        salts = int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        piece = F.pmod(F.xxhash64(spread), F.lit(salts)).alias("_piece")
         timed = timed.select("*", piece).dropDuplicatesWithinWatermark([*names, "_piece"]).drop("_piece")
     return timed.dropDuplicatesWithinWatermark(names)

@@ -164,9 +164,9 @@ def daily(spark, *rows):
     return spark.createDataFrame([(i, v, day(n).date() if n is not None else None) for i, v, n in rows], "id int, v string, d date")
 
 
-@pytest.mark.parametrize("literals", [load.MAX_PARTITION_LITERALS, 1])
+@pytest.mark.parametrize("literals", [load.PARTITION_LITERALS, 1])
 def test_merge_partitions(spark, monkeypatch, literals):
-    monkeypatch.setattr(load, "MAX_PARTITION_LITERALS", literals)
+    monkeypatch.setattr(load, "PARTITION_LITERALS", literals)
     path = work_dir(spark, "parts")
     daily(spark, (1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "n", None)).write.partitionBy("d").parquet(path)
     load.merge_partitions(spark, path, daily(spark, (1, "A", 1), (5, "e", 3), (6, "n2", None)), "id,d", "d")
@@ -295,3 +295,38 @@ def test_stream_dedup(spark, spread):
     )
     query.awaitTermination()
     assert rows_of(spark.read.parquet(f"{folder}/out"), "id") == [(i,) for i in range(5)]
+
+
+def test_publish_keeps_buckets_and_types(spark):
+    folder = work_dir(spark, "tables")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    load.publish(rows, "kept_buckets", folder, buckets=2, keys=["id"])
+    load.publish(rows.filter("id = 1"), "kept_buckets", folder)
+    assert load.bucketing(spark, "kept_buckets") == (2, ["id"])
+    assert rows_of(load.current(spark, "kept_buckets")) == [(1, "a")]
+    with pytest.raises(ValueError, match="buckets"):
+        load.publish(rows, "kept_buckets", folder, buckets=4, keys=["id"])
+    with pytest.raises(ValueError, match="other types"):
+        load.publish(rows.withColumn("v", F.lit(1)), "kept_buckets", folder)
+    assert rows_of(load.current(spark, "kept_buckets")) == [(1, "a")]
+
+
+def test_pending_partitions_are_replaced_later(spark):
+    """A run that died after its new content was complete loses nothing, one that died before changes nothing."""
+    path = work_dir(spark, "parts")
+    daily(spark, (1, "a", 1), (2, "b", 2)).write.partitionBy("d").parquet(path)
+    daily(spark, (1, "A", 1)).write.parquet(f"{path}/{load.PENDING}")
+    assert rows_of(spark.read.parquet(path), "id", "v") == [(1, "a"), (2, "b")]
+    load.merge_partitions(spark, path, daily(spark, (3, "c", 3)), "id,d", "d")
+    assert rows_of(spark.read.parquet(path), "id", "v") == [(1, "A"), (2, "b"), (3, "c")]
+
+
+def test_a_batch_is_read_once(spark):
+    """A source that gives other rows each time stays consistent between touched partitions and merge."""
+    path = work_dir(spark, "parts")
+    daily(spark, *[(i, "a", i) for i in range(1, 20)]).write.partitionBy("d").parquet(path)
+    moving = spark.range(3).select(
+        F.lit(0).alias("id"), F.lit("n").alias("v"), F.expr("date_add(DATE'2024-01-01', cast(rand() * 19 as int))").alias("d")
+    )
+    load.merge_partitions(spark, path, moving, "id,d", "d")
+    assert spark.read.parquet(path).filter("id > 0").count() == 19

@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 import json
 import pathlib
@@ -125,3 +126,20 @@ def test_session(spark):
     assert tune(spark).conf.get("spark.sql.session.timeZone") == "UTC"
     assert work_dir(spark, "a") != work_dir(spark, "a")
     assert work_dir(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_csv_files_with_columns_in_another_order(spark):
+    path = work_dir(spark, "csv")
+    spark.createDataFrame([(1, "a", "x")], "id int, b string, a string").write.option("header", True).csv(path)
+    spark.createDataFrame([("y", 2)], "a string, id int").write.mode("append").option("header", True).csv(path)
+    got = S.read_csv(spark, path, T.StructType.fromDDL("id int, a string, b string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "x", "a"), (2, "y", None)]
+
+
+def test_ndjson_loses_no_record(spark):
+    path = work_dir(spark, "lines")
+    lines = ['{"id": 1, "at": "2024-01-01T10:00:00Z"}', '{"id": 2, "at": "2024-01-01 10:00:00"}', '{"id": "x", "at": "2024-01-01T12:00:00.5+02:00"}']
+    spark.createDataFrame([(x,) for x in [*lines, '{"id": 4', '']], "value string").write.text(path)
+    got = S.read_ndjson_tolerant(spark, path, T.StructType.fromDDL("id int, at timestamp_ntz"))
+    at = dt.datetime(2024, 1, 1, 10)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, at), (2, at), (None, at.replace(microsecond=500_000))], key=repr)
