@@ -8,7 +8,7 @@ from strata.plans.load import current, publish
 from strata.queries.base import ORACLES, query, table
 from strata.queries.inputs import STAGING, events_target, restage
 from strata.session import work_dir
-from strata.streaming import stream_dedup, stream_upsert, table_sink
+from strata.streaming import stream_dedup, stream_insert_new, stream_upsert, table_sink
 
 
 def _event_stream(spark, d):
@@ -45,3 +45,16 @@ def stream_dedup_(spark, d):
     )
     written.awaitTermination()
     return spark.read.parquet(f"{folder}/rows")
+
+
+@query("stream_insert_new", f"WITH {STAGING} SELECT event_id, min(ts) AS ts FROM stg GROUP BY event_id")
+def stream_insert_new_(spark, d):
+    """Several micro-batches, the oldest rows last: each id is written once, by the batch that sees it first."""
+    folder = work_dir(spark, "inserted")
+    rows = restage(table(spark, d, "events")).select("event_id", "ts")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for part in (2, 1, 0):
+        rows.filter(late == part).select("event_id", "ts").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema("event_id bigint, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    stream_insert_new(stream, f"{folder}/out", "event_id", f"{folder}/checkpoint", "ts").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("event_id", "ts")

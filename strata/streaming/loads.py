@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.functions.keys import any_null
+from strata.operators.dedup import top_per_key
 from strata.operators.merge import merge_upsert
+from strata.operators.sizing import plain_columns
 from strata.plans.load import current, merge_partitions, publish
 from strata.specs import key_list
 
@@ -54,6 +57,35 @@ def stream_upsert(stream: DataFrame, sink: Sink, checkpoint: str) -> StreamingQu
     )
 
 
+def stream_insert_new(
+    stream: DataFrame, path: str, keys: str | Sequence[str], checkpoint: str, order_by: str | None = None
+) -> StreamingQuery:
+    """Append the first row of every key that the folder does not have yet, however late it comes; then stop.
+
+    Each micro-batch is reduced to one row per key (the smallest ``order_by``), compared with the keys written before
+    and put into a partition of its own. A batch that is replayed replaces its partition. Rows without a key are all new.
+    """
+    names = key_list(keys)
+
+    def load(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        order = [F.col(order_by).asc_nulls_last()] if order_by else []
+        rest = [F.col(f"`{c}`").asc_nulls_last() for c in plain_columns(batch) if c not in names]
+        new = top_per_key(batch.filter(~any_null(names)), names, [*order, *rest]).unionByName(batch.filter(any_null(names)))
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            before = spark.read.option("basePath", path).parquet(path).filter(F.col("_batch") < number)
+            new = new.join(before.select(*names), names, "left_anti").select(*batch.columns)
+        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_batch={number}")
+
+    return (
+        stream.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_dedup(
     stream: DataFrame,
     keys: str | Sequence[str],
@@ -61,7 +93,7 @@ def stream_dedup(
     lookback: str = "3 days",
     spread: Column | None = None,
 ) -> DataFrame:
-    """First row per key within the lookback.
+    """First row per key within the lookback; later rows are dropped (see :func:`stream_insert_new` for those).
 
     ``spread`` (say, a hash of the input file) splits the copies of a key over several tasks that
     each let one through before the final pass, for streams in which one key dominates.

@@ -11,7 +11,7 @@ from strata.operators.align import align_by_name, staging_like
 from strata.plans import load
 from strata.session import staged, work_dir
 from strata.specs import FieldMapping, LoadSpec
-from strata.streaming import partition_sink, stream_dedup, stream_upsert, table_sink
+from strata.streaming import partition_sink, stream_dedup, stream_insert_new, stream_upsert, table_sink
 
 NOW = "2024-02-01 00:00:00"
 T0 = dt.datetime(2024, 1, 1)
@@ -330,3 +330,13 @@ def test_a_batch_is_read_once(spark):
     )
     load.merge_partitions(spark, path, moving, "id,d", "d")
     assert spark.read.parquet(path).filter("id > 0").count() == 19
+
+
+def test_late_rows_are_inserted(spark):
+    """Ids 1, 3, 2 in three micro-batches, 2 being years older: none is lost, and a repeated one is not doubled."""
+    folder = work_dir(spark, "late")
+    for i, at in ((1, "2024-01-10"), (3, "2024-01-20"), (2, "2020-01-01"), (3, "2024-01-21")):
+        spark.createDataFrame([(i, at)], "id int, at string").coalesce(1).write.mode("append").json(f"{folder}/in")
+    stream = spark.readStream.schema("id int, at string").option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+    stream_insert_new(stream, f"{folder}/out", "id", f"{folder}/check", "at").awaitTermination()
+    assert rows_of(spark.read.parquet(f"{folder}/out"), "id") == [(1,), (2,), (3,)]
