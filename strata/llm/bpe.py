@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from strata.llm.common import col, content, fresh, without
 
 OUT = ("n_tokens", "ids")
-# Pre-tokens of at most so many bytes are remembered, and so many of them by one worker.
-CACHED_BYTES, CACHED = 48, 250_000
+# Pre-tokens of at most so many bytes are remembered, and up to twice so many of them by one worker.
+CACHED_BYTES, CACHED = 48, 500_000
 SLICE_BYTES = 2 << 20
 
 
@@ -41,6 +41,9 @@ class Coder(dict):
         super().__init__()
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.older: dict[str, bytes] = {}
+        self.single = [ranks.get(bytes((b,))) for b in range(256)]
+        self.double = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
         # Empty between pre-tokens, so they are made once.
         self.buckets: dict[int, list[int]] = {}
         self.lower = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
@@ -50,15 +53,17 @@ class Coder(dict):
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: merge the lowest-ranked adjacent pair until no pair has a rank.
 
-        Parts are a linked list over byte positions. An entry of the queue is stale, and skipped,
-        when the pair at its position has another rank by now or is gone.
+        Parts are a linked list over byte positions; a part's id is the rank at which it was merged. An entry of
+        the queue is stale, and skipped, when the pair at its position has another rank by now or is gone.
         """
         rank_of, buckets, lower, upper, n = self.ranks.get, self.buckets, self.lower, 0, len(piece)
         whole = rank_of(piece)
         if whole is not None:
             return [whole]
+        ids = [self.single[b] for b in piece]
         after, before = list(range(1, n + 1)), list(range(-1, n))
-        current = [rank_of(piece[i : i + 2]) for i in range(n - 1)]
+        double = self.double
+        current = [double[a << 8 | b] for a, b in zip(piece, piece[1:])]
         current.append(None)
         for i, rank in enumerate(current):
             if rank is not None:
@@ -73,8 +78,10 @@ class Coder(dict):
             bits = lower[word]
             rank = (word << 8) | ((bits & -bits).bit_length() - 1)
             bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
                 del buckets[rank]
                 lower[word] = bits = bits & (bits - 1)
                 if not bits:
@@ -83,35 +90,44 @@ class Coder(dict):
                 continue
             gone = after[i]
             after[i] = end = after[gone]
-            current[gone] = current[i] = None
+            current[gone] = current[i] = ids[gone] = None
+            ids[i] = rank
             before[end] = i
-            left = before[i]
-            for at, stop in ((i, after[end] if end < n else 0), (left, end if left >= 0 else 0)):
-                if not stop:
-                    continue
-                rank = rank_of(piece[at:stop])
-                current[at] = rank
+            if end < n:
+                rank = rank_of(piece[i : after[end]])
                 if rank is not None:
+                    current[i] = rank
                     if rank in buckets:
-                        heappush(buckets[rank], at)
+                        heappush(buckets[rank], i)
                     else:
-                        buckets[rank] = [at]
+                        buckets[rank] = [i]
                         lower[rank >> 8] |= _BIT[rank & 255]
                         upper |= 1 << (rank >> 8)
-        ids, i = [], 0
-        while i < n:
-            ids.append(self.ranks[piece[i : after[i]]])
-            i = after[i]
-        return ids
+            if i:
+                left = before[i]
+                current[left] = rank = rank_of(piece[left:end])
+                if rank is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], left)
+                    else:
+                        buckets[rank] = [left]
+                        lower[rank >> 8] |= _BIT[rank & 255]
+                        upper |= 1 << (rank >> 8)
+        return [i for i in ids if i is not None]
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        ids = self.merge(raw)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= CACHED_BYTES:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = packed
+        packed = self.older.get(piece)
+        if packed is None:
+            raw = piece.encode()
+            ids = self.merge(raw)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(raw) > CACHED_BYTES:
+                return packed
+        if len(self) >= CACHED:
+            # What was used since the last time is found again in the older half.
+            self.older = dict(self)
+            self.clear()
+        self[piece] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
