@@ -12,7 +12,7 @@ from strata.session import kept
 
 OUT = ("size", "source_size", "target", "taken")
 # Rows of one bin of keys, on average; a bin is sorted by one task.
-BIN_ROWS = 20_000
+BIN_ROWS = 2_000
 # Weights are told apart by powers of two below the largest, as far as cutting the bins goes.
 LEVELS = 16
 
