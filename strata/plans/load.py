@@ -263,6 +263,12 @@ def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]]:
     return int(rows.get("Num Buckets") or 0), [n.strip("` ") for n in names.split(",") if n.strip()]
 
 
+def by_bucket(spark: SparkSession, table: str, keys: str | Sequence[str]) -> bool:
+    """Whether a table is bucketed by exactly these keys."""
+    buckets, own = bucketing(spark, table)
+    return buckets > 0 and own == key_list(keys)
+
+
 def current(spark: SparkSession, table: str) -> DataFrame:
     """The newest published version of a table, also when another session published it."""
     spark.catalog.refreshTable(table)
@@ -350,7 +356,8 @@ def execute_load(
         raw = staged(extract(spark, spec, *extraction_window(spec, watermark, run_ts)), spec.name)
         before = current(spark, target_table)
         n_before = before.count()
-        result = run_load(raw, before, state, spec, run_ts, stage=False, small_batch=True)
+        how = {"co_located": True} if by_bucket(spark, target_table, spec.primary_key) else {"small_batch": True}
+        result = run_load(raw, before, state, spec, run_ts, stage=False, **how)
         if result.status == "success":
             publish(result.target, target_table, f"{folder}/{target_table}")
         publish(result.state, state_table, f"{folder}/{state_table}")

@@ -12,7 +12,7 @@ from strata.functions.keys import any_null
 from strata.operators.dedup import top_per_key
 from strata.operators.merge import merge_upsert
 from strata.operators.sizing import plain_columns
-from strata.plans.load import current, merge_partitions, publish
+from strata.plans.load import by_bucket, current, merge_partitions, publish
 from strata.specs import key_list
 
 
@@ -21,10 +21,14 @@ Sink = Callable[[DataFrame], None]
 
 
 def table_sink(table: str, folder: str, keys: str | Sequence[str], order_by: str | None = None) -> Sink:
-    """Upsert into a catalog table by publishing a new version of it."""
+    """Upsert into a catalog table by publishing a new version of it.
+
+    A table that is bucketed by the keys is joined bucket by bucket, and only the batch moves.
+    """
 
     def upsert(batch: DataFrame) -> None:
-        publish(merge_upsert(current(batch.sparkSession, table), batch, keys, order_by), table, folder)
+        spark = batch.sparkSession
+        publish(merge_upsert(current(spark, table), batch, keys, order_by, co_located=by_bucket(spark, table, keys)), table, folder)
 
     return upsert
 

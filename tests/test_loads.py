@@ -340,3 +340,14 @@ def test_late_rows_are_inserted(spark):
     stream = spark.readStream.schema("id int, at string").option("maxFilesPerTrigger", 1).json(f"{folder}/in")
     stream_insert_new(stream, f"{folder}/out", "id", f"{folder}/check", "at").awaitTermination()
     assert rows_of(spark.read.parquet(f"{folder}/out"), "id") == [(1,), (2,), (3,)]
+
+
+def test_a_bucketed_table_takes_streams(spark):
+    folder = work_dir(spark, "stream")
+    load.publish(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), "bucket_stream", folder, buckets=2, keys=["id"])
+    for i, v in ((1, "A"), (3, "c")):
+        spark.createDataFrame([(i, v)], "id int, v string").write.mode("append").json(f"{folder}/in")
+    stream = stream_of(spark, f"{folder}/in", "id int, v string")
+    stream_upsert(stream, table_sink("bucket_stream", folder, "id"), f"{folder}/check").awaitTermination()
+    assert rows_of(load.current(spark, "bucket_stream")) == [(1, "A"), (2, "b"), (3, "c")]
+    assert load.bucketing(spark, "bucket_stream") == (2, ["id"])
