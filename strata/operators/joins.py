@@ -19,13 +19,15 @@ def left_lookup(
     hot: DataFrame | None = None,
     broadcast_bytes: int | None = None,
     hot_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add dimension columns to facts; facts without a match keep NULLs.
 
     A dimension that measures small is broadcast. A larger one is joined by shuffle, where facts of
     hot keys and facts without a key are spread over pieces; only the dimension rows of hot keys
     are copied to every piece of their key. ``hot`` is a result of
-    :func:`strata.operators.sizing.hot_keys` if it is known; otherwise the facts are counted by key.
+    :func:`strata.operators.sizing.hot_keys` if it is known; otherwise the facts are counted by key,
+    or ``counted`` in their place: a narrow table with the same keys, if the facts are themselves the result of joins.
     """
     names = key_list(keys)
     side = dim.select(*names, *columns)
@@ -33,7 +35,8 @@ def left_lookup(
         return facts.join(F.broadcast(side), names, "left").select(*facts.columns, *columns)
 
     if hot is None:
-        hot = hot_keys(facts.filter(~any_null(names)), names, hot_rows)
+        rows = counted if counted is not None and set(names) <= set(counted.columns) else facts
+        hot = hot_keys(rows.filter(~any_null(names)), names, hot_rows)
     if hot is None:
         spread = facts.withColumn("_piece", key_piece(names, plain_columns(facts)))
         copies = side.withColumn("_piece", F.lit(0))

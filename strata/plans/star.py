@@ -51,7 +51,8 @@ def obt_build(
     if recent_days is not None:
         wide = limit_recent(wide, "date_day", as_of, recent_days)
     for dim, key, columns in lookups:
-        wide = left_lookup(wide, dim, key, columns)
+        # Hot keys are looked for in the fact alone where it has the key, not behind the joins so far.
+        wide = left_lookup(wide, dim, key, columns, counted=fact)
     return wide
 
 
