@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,33 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op1_minhash")
+_WS = r"[^\x20\x09-\x0D]+"
+
+
+@query(
+    "op1_minhash",
+    rf"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{_WS}') AS ws
+        FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s
+        FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM words WHERE len(ws) > 0)
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), common AS (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)
+    ), reach AS (
+        SELECT doc_id, doc_id AS node FROM documents
+        UNION
+        SELECT reach.doc_id, y FROM reach JOIN links ON node = x
+    )
+    SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(node) AS component_id, doc_id = min(node) AS kept
+    FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
+)
 def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return near_dedup(docs, shingle=4).drop("text")
@@ -73,7 +101,6 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
-_WS = r"[^\x20\x09-\x0D]+"
 
 
 @query(
@@ -183,7 +210,37 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op7_line_dedup")
+_DROP = "left({0}, i::INT) || substr({0}, i::INT + 2)"
+
+
+@query(
+    "op7_line_dedup",
+    rf"""
+    WITH lines AS (
+        SELECT doc_id, doc_id * 1000000000 + pos AS place, all_lines[pos] AS line
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines, unnest(range(1, len(all_lines) + 1)) AS pos FROM documents)
+    ), firsts AS (
+        SELECT line, min(place) AS place FROM lines WHERE length(line) >= 16 AND regexp_matches(line, '{_WS}') GROUP BY line
+    ), pairs AS (
+        SELECT a.line AS x, b.line AS y FROM firsts a JOIN firsts b
+        ON left(a.line, 7) = left(b.line, 7) AND b.place < a.place AND abs(length(a.line) - length(b.line)) <= 1
+        UNION
+        SELECT a.line, b.line FROM firsts a JOIN firsts b
+        ON right(a.line, 7) = right(b.line, 7) AND b.place < a.place AND abs(length(a.line) - length(b.line)) <= 1
+    ), near AS (
+        SELECT DISTINCT x AS line FROM pairs
+        WHERE CASE WHEN length(x) = length(y) THEN len(list_filter(range(length(x)), lambda i: {_DROP.format('x')} = {_DROP.format('y')}))
+                   WHEN length(x) > length(y) THEN len(list_filter(range(length(x)), lambda i: {_DROP.format('x')} = y))
+                   ELSE len(list_filter(range(length(y)), lambda i: {_DROP.format('y')} = x)) END > 0
+    ), judged AS (
+        SELECT l.*, f.line IS NOT NULL AND (l.place > f.place OR n.line IS NOT NULL) AS gone
+        FROM lines l LEFT JOIN firsts f ON l.line = f.line LEFT JOIN near n ON l.line = n.line
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
+    FROM judged GROUP BY doc_id
+    """,
+)
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_dropped", "text")
 
