@@ -38,8 +38,9 @@ def _variants(lines: DataFrame) -> DataFrame:
 
     Chunk ``j`` takes the deletions in characters ``64 j`` to ``64 j + 63``. What is left of it and what is right of it is
     hashed once; lines whose surroundings of a chunk no other line shares have no partner there and emit nothing.
+    A line that ends with a chunk has an empty one behind it, which gives its whole key to lines with one more character there.
     """
-    chunks = lines.select("d", "line", F.explode(F.sequence(F.lit(0), F.floor((F.char_length("line") - 1) / CHUNK).cast("int"))).alias("j"))
+    chunks = lines.select("d", "line", F.explode(F.sequence(F.lit(0), F.floor(F.char_length("line") / CHUNK).cast("int"))).alias("j"))
     at = F.col("j") * CHUNK
     chunks = chunks.select(
         "d",
@@ -55,7 +56,7 @@ def _variants(lines: DataFrame) -> DataFrame:
     chunks = chunks.join(live, ["d", "j"], "left_semi")
     whole = F.struct(F.lit(-1).alias("cut"), F.xxhash64("before", F.left("piece", F.lit(CHUNK)), "after_whole").alias("key"))
     deleted = F.transform(
-        F.sequence(F.lit(0), F.least(F.char_length("piece"), F.lit(CHUNK)) - 1),
+        F.when(F.col("piece") == "", F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.least(F.char_length("piece"), F.lit(CHUNK)) - 1)),
         lambda i: F.struct(
             (i + F.col("j") * CHUNK).alias("cut"),
             F.xxhash64(

@@ -132,3 +132,13 @@ def test_line_dedup(spark):
 def test_line_dedup_needs_long_lines(spark):
     with pytest.raises(ValueError):
         line_dedup(spark.createDataFrame([], "doc_id long, text string"), least_chars=4)
+
+
+@pytest.mark.parametrize("added", [".", "\r"])
+def test_lines_with_a_character_behind_a_whole_chunk(spark, added):
+    rng = random.Random(8)
+    for first, second in (("", added), (added, "")):
+        lines = {n: "".join(rng.choice("abcdefg") for _ in range(n)) for n in (63, 64, 65, 127, 128, 129, 192)}
+        docs = [(n, x + first) for n, x in lines.items()] + [(1000 + n, x + second) for n, x in lines.items()]
+        got = {r.doc_id: r.n_dropped for r in line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+        assert got == {d: int(d > 1000) for d, _ in docs}
