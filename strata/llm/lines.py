@@ -9,8 +9,10 @@ from strata.llm.common import BLANKS, NO_ID, col, content, fresh, without
 from strata.session import Workspace, kept
 
 OUT = ("n_lines", "n_dropped")
-# Lines with fewer characters are never touched: at one edit, short lines are alike by chance.
+# Lines with fewer characters are left alone unless asked for: at one edit, short lines are alike by chance.
 LEAST_CHARS = 16
+# Up to so many characters a half tells too little; such lines, and those one longer, emit their deletions without sharing one.
+NO_HALVES = 8
 # Variants are hashed by chunks of so many characters, so that the work for a line grows with its length only.
 CHUNK = 64
 
@@ -30,7 +32,8 @@ def _halves(line: Column, length: Column) -> Column:
 
     a = (F.floor(length / 8) * 4).cast("int")
     both = F.array(*pair(a))
-    return F.when(length % 8 == 0, F.concat(both, F.array(*pair(a - 4)))).otherwise(both)
+    halves = F.when(length % 8 == 0, F.concat(both, F.array(*pair(a - 4)))).otherwise(both)
+    return F.when(length > NO_HALVES, halves).otherwise(F.slice(both, 1, 0))
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -76,7 +79,7 @@ def _near(work: Workspace, docs: DataFrame, lines: DataFrame) -> DataFrame:
     """
     keys = lines.select("d", F.explode("halves").alias("half"))
     shared = keys.groupBy("half").count().filter("count > 1").select("half")
-    some = keys.join(shared, "half", "left_semi").select("d").distinct()
+    some = keys.join(shared, "half", "left_semi").select("d").union(lines.filter("tiny").select("d")).distinct()
     places = lines.join(some, "d", "left_semi").select("first.*", "first", "d").groupBy("k", "th").agg(F.collect_list(F.struct("pos", "first", "d")).alias("places"))
     texts = docs.join(places, ["k", "th"]).dropDuplicates(["k", "th"])
     texts = texts.select(F.split("text", "\n").alias("all"), F.inline("places"))
@@ -94,29 +97,37 @@ def _near(work: Workspace, docs: DataFrame, lines: DataFrame) -> DataFrame:
     return pairs.select(F.when(F.col("first") > F.col("other_first"), F.col("d")).otherwise(F.col("other")).alias("d")).distinct()
 
 
-def line_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, short_lines: bool = False
+) -> DataFrame:
     """All rows, the text without lines that have an earlier line within one edit, with ``n_lines`` and ``n_dropped``.
 
     Lines are split at ``\\n``. A line goes if an earlier one of the corpus (by id, then position) equals
     it or is one inserted, deleted or replaced character away, whether that one stays or not. Lines of fewer than ``least_chars``
-    characters (16 at least) or without a word stay. No text is compared by digest alone but for equal lines (128 bits).
+    characters (16 at least) stay, unless ``short_lines`` puts lines of any length under the same rule; those without a word
+    always stay. No text is compared by digest alone but for equal lines (128 bits).
 
     NULL counts as empty and becomes an empty text. Rows that repeat an id and a text are one document; texts under one id
     are ordered by a digest. A NULL id comes before all others. A document that loses all lines stays, with an empty text.
     Columns of the input named like an added one are replaced.
     """
     if least_chars < 16:
-        raise ValueError("lines of fewer than 16 characters can't be compared")
+        raise ValueError("least_chars is 16 or more; short_lines=True takes all lines")
     docs = without(docs, OUT)
     with Workspace(docs.sparkSession, "lines") as work:
         ident, digest = F.coalesce(col(id).cast("bigint"), F.lit(NO_ID)), F.xxhash64(content(text))
         base = docs.select(ident.alias("k"), digest.alias("th"), content(text).alias("text"))
         rows = base.select("k", "th", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter(
-            (F.char_length("line") >= least_chars) & (F.btrim("line", F.lit(BLANKS)) != "")
+            (F.char_length("line") >= (0 if short_lines else least_chars)) & (F.btrim("line", F.lit(BLANKS)) != "")
+        )
+        length = F.char_length("line")
+        rows = rows.select(
+            "k", "th", "pos", F.unhex(F.md5(F.col("line").cast("binary"))).alias("d"), _halves(F.col("line"), length).alias("halves"), (length <= NO_HALVES + 1).alias("tiny")
         )
-        rows = rows.select("k", "th", "pos", F.unhex(F.md5(F.col("line").cast("binary"))).alias("d"), _halves(F.col("line"), F.char_length("line")).alias("halves"))
         lines = work.stage(
-            rows.groupBy("d").agg(F.min(F.struct("k", "th", "pos")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"))
+            rows.groupBy("d").agg(
+                F.min(F.struct("k", "th", "pos")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves"), F.first("tiny").alias("tiny")
+            )
         )
         near = work.stage(_near(work, base, lines).select("d", F.lit(True).alias("near")))
         gone = work.stage(

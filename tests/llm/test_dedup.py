@@ -142,3 +142,19 @@ def test_lines_with_a_character_behind_a_whole_chunk(spark, added):
         docs = [(n, x + first) for n, x in lines.items()] + [(1000 + n, x + second) for n, x in lines.items()]
         got = {r.doc_id: r.n_dropped for r in line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
         assert got == {d: int(d > 1000) for d, _ in docs}
+
+
+def test_short_lines_if_asked_for(spark):
+    rng = random.Random(11)
+    docs = [(d, "\n".join("".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(18))) for _ in range(4))) for d in range(60)]
+    docs += [(100 + d, "\n".join(x[:p] + c + x[p + k :] for x in docs[d][1].split("\n"))) for d, (p, c, k) in enumerate([(0, "", 0), (3, "z", 0), (5, "", 1), (7, "z", 1)] * 10)]
+    seen, want = [], {}
+    for d, t in docs:
+        want[d] = 0
+        for line in t.split("\n"):
+            if line.strip(" "):
+                want[d] += any(within_one(line, o) for o in seen)
+                seen.append(line)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.n_dropped for r in line_dedup(frame, short_lines=True).collect()} == want
+    assert sum(r.n_dropped for r in line_dedup(frame).collect()) < sum(want.values())
