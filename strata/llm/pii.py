@@ -44,6 +44,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+# Characters of an account number by country, from the public register.
+_IBAN_LENGTHS = {
+    c[:2]: int(c[2:])
+    for c in """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22
+    GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MR27 MT31
+    MU30 NL18 NO15 PK24 PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20""".split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGITS = re.compile(r"[^0-9]+")
 _ANY = re.compile(r"[0-9@]")
@@ -64,7 +71,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 def ips(text: str) -> Iterator[tuple[int, int]]:
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m[0].split(".")):
+        if all(len(p) < 4 and int(p) < 256 for p in (q.lstrip("0") or "0" for q in m[0].split("."))):
             yield m.span()
 
 
@@ -82,10 +89,18 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield m.span()
+    """Words after a number may look like more of it: what ends with a word and has the country's length is tried first, then
+    the rest from the longest. Without a number at a place the search goes on within the candidate, of at most 34 characters."""
+    m = _IBAN.search(text)
+    while m:
+        ends = [i for i, c in enumerate(m[0]) if c == " "] + [len(m[0])]
+        tries = [(e, len(account)) for e in reversed(ends) if 15 <= len(account := m[0][:e].replace(" ", "")) <= 34 and mod97(account)]
+        if tries:
+            end = m.start() + next((e for e, n in tries if n == _IBAN_LENGTHS.get(m[0][:2])), tries[0][0])
+            yield m.start(), end
+        else:
+            end = m.start() + 4
+        m = _IBAN.search(text, end)
 
 
 def ssns(text: str) -> Iterator[tuple[int, int]]:
@@ -140,8 +155,8 @@ def _spans(texts: pd.Series) -> pd.Series:
 def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """All rows with ``spans``: kind, start, end (code points, end exclusive), score and whether the kind is a base one.
 
-    Spans of one kind never overlap; those of different kinds may. Candidates that a validator rejects
-    are dropped and not tried again in part. NULL and empty texts have no spans. Columns of the input named like an
+    Spans of one kind never overlap; those of different kinds may. Candidates of a base kind that a
+    validator rejects are dropped and not tried again in part; account numbers (``iban``) are, up to each word end. NULL and empty texts have no spans. Columns of the input named like an
     added one are replaced.
     """
     return without(docs, OUT).withColumn("spans", _spans(content(text)))

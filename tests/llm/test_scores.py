@@ -80,6 +80,18 @@ def test_added_spans():
     assert find_spans("9" * 100_000) == find_spans("") == []
 
 
+def test_account_numbers_before_other_words():
+    spans = lambda t: [t[s[1] : s[2]] for s in find_spans(t) if s[0] == "iban"]
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    assert spans(f"IBAN {german} BIC COBADEFFXXX") == [german] and spans(f"{german} {british} I") == [german, british]
+    assert spans("DE89370400440532013000 2 payments") == ["DE89370400440532013000"]
+    assert spans("GB82WEST12345698765432 I confirm") == ["GB82WEST12345698765432"] and spans(f"REF AB12 3456 {german} OK") == [german]
+
+
+def test_address_with_many_zeros():
+    assert [s[0] for s in find_spans("0" * 5000 + ".0.0." + "0" * 5000 + "1") if s[0] == "ip"] == ["ip"]
+
+
 def test_rules_are_a_table(spark):
     docs = spark.createDataFrame([(1, "the cat sat on the mat and " * 10), (2, "### " * 60)], "doc_id long, text string")
     rows = {r.doc_id: r for r in quality_rules(docs, [Rule("symbols", "symbols_per_word", high=1.0)]).collect()}
