@@ -16,8 +16,9 @@ from strata.llm.common import col, content, without
 
 OUT = ("score",)
 _words = re.compile(r"[^\W\d_]+").findall
-# A word is a feature if it stands out: in so many positive texts, and so many standard deviations more often than in unlabelled ones.
-LEAST_TEXTS, LEAST_Z, MOST_WORDS = 3, 8.0, 4000
+# A word is a feature if so many positive texts have it and its share of them is so many times that of unlabelled ones, to which a
+# ridge is added. Neither bound moves with the number of texts.
+LEAST_TEXTS, LEAST_RATIO, RIDGE, MOST_WORDS = 3, 4.0, 1e-3, 4000
 # Beginnings of longer words are features too, for words that take endings.
 STEMS = (4, 5, 6, 7)
 
@@ -43,7 +44,7 @@ class ToxicityModel:
 
 
 def choose_words(positive: Sequence[str], unlabelled: Sequence[str]) -> list[str]:
-    """Words and stems whose share of positive texts is above that of unlabelled ones, the clearest first.
+    """Words and stems whose share of positive texts is well above that of unlabelled ones, the clearest (in standard deviations) first.
 
     Of a word and its stems only the clearest stays, the longest if equal. Texts are split again for every pass, so
     that only counts are held.
@@ -58,9 +59,8 @@ def choose_words(positive: Sequence[str], unlabelled: Sequence[str]) -> list[str
     for word, k in in_p.items():
         pooled = (k + in_u[word]) / (n + m)
         spread = np.sqrt(max(pooled * (1 - pooled), 1e-12) * (1 / n + 1 / m))
-        z = (k / n - in_u[word] / m) / spread
-        if z >= LEAST_Z:
-            scores[word] = z
+        if k / n >= LEAST_RATIO * (in_u[word] / m + RIDGE):
+            scores[word] = (k / n - in_u[word] / m) / spread
     beaten = set()
     for word, z in scores.items():
         for stem in (f"{word[:k]}-" for k in STEMS if k < len(word.rstrip("-"))):

@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from strata.llm.pii import find_spans, luhn, mod97
 from strata.llm.rules import Rule, quality_rules
 from strata.llm.sharding import kd_shards, write_shards
-from strata.llm.toxicity import fit_nnpu
+from strata.llm.toxicity import choose_words, fit_nnpu
 
 
 def test_registered():
@@ -56,6 +56,12 @@ def test_nnpu_finds_the_marked_texts():
     assert model.score(text(1)) > 0.7 and model.score(text(0)) < 0.1 and 0 <= model.score("") < 0.3
 
 
+def test_words_of_a_small_share_are_features_at_any_size():
+    for times in (1, 10):
+        toxic = (["the rare insult"] * 4 + ["the common slur"] * 56) * times
+        assert {"insult", "slur"} <= {w.rstrip("-") for w in choose_words(toxic, ["the plain words"] * 300 * times)}
+
+
 BASE = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m, d: True),
     "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m, d: all(int(p) <= 255 for p in m.split("."))),
