@@ -314,42 +314,66 @@ def near_dedup(
     of exactly 0.8 becomes a candidate with probability 1 - 8e-6, a closer one with more.
 
     NULL and empty texts and texts without words are linked with nothing. Rows that repeat an id count as
-    one document, whose texts are linked. A NULL id comes after all others. Columns of the input named like an added
-    one are replaced.
+    one document, whose texts are linked. A row without an id is a document of its own, after all others; a component of
+    such rows only keeps the one whose text has the least digest, the first one read of equal texts. Columns of the input
+    named like an added one are replaced.
     """
     spark = docs.sparkSession
     docs = without(docs, OUT)
-    k, th = fresh(docs, "k", "th")
+    k, th, row, first, found_k, found_th = fresh(docs, "k", "th", "row", "first", "found_k", "found_th")
     ident, digest = F.coalesce(col(id).cast("bigint"), F.lit(LAST_ID)), F.xxhash64(content(text))
+    # Rows without an id are numbered once, so that one of equal texts can stay.
+    loose = kept(docs.filter(col(id).isNull()).withColumn(row, F.monotonically_increasing_id()))
     with Workspace(spark, "near") as work:
         base = docs.select(ident.alias("k"), content(text).alias("text"))
         sketched = base.select("k", F.xxhash64("text").alias("th"), F.octet_length("text").alias("size"), sketch_udf(shingle, bands, rows)("text").alias("s"))
         sketched = work.stage(sketched.select("k", "th", "size", "s.*"))
         full = sketched.filter("n > 0")
-        classes = work.stage(
-            full.groupBy("s1", "s2").agg(
-                F.min("k").alias("node"), F.min(F.struct("k", "th"))["th"].alias("th"), F.first("size").alias("size"), F.first("bands").alias("bands")
-            )
+        # A class has a number of its own, because ids may be missing or shared; ``one`` is its first text.
+        classes = full.groupBy("s1", "s2").agg(
+            F.min(F.struct("k", "th")).alias("one"), F.first("size").alias("size"), F.first("bands").alias("bands")
         )
+        classes = work.stage(classes.withColumn("node", F.monotonically_increasing_id()))
         entries = classes.select("node", "size", F.explode("bands").alias("key"))
         shared = entries.groupBy("key").count().filter("count > 1").select("key")
         entries = work.stage(entries.join(shared, "key", "left_semi"))
-        wanted = classes.select("node", "th").join(entries.select("node").distinct(), "node", "left_semi")
-        texts = base.withColumn("th", F.xxhash64("text")).join(
-            wanted.withColumnRenamed("node", "k"), ["k", "th"], "left_semi"
-        )
-        texts = work.stage(texts.select(F.col("k").alias("node"), "text").dropDuplicates(["node"]))
+        wanted = classes.select("node", "one.*").join(entries.select("node").distinct(), "node", "left_semi")
+        texts = base.withColumn("th", F.xxhash64("text")).join(wanted, ["k", "th"])
+        texts = work.stage(texts.select("node", "text").dropDuplicates(["node"]))
         labels = near_links(work, texts, entries, shingle, percent, turns)
-        nodes = classes.select("s1", "s2", F.col("node").alias("class")).join(labels, F.col("class") == F.col("node"), "left")
-        nodes = nodes.select("s1", "s2", F.coalesce("comp", "class").alias("comp"))
+        nodes = classes.select("s1", "s2", "one", "node").join(labels, "node", "left")
+        nodes = work.stage(nodes.select("s1", "s2", "one", F.coalesce("comp", "node").alias("comp")))
+        # The texts of a repeated id are linked.
+        sets = F.struct("s1", "s2")
+        again = full.filter(F.col("k") != LAST_ID).groupBy("k").agg(F.min(sets).alias("low"), F.max(sets).alias("high")).filter("low != high")
+        ends = full.join(again.select("k"), "k", "left_semi").join(nodes, ["s1", "s2"]).select("k", "comp").distinct()
+        ends = work.stage(ends)
+        links = ends.join(ends.groupBy("k").agg(F.min("comp").alias("a")), "k").select("a", F.col("comp").alias("b"))
+        roots = components(work, links)
+        nodes = nodes.join(roots, F.col("comp") == F.col("id"), "left").select("s1", "s2", "one", F.coalesce("root", "comp").alias("comp"))
+        nodes = work.stage(nodes)
+        tops = nodes.groupBy("comp").agg(F.min("one").alias("top"))
+        nodes = work.stage(nodes.join(tops, "comp").select("s1", "s2", "top"))
+        firsts = loose.groupBy(digest.alias("th")).agg(F.min(row).alias("first")).withColumn("k", F.lit(LAST_ID))
+        found = sketched.select("k", "th", "n", "s1", "s2").join(nodes, ["s1", "s2"], "left").dropDuplicates(["k", "th"])
+        found = found.join(firsts, ["k", "th"], "left")
         found = kept(
-            sketched.select(F.col("k").alias(k), F.col("th").alias(th), "n", "s1", "s2")
-            .join(work.stage(nodes), ["s1", "s2"], "left")
-            .select(k, th, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("comp")).otherwise(F.col(k)).alias("component_id"))
-            .dropDuplicates([k, th])
+            found.select(
+                F.col("k").alias(found_k),
+                F.col("th").alias(found_th),
+                F.col("n").alias("n_shingles"),
+                F.when(F.col("n") > 0, F.col("top")["k"]).otherwise(F.col("k")).alias("component_id"),
+                F.when(F.col("n") == 0, -1).when((F.col("top")["k"] == LAST_ID) & (F.col("top")["th"] == F.col("th")), F.col("first")).alias(first),
+            )
         )
-    out = docs.withColumn(k, ident).withColumn(th, digest).join(found, [k, th])
+    out = docs.filter(col(id).isNotNull()).withColumn(row, F.lit(None).cast("bigint")).unionByName(loose)
+    out = out.withColumn(k, ident).withColumn(th, digest).join(found, (F.col(k) == F.col(found_k)) & (F.col(th) == F.col(found_th)))
     component = F.nullif(F.col("component_id"), F.lit(LAST_ID))
+    # Without an id: texts without words stay, of the others the keeper of a component that has no id.
+    stays = F.coalesce((F.col(first) == -1) | (F.col(first) == F.col(row)), F.lit(False))
     return out.select(
-        *[col(c) for c in docs.columns], "n_shingles", component.alias("component_id"), col(id).eqNullSafe(component).alias("kept")
+        *[col(c) for c in docs.columns],
+        "n_shingles",
+        component.alias("component_id"),
+        F.when(col(id).isNull(), stays).otherwise(col(id).eqNullSafe(component)).alias("kept"),
     )

@@ -158,3 +158,17 @@ def test_short_lines_if_asked_for(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert {r.doc_id: r.n_dropped for r in line_dedup(frame, short_lines=True).collect()} == want
     assert sum(r.n_dropped for r in line_dedup(frame).collect()) < sum(want.values())
+
+
+def test_near_dedup_of_repeated_and_missing_ids(spark):
+    rng = random.Random(21)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(100)) for _ in range(5))
+    near = lambda t: t + " more"
+    rows = [(10, a), (10, b), (20, near(a)), (30, near(b)), (5, near(b) + " yet"), (7, c)]
+    rows += [(None, near(c)), (None, d), (None, d), (None, near(d)), (None, e), (None, ""), (None, None)]
+    for parts in (1, 4):
+        got = near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        by = {(r.doc_id, r.text): (r.component_id, r.kept) for r in got}
+        assert len(got) == len(rows)
+        assert all(by[x] == (5, x[0] == 5) for x in rows[:5]) and by[7, c] == (7, True) and by[None, near(c)] == (7, False)
+        assert sum(r.kept for r in got if r.text in (d, near(d))) == 1 and by[None, e] == by[None, ""] == by[None, None] == (None, True)
