@@ -72,14 +72,15 @@ def mix(
     keys of a source evenly whatever the source's size, so no task gets a whole source.
 
     NULL text has no words and is never taken, NULL source is a source of its own. Rows that repeat an id have the
-    same key and are ordered by text. Weights must be positive. Columns of the input named like an added one are replaced.
+    same draw and are ordered by text; without an id the draw comes from a digest of the text. Weights must be positive. Columns of the input named like an added one are replaced.
     """
     docs = without(docs, OUT)
     key, rate, mark, bin, before, plan, plan_source, sum_source, sum_bin, offset = fresh(
         docs, "key", "rate", "mark", "bin", "before", "plan", "plan_source", "sum_source", "sum_bin", "offset"
     )
     body = content(text)
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), col(id).cast("string"))), 1, 12), 16, 10).cast("double")
+    named = F.coalesce(col(id).cast("string"), F.concat(F.lit("text "), F.xxhash64(body).cast("string")))
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), named)), 1, 12), 16, 10).cast("double")
     rows = (
         docs.withColumn("size", F.size(words(body)).cast("bigint"))
         .withColumn(rate, F.greatest(quality if quality is not None else text_weight(text), F.lit(1e-6)).cast("double"))

@@ -162,3 +162,11 @@ def test_mix_prefers_quality(spark):
     taken = mix(docs, share=0.5, quality=F.when(F.col("good") == 1, 4.0).otherwise(1.0)).groupBy("good").agg(F.sum("taken").alias("t")).collect()
     by = {r.good: r.t for r in taken}
     assert by[1] > 1.8 * by[0]
+
+
+def test_mix_draws_rows_without_an_id_one_by_one(spark):
+    from strata.llm.mixing import mix
+
+    docs = spark.createDataFrame([(None, f"a b c {i:03d}", "s") for i in range(400)], "doc_id long, text string, source string")
+    taken = [r.taken > 0 for r in mix(docs, share=0.5, quality=F.when(F.substring("text", 7, 3) < "200", 1.0).otherwise(1.001)).sort("text").collect()]
+    assert 50 < sum(taken[:200]) < 150
