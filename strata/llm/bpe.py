@@ -20,8 +20,10 @@ from pyspark.sql import types as T
 from strata.llm.common import col, content, fresh, without
 
 OUT = ("n_tokens", "ids")
-# Pre-tokens of at most so many bytes are remembered, and up to twice so many of them by one worker.
-CACHED_BYTES, CACHED = 48, 500_000
+# Pre-tokens of at most so many bytes are remembered by a worker, in two halves of so much memory each.
+CACHED_BYTES, CACHE_BYTES = 48, 32 << 20
+# What an entry of a dictionary takes besides its text and its ids.
+ENTRY_BYTES = 190
 SLICE_BYTES = 2 << 20
 
 
@@ -42,6 +44,7 @@ class Coder(dict):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.older: dict[str, bytes] = {}
+        self.used = 0
         self.single = [ranks.get(bytes((b,))) for b in range(256)]
         self.double = [ranks.get(bytes((a, b))) for a in range(256) for b in range(256)]
         # Empty between pre-tokens, so they are made once.
@@ -123,10 +126,12 @@ class Coder(dict):
             packed = struct.pack(f"<{len(ids)}I", *ids)
             if len(raw) > CACHED_BYTES:
                 return packed
-        if len(self) >= CACHED:
+        self.used += ENTRY_BYTES + len(piece) + len(packed)
+        if self.used > CACHE_BYTES:
             # What was used since the last time is found again in the older half.
-            self.older = dict(self)
+            self.older = self.copy()
             self.clear()
+            self.used = ENTRY_BYTES + len(piece) + len(packed)
         self[piece] = packed
         return packed
 

@@ -15,7 +15,9 @@ from strata.session import Workspace, kept
 OUT = ("n_shingles", "component_id", "kept")
 LAST_ID = 2**63 - 1
 # Texts and bytes of one side of a tile.
-TILE_TEXTS, TILE_BYTES = 500, 8 << 20
+TILE_TEXTS, TILE_BYTES = 500, 1 << 20
+# Bytes of text that are sketched at once.
+PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 _GOLDEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
@@ -116,7 +118,7 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
-def _pieces(series: pd.Series, most: int = 16 << 20) -> Iterator[list[str]]:
+def _pieces(series: pd.Series, most: int = PIECE_BYTES) -> Iterator[list[str]]:
     """The texts of a batch in runs of bounded length, at least one text each."""
     run, size = [], 0
     for t in series:
@@ -135,7 +137,7 @@ def sketch_udf(length: int, bands: int, rows: int):
     @F.pandas_udf("struct<n:bigint,s1:bigint,s2:bigint,bands:array<bigint>>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         out: dict[str, list] = {"n": [], "s1": [], "s2": [], "bands": []}
-        for run in _pieces(texts, 4 << 20):
+        for run in _pieces(texts):
             h, begin = shingle_sets(run, length)
             keys = band_keys(fast_sketches(h, begin, bands * rows), bands, rows).view(np.int64)
             sums = [np.concatenate((np.zeros(1, _U), np.cumsum(mixed(h ^ m)))) for m in (_M1, _M2)]
