@@ -16,6 +16,7 @@ from strata.llm.exact import exact_dedup
 from strata.llm.lines import line_dedup
 from strata.llm.minhash import near_dedup
 from strata.llm.mixing import mix
+from strata.llm.packing import pack_pieces, token_pieces
 from strata.llm.pii import pii_spans
 from strata.llm.rules import STOP_WORDS, quality_rules
 from strata.llm.sharding import kd_shards, payload
@@ -261,3 +262,11 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+@query("op13_packing")
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id"])
+    # Only the digest of the ids moves on.
+    return pack_pieces(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
