@@ -23,7 +23,7 @@ OUT = ("sequence_id", "offset")
 # Words that a worker remembers, characters of a text that are split at once, and bytes of ids that leave at once.
 CACHE_BYTES, CHUNK, SLICE_BYTES = 64 << 20, 1 << 18, 1 << 20
 # Pieces of one length are numbered in cells of about so many.
-CELL = 1000
+CELL = 300
 
 _blank = re.compile(r"[ \t\n\r]").search
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
+from strata.llm.alignment import Vocabularies, align_tokens, count_links
 from strata.llm.bpe import Bpe, bpe_encode
 from strata.llm.common import content
 from strata.llm.compression import fit_quality, quality_scores
@@ -264,6 +265,15 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    both = Vocabularies(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    aligned = align_tokens(table(spark, folder, "documents").select("doc_id", "text"), both, carry=["doc_id"])
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    rows = aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "times")
+    return count_links(rows, both).drop("pairs", "times")
+
+
 @query("op13_packing")
 def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
