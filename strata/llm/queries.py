@@ -22,6 +22,7 @@ from strata.llm.pii import pii_spans
 from strata.llm.rules import STOP_WORDS, quality_rules
 from strata.llm.sharding import kd_shards, payload
 from strata.llm.toxicity import fit_toxicity, toxicity_scores
+from strata.llm.trie import prefix_trie, turn_paths
 from strata.queries.base import Query, table
 
 QUERIES: dict[str, Query] = {"pipeline": corpus_pipeline.run}
@@ -265,6 +266,43 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# CRC-32 of a decimal, bit by bit.
+_CRC = """xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split({0}::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                          lambda crc, x: list_reduce([xor(crc, x)] || list_transform(range(8), lambda i: 0::BIGINT),
+                                                     lambda y, z: xor(y >> 1, 3988292384::BIGINT * (y & 1)))))"""
+
+
+@query(
+    "op11_trie",
+    f"""
+    WITH originals AS (
+        SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, md5(text)) AS ts
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+    ), rebuilt AS (
+        SELECT o.c, coalesce(b.ts[1:h], []) || o.ts[h + 1:] AS ts
+        FROM (SELECT *, {_CRC.format("c")} % 6 AS h FROM originals) o LEFT JOIN originals b ON b.c = o.c - o.c % 100
+    ), members AS (
+        SELECT c, len(ts) AS n, d, ts[1:d] AS node FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM rebuilt)
+    ), nodes AS (
+        SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends,
+               CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * length(node[d].t) END AS saved
+        FROM members GROUP BY node, d
+    ), children AS (
+        SELECT node[1:d - 1] AS node, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+    ), counted AS (
+        SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)
+    ), subtrees AS (
+        SELECT node[1:k] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+        FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM counted) GROUP BY ALL
+    )
+    SELECT a.conv_id, a.d AS depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+    FROM counted a JOIN subtrees s ON s.node = a.node LEFT JOIN nodes p ON a.d > 0 AND p.node = a.node[1:a.d - 1]
+    """,
+)
+def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(turn_paths(table(spark, folder, "conversations"), head=6, every=100))
+
+
 @query("op12_alignment")
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     both = Vocabularies(spark, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
