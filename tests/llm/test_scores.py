@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from strata.llm.pii import find_spans, luhn, mod97
 from strata.llm.rules import Rule, quality_rules
 from strata.llm.sharding import kd_shards, write_shards
-from strata.llm.toxicity import choose_words, fit_nnpu
+from strata.llm.toxicity import Presence, choose_words, fit_nnpu, fit_toxicity, nnpu_risk, toxicity_scores
 
 
 def test_registered():
@@ -21,9 +21,9 @@ def test_registered():
 
 
 def auc(labels, scores):
-    order = np.argsort(np.argsort(scores))
-    n = labels.sum()
-    return (order[labels == 1].sum() - n * (n - 1) / 2) / (n * (len(labels) - n))
+    """How often a text of class 1 is scored above one of class 0; ties count half."""
+    a, b = scores[labels == 1], scores[labels == 0]
+    return ((a[:, None] > b).mean() + (a[:, None] >= b).mean()) / 2
 
 
 @pytest.mark.parametrize("name, label, least", [("op4_compression_quality", "quality", 0.85), ("op8_toxicity", "toxic", 0.75)])
@@ -62,6 +62,45 @@ def test_words_of_a_small_share_are_features_at_any_size():
         assert {"insult", "slur"} <= {w.rstrip("-") for w in choose_words(toxic, ["the plain words"] * 300 * times)}
 
 
+def test_nnpu_risk_and_slope():
+    """Against dense matrices and finite differences, on both sides of zero."""
+    rng = np.random.default_rng(3)
+    seen = set()
+    for _ in range(30):
+        dense = [(rng.random((n, 6)) < 0.4).astype(float) for n in (8, 15)]
+        p, u = (Presence.of([np.flatnonzero(r).tolist() for r in x]) for x in dense)
+        prior, w = rng.uniform(0.1, 0.9), rng.normal(size=7) * 2
+
+        def parts(w):
+            zp, zu = (x @ w[:6] + w[6] for x in dense)
+            loss = lambda z: np.log1p(np.exp(z)).mean()
+            return prior * loss(-zp), loss(zu) - prior * loss(zp), 0.5 * 0.01 * (w[:6] ** 2).sum()
+
+        def goal(w):
+            plus, minus, ridge = parts(w)
+            return (plus + minus if negative >= 0 else -minus) + ridge
+
+        risk, negative, slope = nnpu_risk(p, u, w, prior, 0.01)
+        plus, minus, ridge = parts(w)
+        assert negative == pytest.approx(minus) and risk == pytest.approx(plus + max(0, minus) + ridge)
+        seen.add(negative >= 0)
+        steps = np.eye(7) * 1e-6
+        assert slope == pytest.approx([(goal(w + d) - goal(w - d)) / 2e-6 for d in steps], abs=1e-5)
+    assert seen == {True, False}
+
+
+def test_no_evidence_is_not_toxic_whatever_the_labels(spark):
+    rng = random.Random(8)
+    plain = lambda: " ".join(f"word{rng.randrange(200)}" for _ in range(30))
+    rows = [(i, plain() + (" vileslur" if i % 5 < 2 else ""), int(i % 5 < 2)) for i in range(200)] + [(500, "", None), (501, None, None), (502, plain(), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    scores = {r.doc_id: r.score for r in toxicity_scores(docs, fit_toxicity(docs, docs.select("doc_id", "toxic"), F.lit(True))).collect()}
+    assert all((scores[i] >= 0.3) == (i % 5 < 2) for i in range(200)) and max(scores[500], scores[501], scores[502]) <= 0.2
+    none = fit_toxicity(docs, docs.select("doc_id", F.lit(0).alias("toxic")), F.lit(True))
+    every = fit_toxicity(docs, docs.select("doc_id", F.lit(1).alias("toxic")), F.lit(True))
+    assert none.score("anything") <= 0.2 and every.score("") <= 0.2
+
+
 BASE = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m, d: True),
     "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m, d: all(int(p) <= 255 for p in m.split("."))),
