@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from itertools import combinations, islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.functions.time import clock, hours_between
 from strata.operators.aggregates import null_profile, value_counts
 from strata.operators.align import find_column
+from strata.operators.keysets import smallest_keys
 from strata.specs import key_list
 
 CELL_WIDTH = 40
@@ -109,10 +109,6 @@ def custom_metadata(df: DataFrame, profile: Sequence[Mapping[str, str]]) -> Data
 KNOWN_KEYS = ("id", "uuid", "_id", "account_id")
 
 
-# Sketches kept in one pass over the table.
-SKETCHES = 400
-
-
 def candidate_keys(
     df: DataFrame,
     known: Sequence[str] = KNOWN_KEYS,
@@ -121,32 +117,20 @@ def candidate_keys(
 ) -> DataFrame:
     """Smallest column sets that identify every row: (key_columns, n_columns, n_rows).
 
-    A unique well-known name ends the search, and so do rows that repeat in all columns. Otherwise all sets of
-    one column, then two, and so on are tried, up to the first size that gives a key; all keys of that size are
-    reported. A distinct-count sketch of each set's hash, many in one pass and without copying rows, rules out sets that
-    stay below the row count even with the sketch's error; what remains is decided exactly, set by set.
-    ``max_columns`` ends the search earlier.
+    A unique well-known name ends the search, and so do rows that repeat in all columns. Otherwise all keys of the fewest columns are
+    reported, see :func:`strata.operators.keysets.smallest_keys`; ``max_columns`` ends the search earlier. A key part may not be NULL
+    anywhere.
     """
     spark = df.sparkSession
     names = list(columns or df.columns)
     n, *present = df.agg(F.count("*"), *[F.count(F.col(f"`{c}`")) for c in names]).first()
-    # A key part may not be NULL anywhere.
     filled = [c for c, k in zip(names, present) if k == n]
 
-    def unique(s: Sequence[str]) -> bool:
-        return df.groupBy(*[F.col(f"`{c}`") for c in s]).count().filter("count > 1").isEmpty()
-
-    def near(sets: Sequence[tuple[str, ...]], error: float = 0.03) -> list[tuple[str, ...]]:
-        sketches = [F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in s]), error) for s in sets]
-        return [s for s, k in zip(sets, df.agg(*sketches).first()) if k >= n * (1 - 5 * error)]
+    def unique(c: str) -> bool:
+        return df.groupBy(F.col(f"`{c}`")).count().filter("count > 1").isEmpty()
 
     usual = [find_column(k, filled) for k in known]
-    found = next(([(c,)] for c in usual if c and unique([c])), []) if n else []
-    size = 1 if n and not found and filled and unique(filled) else len(filled) + 1
-    while not found and size <= min(len(filled), max_columns or len(filled)):
-        sets = combinations(filled, size)
-        while chunk := list(islice(sets, SKETCHES)):
-            found += [s for s in near(chunk) if unique(s)]
-        size += 1
+    found = next(([(c,)] for c in usual if c and unique(c)), []) if n else []
+    found = found or smallest_keys(df, filled, n, max_columns)
     rows = [(",".join(s), len(s), n) for s in found]
     return spark.createDataFrame(rows, "key_columns string, n_columns int, n_rows bigint")
