@@ -158,19 +158,35 @@ def null_column_integrity(target: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
-def load_stats(df: DataFrame, keys: str | Sequence[str], watermark_column: str | None = None, watermark=None) -> DataFrame:
-    """Raw, key-less, mapped and already loaded row counts of a batch, in one pass."""
+def load_stats(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    watermark_column: str | None = None,
+    watermark=None,
+    rejected: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """Raw, key-less, mapped and already loaded row counts of a batch, in one pass.
+
+    ``rejected`` holds what was counted while the batch was read from files: ``malformed`` lines, which are raw rows too, and
+    ``wrong:<column>`` values that don't fit; they make the columns ``malformed`` and ``wrong_values``.
+    """
     missing = any_missing(key_list(keys))
     old = F.lit(False)
     if watermark_column and watermark is not None:
         bound = F.lit(str(watermark)).cast(df.schema[watermark_column].dataType)
         old = F.coalesce(F.col(watermark_column) <= bound, F.lit(False))
-    return df.agg(
-        F.count("*").alias("total_raw"),
+    malformed = F.lit((rejected or {}).get("malformed", 0)).cast("bigint")
+    stats = df.agg(
+        (F.count("*") + malformed).alias("total_raw"),
         F.count_if(missing).alias("pk_missing"),
         F.count_if(~missing).alias("mapped"),
         F.count_if(~missing & old).alias("watermark_skipped"),
     )
+    if rejected is None:
+        return stats
+    wrong = [x for k, n in sorted(rejected.items()) if k.startswith("wrong:") for x in (F.lit(k[6:]), F.lit(n).cast("bigint"))]
+    values = F.create_map(*wrong) if wrong else F.create_map()
+    return stats.withColumns({"malformed": malformed, "wrong_values": values.cast("map<string,bigint>")})
 
 
 def table_checks(df: DataFrame, spec: LoadSpec, state: DataFrame, as_of) -> DataFrame:

@@ -9,9 +9,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ from strata.operators.watermarks import (
     watermark_update,
 )
 from strata.session import Workspace, staged
-from strata.sources.files import read_csv, read_ndjson_tolerant
+from strata.sources.files import CHECKED, FILE, LINE, WRONG, read_checked
 from strata.specs import LoadSpec, key_list
 
 DEFAULT_WINDOW_DAYS = 90
@@ -54,6 +54,7 @@ class LoadResult:
     metadata: DataFrame | None = None  # what the run did, one row
     profile: DataFrame | None = None  # the declared profile of the loaded table
     checks: DataFrame | None = None  # the standing checks of the loaded table
+    rejects: DataFrame | None = None  # lines of files with something wrong: file, line, columns
 
 
 def _one_key(spark: SparkSession, spec: LoadSpec) -> DataFrame:
@@ -142,30 +143,76 @@ def load_batch(
     return LoadResult(new_target, watermark_update(state, watermark_rows(batch, spec, run_ts), run_ts), stats)
 
 
-def read_files(spark: SparkSession, path: str, schema: T.StructType, kind: str | None = None) -> DataFrame:
-    """A batch from NDJSON or CSV files in those of the target's columns that the files name. The kind is told from the
-    path unless given.
+class RejectedLines(ValueError):
+    """More lines of a load's files are wrong than it tolerates. ``rejects`` has them, ``counts`` says how many of which kind."""
 
-    Files hold mapped records: neither field mappings nor the watermark filter apply to them. NDJSON is looked through for
-    its field names first, so that an upsert leaves other columns as they are.
+    def __init__(self, path: str, counts: dict[str, int], rejects: DataFrame):
+        examples = [f"{r['file']}: {r['line'][:200]}" for r in rejects.limit(3).collect()]
+        super().__init__(f"{path}: {counts['rejected']} of {counts['lines']} lines rejected, such as {'; '.join(examples)}")
+        self.counts, self.rejects = counts, rejects
+
+
+@dataclass(frozen=True)
+class FileBatch:
+    """A batch from files: its records, its rejected lines (file, line, columns), and counts of both."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]  # lines, malformed, rejected, and wrong:<column> for columns with values that don't fit
+
+
+def stage_files(spark: SparkSession, path: str, schema: T.StructType, kind: str | None = None, label: str = "files") -> FileBatch:
+    """NDJSON or CSV files as a staging table, read once, in those of the target's columns that any line names.
+
+    The kind is told from the path unless given. What is wrong is counted while the staging table is written. A line that is no
+    record is a reject without columns; a record with values that don't fit stays in the batch with NULL for those, and is a
+    reject with their columns' names.
     """
     bare = path.rstrip("/").lower().removesuffix(".gz")
-    kind = kind or ("csv" if bare.endswith(".csv") else "ndjson")
-    if kind == "csv":
-        return read_csv(spark, path, schema)
-    if kind == "ndjson":
-        keys = spark.read.text(path).select(F.explode(F.json_object_keys("value")).alias("name")).filter(F.col("name").isin(schema.names))
-        named = {r["name"] for r in keys.distinct().collect()}
-        return read_ndjson_tolerant(spark, path, T.StructType([f for f in schema if f.name in named]))
-    raise ValueError(f"files are ndjson or csv, not {kind!r}")
+    rows, named = read_checked(spark, path, schema, kind or ("csv" if bare.endswith(".csv") else "ndjson"))
+    seen = Observation(label)
+    no_record = F.col(WRONG).isNull()
+    metrics = [F.count("*").alias("lines"), F.count_if(no_record).alias("malformed"), F.count_if(F.col(LINE).isNotNull()).alias("rejected")]
+    fields = [f.name for f in schema if f.name in rows.columns]
+    metrics += [F.count_if(F.array_contains(WRONG, c)).alias(f"wrong:{c}") for c in fields]
+    metrics += [F.count_if(named[c]).alias(f"named:{c}") for c in fields]
+    table = staged(rows.observe(seen, *metrics).select(*fields, *CHECKED), label)
+    counts = seen.get
+    kept = [c for c in fields if counts[f"named:{c}"]]
+    rejects = table.filter(F.col(LINE).isNotNull()).select(
+        F.col(FILE).alias("file"), F.col(LINE).alias("line"), F.coalesce(WRONG, F.array().cast("array<string>")).alias("columns")
+    )
+    told = {k: n for k, n in counts.items() if not k.startswith("named:") and (n or ":" not in k)}
+    return FileBatch(table.filter(F.col(WRONG).isNotNull()).select(*kept), rejects, told)
 
 
 def load_files(
-    path: str, target: DataFrame, spec: LoadSpec, state: DataFrame, run_ts, kind: str | None = None, **merge_options
+    path: str,
+    target: DataFrame,
+    spec: LoadSpec,
+    state: DataFrame,
+    run_ts,
+    kind: str | None = None,
+    tolerate: int | None = 0,
+    rejects_folder: str | None = None,
+    **merge_options,
 ) -> LoadResult:
-    """:func:`load_batch` from NDJSON or CSV files, which are read once, into a staging table."""
-    batch = staged(read_files(target.sparkSession, path, target.schema, kind), spec.name)
-    return load_batch(target, batch, spec, state, run_ts, **merge_options)
+    """:func:`load_batch` from NDJSON or CSV files, see :func:`stage_files`.
+
+    Files hold mapped records: neither field mappings nor the watermark filter apply to them. Columns that no line names stay as they
+    are in the target. More than ``tolerate`` rejected lines raise :class:`RejectedLines` before anything is merged (None: any number
+    may be). ``rejects_folder`` keeps the rejected lines of all loads, those that raise included, as a
+    parquet table with the load's name and time. The result's ``stats`` count malformed lines, and values that don't fit by column.
+    """
+    spark = target.sparkSession
+    batch = stage_files(spark, path, target.schema, kind, spec.name)
+    if rejects_folder and batch.counts["rejected"]:
+        stamped = batch.rejects.select(F.lit(spec.name).alias("load"), F.lit(as_timestamp(run_ts)).cast("timestamp_ntz").alias("run_ts"), "*")
+        stamped.write.mode("append").parquet(rejects_folder)
+    if tolerate is not None and batch.counts["rejected"] > tolerate:
+        raise RejectedLines(path, batch.counts, batch.rejects)
+    stats = load_stats(batch.rows, list(spec.primary_key), rejected=batch.counts)
+    return replace(load_batch(target, batch.rows, spec, state, run_ts, stats, **merge_options), rejects=batch.rejects)
 
 
 def prepare_batch(raw: DataFrame, spec: LoadSpec, watermark: str | None, run_ts) -> tuple[DataFrame, DataFrame]:

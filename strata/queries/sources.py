@@ -200,6 +200,51 @@ def load_batch_csv(spark, d):
     return _file_load(spark, d, "csv")
 
 
+def _broken(spark, d):
+    """The target's columns of the new events as NDJSON in which some lines are no records and some values don't fit."""
+    path = work_dir(spark, "broken") + ".ndjson"
+    rows, i = events_staging(spark, d), F.col("event_id")
+    wrong = {
+        "event_id": F.when(i % 40 == 3, "none").otherwise(i.cast("string")),
+        "ts": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        "value": F.when(i % 30 == 7, "a lot").otherwise(F.col("value").cast("string")),
+    }
+    line = F.to_json(F.struct(*[wrong.get(c, F.col(c)).alias(c) for c in rows.columns]))
+    rows.select(F.when(i % 50 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "load_rejects",
+    f"""WITH {STAGING}, told AS (SELECT count(*) AS n, count(*) FILTER (event_id % 50 = 0) AS bad,
+        count(*) FILTER (event_id % 50 <> 0 AND event_id % 40 = 3) AS ids, count(*) FILTER (event_id % 50 <> 0 AND event_id % 30 = 7) AS vals,
+        count(*) FILTER (event_id % 50 = 0 OR event_id % 40 = 3 OR event_id % 30 = 7) AS lines FROM stg)
+    SELECT 'total_raw' AS what, n AS n_rows FROM told UNION ALL SELECT 'malformed', bad FROM told
+    UNION ALL SELECT 'pk_missing', ids FROM told
+    UNION ALL SELECT 'wrong event_id', ids FROM told UNION ALL SELECT 'wrong value', vals FROM told
+    UNION ALL SELECT 'kept lines', lines FROM told UNION ALL SELECT 'raised', 1::BIGINT""",
+)
+def load_rejects(spark, d):
+    """What a load of files tells about lines and values that are wrong, and that it raises unless it is to tolerate them."""
+    _, _, known, spec = _run_inputs(spark, d)
+    spec = dataclasses.replace(spec, primary_key=("event_id",), incremental_column="ts", field_mappings=())
+    path, kept = _broken(spark, d), work_dir(spark, "rejects")
+    target, state = events_target(spark, d), align_by_name(known, STATE_SCHEMA)
+    result = load.load_files(path, target, spec, state, AS_OF, tolerate=None, rejects_folder=kept)
+    try:
+        load.load_files(path, target, spec, state, AS_OF)
+        raised = 0
+    except load.RejectedLines:
+        raised = 1
+    told = {c: F.col(c) for c in ("total_raw", "malformed", "pk_missing")}
+    told |= {f"wrong {c}": F.col("wrong_values")[c] for c in ("event_id", "value")}
+    cells = F.array(*[F.struct(F.lit(k).alias("what"), v.alias("n_rows")) for k, v in told.items()])
+    lines = spark.read.parquet(kept).agg(F.lit("kept lines").alias("what"), F.count("*").alias("n_rows"))
+    return result.stats.select(F.inline(cells)).unionByName(lines).unionByName(
+        spark.range(1).select(F.lit("raised").alias("what"), F.lit(raised).cast("bigint").alias("n_rows"))
+    )
+
+
 @query(
     "execute_load_metadata",
     f"SELECT total_raw - pk_missing - watermark_skipped AS records_processed, pk_missing AS errors FROM ({ORACLES['run_load_state']})",

@@ -1,6 +1,7 @@
 """Reading source data and writing results."""
 
 from strata.sources.files import (
+    read_checked,
     read_csv,
     read_ndjson,
     read_ndjson_tolerant,
@@ -12,6 +13,7 @@ from strata.sources.tables import Registry, materialize, read_incremental, read_
 __all__ = [
     "Registry",
     "materialize",
+    "read_checked",
     "read_csv",
     "read_incremental",
     "read_jdbc",
