@@ -4,24 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.dedup import sortable
 from strata.specs import key_list
 
 
-def audit_except(a: DataFrame, b: DataFrame) -> DataFrame:
+# Buckets of rows that are compared as a whole first, by sums of their rows' hashes.
+BUCKETS = 1 << 16
+
+
+def differing_buckets(signed: DataFrame, columns: Sequence[str], sign: str, buckets: int = BUCKETS) -> DataFrame:
+    """Buckets (``_bucket``) of rows, by a hash of all columns, whose signed rows do not cancel out.
+
+    Of each bucket only the sums of two independent 64-bit hashes of its rows move, each in two halves so that no sum overflows. Equal
+    rows have equal hashes, so buckets of the same rows have the same sums whatever their order; rows that are not the same have them
+    with a probability of about 2^-128.
+    """
+    sums = [F.sum(sign).alias("_n")]
+    for i, salt in enumerate(("one", "two")):
+        h = row_hash(signed, columns, salt)
+        sums += [F.sum(F.col(sign) * F.shiftright(h, 32)).alias(f"_high{i}"), F.sum(F.col(sign) * h.bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"_low{i}")]
+    totals = signed.groupBy(bucket_of(signed, columns, buckets).alias("_bucket")).agg(*sums)
+    unlike = F.lit(False)
+    for c in totals.columns[1:]:
+        unlike = unlike | (F.col(c) != 0)
+    return totals.filter(unlike).select("_bucket")
+
+
+def row_hash(df: DataFrame, columns: Sequence[str], salt: str) -> Column:
+    """A hash of a row's values. A NULL counts where it stands, and values of a type without a hash are taken as text."""
+    parts = [F.lit(salt)]
+    for c in columns:
+        value = F.col(f"`{c}`")
+        if isinstance(df.schema[c].dataType, (T.MapType, T.VariantType)):
+            value = F.to_json(value)
+        parts += [value, value.isNull()]
+    return F.xxhash64(*parts)
+
+
+def bucket_of(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
+    return F.pmod(row_hash(df, columns, "bucket"), F.lit(buckets))
+
+
+def audit_except(a: DataFrame, b: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Rows of one version that the other lacks, counted as a multiset: (columns, side, n_rows).
 
-    Both versions are stacked with opposite signs and grouped once; copies of a row meet already in
-    the map-side aggregation.
+    Both versions are stacked with opposite signs. First the sums of the rows' hashes are compared bucket by bucket, see
+    :func:`differing_buckets`; then only rows of buckets that differ move, grouped by all columns. Equal versions are so
+    told at the cost of one narrow row per bucket, and a few differing rows at little more. The list of differing buckets is
+    broadcast; it has at most ``buckets`` numbers. Copies of a row meet already in the map-side aggregation.
     """
     columns = a.columns
     if set(columns) != set(b.columns):
         raise ValueError(f"only one version has the columns {sorted(set(columns) ^ set(b.columns))}")
     signed = a.withColumn("_sign", F.lit(1)).unionByName(b.select(*columns).withColumn("_sign", F.lit(-1)))
-    net = signed.groupBy(*columns).agg(F.sum("_sign").alias("_net")).filter(F.col("_net") != 0)
+    unlike = differing_buckets(signed, columns, "_sign", buckets)
+    rows = signed.withColumn("_bucket", bucket_of(signed, columns, buckets)).join(F.broadcast(unlike), "_bucket", "left_semi")
+    net = rows.groupBy(*columns).agg(F.sum("_sign").alias("_net")).filter(F.col("_net") != 0)
     side = F.when(F.col("_net") > 0, "a_only").otherwise("b_only")
     return net.select(*columns, side.alias("side"), F.abs("_net").cast("bigint").alias("n_rows"))
 

@@ -22,6 +22,7 @@ from strata.operators.mapping import filter_watermark, map_fields
 from strata.operators.merge import full_refresh, merge_upsert
 from strata.operators.profile import custom_metadata, run_metadata
 from strata.operators.quality import load_stats, table_checks
+from strata.operators.sizing import fits_broadcast
 from strata.operators.watermarks import (
     STATE_KEY,
     STATE_SCHEMA,
@@ -36,6 +37,8 @@ from strata.specs import LoadSpec, key_list
 DEFAULT_WINDOW_DAYS = 90
 # Partition values put into one scan as literals; more take several scans.
 PARTITION_LITERALS = 5_000
+# Rows of a file that a merge by file writes beyond those it replaces.
+ROWS_PER_FILE = 1_000_000
 # Folder in a partitioned table that holds the new content of partitions until they are replaced; readers skip it.
 PENDING = "_pending"
 
@@ -377,6 +380,64 @@ def replace_pending(spark: SparkSession, path: str, partition_by: str) -> None:
     files.delete(pending, True)
 
 
+def merge_files(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: str | Sequence[str],
+    order_by: str | None = None,
+    **merge_options,
+) -> list[str]:
+    """Upsert into an unpartitioned parquet folder, reading whole and rewriting only the files that hold keys of the batch.
+
+    A scan of the key columns within the batch's range of keys tells those files; the others stay as they are. Rewritten rows are dealt by
+    ranges of the key into as many files as there were, so files keep to their ranges and the next batch touches few too. The new
+    files and the list of the old ones are complete in the folder before any is replaced; a run that dies in
+    between is finished by the next. While files are replaced, a reader that lists the folder may see rows of both; tables that are read
+    meanwhile belong to :func:`publish`. Returns the replaced files, one entry for each.
+    """
+    names = key_list(keys)
+    replace_files(spark, path)
+    target = spark.read.parquet(path)
+    with Workspace(spark, "batch") as work:
+        batch = work.stage(batch)
+        touched = touched_files(target, batch, names)
+        old = spark.read.schema(target.schema).parquet(*touched) if touched else target.limit(0)
+        merged = merge_upsert(old, batch, names, order_by, **merge_options)
+        files = max(len(touched), -(-batch.count() // ROWS_PER_FILE), 1)
+        merged.repartitionByRange(files, *names).write.mode("overwrite").parquet(f"{path}/{PENDING}/rows")
+    replaced = spark.createDataFrame([(f,) for f in touched], "value string")
+    replaced.coalesce(1).write.mode("overwrite").text(f"{path}/{PENDING}/replaced")
+    replace_files(spark, path)
+    return touched
+
+
+def touched_files(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Files of the target that hold a key of the batch, from a scan of nothing but keys."""
+    wanted = batch.select(*[F.col(k).cast(target.schema[k].dataType).alias(k) for k in keys]).dropna().distinct()
+    low, high = wanted.agg(F.min(keys[0]), F.max(keys[0])).first()
+    if low is None:
+        return []
+    scan = target.select(*keys, F.col("_metadata.file_path").alias("_file")).filter(F.col(keys[0]).between(F.lit(low), F.lit(high)))
+    wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted
+    return sorted(r["_file"] for r in scan.join(wanted, list(keys), "left_semi").select("_file").distinct().collect())
+
+
+def replace_files(spark: SparkSession, path: str) -> None:
+    """Put complete pending files in the place of those they replace, then forget them."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    pending, rows = new(f"{path}/{PENDING}"), new(f"{path}/{PENDING}/rows")
+    files = pending.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(new(f"{path}/{PENDING}/replaced/_SUCCESS")):
+        replaced = [r["value"] for r in spark.read.text(f"{path}/{PENDING}/replaced").collect()]
+        for f in files.listStatus(rows) if files.exists(rows) else ():
+            if f.getPath().getName().endswith(".parquet"):
+                files.rename(f.getPath(), new(f"{path}/{f.getPath().getName()}"))
+        for old in replaced:
+            files.delete(new(old), False)
+    files.delete(pending, True)
+
+
 def execute_load(
     spark: SparkSession,
     spec: LoadSpec,

@@ -161,6 +161,14 @@ def merge_partitions(spark, d):
     return spark.read.parquet(path)
 
 
+@query("merge_upsert_by_file", ORACLES["merge_upsert"])
+def merge_upsert_by_file(spark, d):
+    path = work_dir(spark, "by-file")
+    events_target(spark, d).repartitionByRange(16, "event_id").write.parquet(path)
+    load.merge_files(spark, path, events_staging(spark, d), "event_id", "ts")
+    return spark.read.parquet(path)
+
+
 @query("execute_load", ORACLES["run_load"])
 def execute_load(spark, d):
     return _executed(spark, d).target
