@@ -30,7 +30,8 @@ from strata.operators.watermarks import (
     watermark_set_status,
     watermark_update,
 )
-from strata.session import Workspace, staged
+from strata.plans.state import read_state, write_state
+from strata.session import Workspace, remove, staged
 from strata.sources.files import CHECKED, FILE, LINE, WRONG, read_checked
 from strata.specs import LoadSpec, key_list
 
@@ -259,7 +260,17 @@ def run_load(
     return load_batch(target, batch, spec, started, run_ts, stats, **merge_options)
 
 
-def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequence[str] = ()) -> None:
+class MovedTarget(RuntimeError):
+    """Another load published a new version of a table while this one was made."""
+
+
+def table_version(spark: SparkSession, table: str) -> str:
+    """The folder of a table's newest version."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return rows["Location"]
+
+
+def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequence[str] = (), expected: str | None = None) -> None:
     """Make ``df`` the new content of a catalog table, which ``df`` may be reading.
 
     The content goes to a new folder below ``folder`` and the table is then pointed at it, so the
@@ -270,6 +281,9 @@ def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequ
     leave the table's rows where they are. It is for tables whose rows all have a key: rows without
     one would share a bucket. A table that is bucketed stays so; other buckets or keys than its own are an error, and so is a
     column of another type, before anything is written. A column that ``df`` lacks reads as NULL.
+
+    ``expected`` is the :func:`table_version` that ``df`` was made from. If the table has another one when the switch is due, it stays and
+    :class:`MovedTarget` is raised; the catalog has no compare-and-set, so only a switch in the same instant goes unseen.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
@@ -297,6 +311,11 @@ def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequ
         if not spark.catalog.tableExists(table):
             spark.catalog.createTable(table, path, "parquet", df.schema)
             return
+    if expected is not None:
+        spark.catalog.refreshTable(table)
+        if table_version(spark, table) != expected:
+            remove(spark, path)
+            raise MovedTarget(f"{table} was published anew since {expected}")
     known = {f.name.lower() for f in spark.table(table).schema}
     added = [f for f in df.schema if f.name.lower() not in known]
     if added:
@@ -438,6 +457,17 @@ def replace_files(spark: SparkSession, path: str) -> None:
     files.delete(pending, True)
 
 
+def _state_of(spark: SparkSession, state_table: str, spec: LoadSpec) -> DataFrame:
+    return read_state(spark, state_table, spec) if "/" in state_table else current(spark, state_table)
+
+
+def _save_state(state: DataFrame, state_table: str, folder: str) -> None:
+    if "/" in state_table:
+        write_state(state, state_table)
+    else:
+        publish(state, state_table, f"{folder}/{state_table}")
+
+
 def execute_load(
     spark: SparkSession,
     spec: LoadSpec,
@@ -452,24 +482,30 @@ def execute_load(
     The extract is staged, so the source is read once. The result also holds what the run did, the declared profile and
     the standing checks of the table.
 
+    ``state_table`` is a folder (anything with a slash), of which a load reads and replaces its own table's partition only, so
+    loads of different tables may run at once; or a catalog table, which is replaced as a whole. A load whose target was
+    published anew by another one meanwhile raises :class:`MovedTarget` and leaves it.
+
     Target and state are published one after the other. A crash between them replays the batch on
     the next run, which the upsert makes harmless.
     """
     try:
-        state = current(spark, state_table)
+        state = _state_of(spark, state_table, spec)
         watermark, last_run = current_watermark(state, spec), last_run_at(state, spec)
         # A run that dies leaves its started mark.
-        publish(watermark_mark_started(state, _one_key(spark, spec), run_ts), state_table, f"{folder}/{state_table}")
-        state = current(spark, state_table)
-        raw = staged(extract(spark, spec, *extraction_window(spec, watermark, run_ts)), spec.name)
+        _save_state(staged(watermark_mark_started(state, _one_key(spark, spec), run_ts), "state"), state_table, folder)
+        state = _state_of(spark, state_table, spec)
         before = current(spark, target_table)
+        seen = table_version(spark, target_table)
+        raw = staged(extract(spark, spec, *extraction_window(spec, watermark, run_ts)), spec.name)
         n_before = before.count()
         how = {"co_located": True} if by_bucket(spark, target_table, spec.primary_key) else {"small_batch": True}
         result = run_load(raw, before, state, spec, run_ts, stage=False, **how)
+        new_state = staged(result.state, "state")
         if result.status == "success":
-            publish(result.target, target_table, f"{folder}/{target_table}")
-        publish(result.state, state_table, f"{folder}/{state_table}")
-        target, state = current(spark, target_table), current(spark, state_table)
+            publish(result.target, target_table, f"{folder}/{target_table}", expected=seen)
+        _save_state(new_state, state_table, folder)
+        target, state = current(spark, target_table), _state_of(spark, state_table, spec)
         counts = result.stats.first()
         batch, _ = prepare_batch(raw, spec, watermark, run_ts)
         return LoadResult(
@@ -485,6 +521,6 @@ def execute_load(
         failed = _one_key(spark, spec).withColumns(
             {"status": F.lit("failed"), "error_message": F.lit(str(error))}
         )
-        after = watermark_set_status(current(spark, state_table), failed, run_ts)
-        publish(after, state_table, f"{folder}/{state_table}")
+        after = watermark_set_status(_state_of(spark, state_table, spec), failed, run_ts)
+        _save_state(staged(after, "state"), state_table, folder)
         raise

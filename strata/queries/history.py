@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.time import clock
 from strata.operators import history as H
-from strata.queries.base import AS_OF, query, table
+from strata.plans.snapshots import extend_history
+from strata.queries.base import AS_OF, ORACLES, query, table
 from strata.queries.inputs import CUSTOMERS, ORDER_HISTORY, customer_v1, customer_v2, order_log
-from strata.session import staged
+from strata.session import staged, work_dir
 
 _ROWS = "c_custkey, c_name, c_mktsegment, c_acctbal, updated_at, valid_from, valid_to"
 
@@ -34,6 +35,13 @@ def snapshot_timestamp(spark, d):
     return H.snapshot_timestamp(first, customer_v2(spark, d), "c_custkey", "updated_at", AS_OF)
 
 
+@query("snapshot_append", ORACLES["snapshot_timestamp"])
+def snapshot_append(spark, d):
+    folder = work_dir(spark, "history")
+    extend_history(spark, folder, customer_v1(spark, d), "c_custkey", "2024-01-11 00:00:00", updated_at="updated_at")
+    return extend_history(spark, folder, customer_v2(spark, d), "c_custkey", AS_OF, updated_at="updated_at")
+
+
 _CHECKED = "v1.c_mktsegment IS DISTINCT FROM v2.c_mktsegment"
 
 

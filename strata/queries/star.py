@@ -6,10 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from strata.operators.merge import merge_upsert
 from strata.plans import star as S
 from strata.plans.calendar import date_spine, dim_date
 from strata.queries.base import AS_OF, query, table
-from strata.queries.inputs import dim_customer, dim_nation, stg_orders
+from strata.queries.inputs import NEW_KEY, dim_customer, dim_nation, stg_orders
+from strata.session import work_dir
 
 
 def _span(spark, d):
@@ -176,3 +178,28 @@ def report_build(spark, d):
     }
     amount = {"total_amount": F.sum("order_amount").cast("double")}
     return S.report_build(_wide(spark, d), ["year_month", "nation_name"], amount, contract)
+
+
+@query(
+    "report_incremental",
+    """WITH late AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN ts - INTERVAL 2 DAY ELSE ts END AS ts, user_id, event_type, value + 1 AS value
+        FROM events WHERE ts >= TIMESTAMP '2024-01-25 00:00:00'),
+      merged AS (SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts < TIMESTAMP '2024-01-25 00:00:00'
+        UNION ALL SELECT * FROM late UNION ALL SELECT event_id + 1000000000, ts, user_id + 1, event_type, value FROM late WHERE event_id % 5 = 0)
+    SELECT CAST(ts AS DATE) AS date_day, event_type, count(*) AS total_records, count(DISTINCT user_id) AS users, round(sum(value), 6) AS amount,
+      min(CAST(ts AS DATE)) AS period_start, max(CAST(ts AS DATE)) AS period_end FROM merged GROUP BY 1, 2""",
+)
+def report_incremental(spark, d):
+    """A report kept up after late updates that change, add and move rows between days, from those days alone."""
+    by, metrics = ["date_day", "event_type"], {"users": F.count_distinct("user_id"), "amount": F.sum("value")}
+    day, i = F.col("ts").cast("date"), F.col("event_id")
+    rows = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    moved = F.when(i % 3 == 0, F.col("ts") - F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts"))
+    late = rows.filter(F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")).withColumns({"ts": moved, "value": F.col("value") + 1})
+    added = late.filter(i % 5 == 0).withColumns({"event_id": i + NEW_KEY, "user_id": F.col("user_id") + 1})
+    before, batch = rows.withColumn("date_day", day), late.unionByName(added).withColumn("date_day", day)
+    path = work_dir(spark, "wide")
+    merge_upsert(before, batch, "event_id", "ts").write.partitionBy("date_day").parquet(path)
+    periods = S.touched_periods(before, batch, "event_id", "date_day")
+    out = S.report_incremental(S.report_rollup(before, by, metrics), spark.read.parquet(path), periods, by, metrics, "date_day")
+    return out.withColumn("amount", F.round("amount", 6))

@@ -54,7 +54,8 @@ def stream_insert_new_(spark, d):
     rows = restage(table(spark, d, "events")).select("event_id", "ts")
     late = F.pmod(F.xxhash64("event_id"), F.lit(3))
     for part in (2, 1, 0):
-        rows.filter(late == part).select("event_id", "ts").coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = spark.readStream.schema("event_id bigint, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    stream_insert_new(stream, f"{folder}/out", "event_id", f"{folder}/checkpoint", "ts").awaitTermination()
+        # Each run of the stream takes what was added since the one before.
+        rows.filter(late == part).select("event_id", "ts").write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema("event_id bigint, ts timestamp_ntz").parquet(f"{folder}/in")
+        stream_insert_new(stream, f"{folder}/out", "event_id", f"{folder}/checkpoint", "ts").awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("event_id", "ts")

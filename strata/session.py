@@ -27,11 +27,16 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where that is unset, one beside the tables of the warehouse.
 
-    Both are reached by every executor. The caller's session is not changed.
+    Both are reached by every executor. A warehouse in the driver's own file system is not, so on a cluster
+    ``spark.checkpoint.dir`` must be set then. The caller's session is not changed.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        own = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+        if own and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{base} is on the driver's machine alone: set spark.checkpoint.dir to a folder that all executors share")
     return base.rstrip("/")
 
 
@@ -46,6 +51,20 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if it isn't there."""
+    if not path_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

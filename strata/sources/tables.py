@@ -106,15 +106,21 @@ def materialize(
     """Publish a model as a view, a table, an incremental table or a snapshot, and return the published relation.
 
     An incremental model is upserted by ``unique_key``, the newest ``updated_at`` winning; a snapshot keeps the
-    history of its rows by ``updated_at`` as of ``run_ts``. Both are published as new versions below ``folder``.
+    history of its rows by ``updated_at`` as of ``run_ts``. Both, and a table for which a ``folder`` is given, are published as new
+    versions below it, so a model may read its own table and a failed write leaves the old one. A table without a folder is
+    overwritten in place, and may be partitioned.
     """
     spark = df.sparkSession
-    if kind in ("incremental", "snapshot"):
+    if kind == "table" and folder and partition_by:
+        raise ValueError("a table is either published in versions or partitioned")
+    if kind in ("incremental", "snapshot") or kind == "table" and folder:
         # The load loop builds on the sources of this package.
         from strata.plans.load import current, publish
 
         old = current(spark, name) if spark.catalog.tableExists(name) else None
-        if kind == "snapshot":
+        if kind == "table":
+            new = df
+        elif kind == "snapshot":
             new = snapshot_timestamp(old, df, list(unique_key), updated_at, run_ts)
         else:
             new = df if old is None else merge_upsert(old, df, list(unique_key), updated_at)
