@@ -16,13 +16,15 @@ from pyspark.sql import types as T
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from strata.llm.common import Remembered, col, content, fresh, without
+from strata.llm.common import col, content, fresh, without
 from strata.session import kept
 
 ALIGNED = ("n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times")
 COUNTED = ("n_best", "count_sum")
-# Stretches of at most so many characters are remembered, in so much memory; bytes of results that leave a worker at once.
-KNOWN_CHARS, CACHE_BYTES, SLICE_BYTES = 64, 64 << 20, 1 << 20
+# Stretches of at most so many characters are remembered, in so much memory; characters of short texts that are aligned at once.
+KNOWN_CHARS, CACHE_BYTES, CHUNK = 64, 256 << 20, 1 << 18
+# What a remembered stretch takes besides its texts and codes.
+ENTRY_BYTES = 400
 
 _SPACE = "▁"
 # White space and what follows it, up to a space that comes after something else: no token of either kind crosses such a space.
@@ -58,62 +60,76 @@ class Pair:
         # Stretches are independent if no piece goes on after a space that follows something else.
         self.by_stretch = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces)
         self.codes = suffix_pairs(self.a_bytes, self.b_bytes)
-        self.known = Remembered(CACHE_BYTES)
-
-    def align(self, text: str) -> list[tuple]:
-        """The stretches of a space and the text, each as (tokens of A, of B, groups as text, codes of the links); empty if bytes differ."""
-        stretches = _stretches(" " + text) if self.by_stretch else [" " + text]
-        out = list(map(self.known.get, stretches))
-        new = dict.fromkeys(s for s, r in zip(stretches, out) if r is None)
-        if new:
-            found = {s: self.known.found(s) for s in new}
-            # What ends in white space would meet the next one's space, so it goes alone.
-            alone = [s for s, r in found.items() if r is None and (s[-1].isspace() or _SPACE in s or not self.by_stretch)]
-            joined = [s for s, r in found.items() if r is None and s not in alone]
-            fresh_ones = dict(zip(joined, self._cut(joined))) | {s: self._cut([s])[0] for s in alone}
-            for s, r in fresh_ones.items():
-                if len(s) <= KNOWN_CHARS:
-                    self.known.put(s, r, 200 + len(r[2]) + len(r[3]))
-            found |= fresh_ones
-            out = [found[s] if r is None else r for s, r in zip(stretches, out)]
-        return [] if any(not r[0] for r in out) else out
-
-    def _cut(self, stretches: list[str]) -> list[tuple]:
-        """Stretches that stand in a row, encoded together and cut where tokens of both kinds end."""
+        self.names = [list(map(str, range(len(side)))) for side in (self.a_bytes, self.b_bytes)]
+        # What is remembered of stretches; when the newer half is full, the older one is dropped.
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
+        self.used = 0
+
+    def align_all(self, texts: list[str]) -> list[list[tuple]]:
+        """For each text, the stretches of a space and the text as (tokens of A, of B, groups as text, codes of the links); none if bytes differ."""
+        lists = [(_stretches(" " + t) if self.by_stretch else [" " + t]) if t else [] for t in texts]
+        known, older = self.known, self.older
+        new = set().union(*lists) - known.keys()
+        again = [s for s in new if s in older]
+        known.update((s, older[s]) for s in again)
+        self.used += sum(map(self._size, again))
+        new.difference_update(again)
+        # What ends in white space would meet the next one's space, and U+2581 the space before it, so they go alone.
+        alone = {s for s in new if s[-1].isspace() or _SPACE in s} if self.by_stretch else new
+        joined = list(new - alone)
+        known.update(zip(joined, self._cut(joined)))
+        known.update((s, self._cut([s])[0]) for s in alone)
+        out = [list(map(known.__getitem__, parts)) for parts in lists]
+        for s in new:
+            if len(s) > KNOWN_CHARS:
+                del known[s]
+            else:
+                self.used += self._size(s)
+        if self.used > CACHE_BYTES // 2:
+            self.older, self.known, self.used = known, {}, 0
+        return [[] if None in parts else parts for parts in out]
+
+    def _size(self, stretch: str) -> int:
+        done = self.known[stretch]
+        return ENTRY_BYTES + len(stretch) + (len(done[2]) + len(done[3]) if done else 0)
+
+    def _cut(self, stretches: list[str]) -> list[tuple | None]:
+        """Stretches that stand in a row, encoded together and cut where tokens of both kinds end; None where the bytes differ."""
         if not stretches:
             return []
         text = "".join(stretches)
         raw = text.encode()
         a = self.a.encode(text, add_special_tokens=False)
-        a_ids = np.array(a.ids, dtype=np.int64)
         # B puts a space before what it is given.
-        b = self.b.encode(text[1:], return_type="proto").pieces
-        b_ids = np.fromiter((p.id for p in b), dtype=np.int64, count=len(b))
-        ends = np.cumsum([len(s.encode()) for s in stretches])
-        nothing = [(0, 0, "", b"")] * len(stretches)
-        if b"".join([self.a_bytes[i] for i in a_ids]) != raw or b"".join([self.b_bytes[i] for i in b_ids]) != raw:
-            return nothing if len(stretches) == 1 else [self._cut([s])[0] for s in stretches]
+        b = np.array([(p.id, p.begin, p.end) for p in self.b.encode(text[1:], return_type="proto").pieces], dtype=np.int64).reshape(-1, 3)
+        a_list, b_list = a.ids, b[:, 0].tolist()
+        if b"".join(map(self.a_bytes.__getitem__, a_list)) != raw or b"".join(map(self.b_bytes.__getitem__, b_list)) != raw:
+            return [None] if len(stretches) == 1 else [self._cut([s])[0] for s in stretches]
+        a_ids, b_ids = np.array(a_list, dtype=np.int64), b[:, 0]
         # Coarse cuts: ends of spans. A's spans are of characters, B's of the bytes after the space.
         spans = np.array(a.offsets, dtype=np.int64).reshape(-1, 2)
         a_coarse = np.concatenate(([0], np.cumsum(utf8_sizes(text))))[spans[:, 1]]
         a_holds = np.append(spans[1:, 0] >= spans[:-1, 1], True)
-        b_spans = np.array([(p.begin, p.end) for p in b], dtype=np.int64).reshape(-1, 2)
-        b_holds = b_spans[:, 0] < b_spans[:, 1]
         a_ends = refined(a_coarse, a_holds, self.a_sizes[a_ids])
-        b_ends = refined(b_spans[:, 1] + 1, b_holds, self.b_sizes[b_ids])
+        b_ends = refined(b[:, 2] + 1, b[:, 1] < b[:, 2], self.b_sizes[b_ids])
         shared, at_a, at_b = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-        if not np.isin(ends, shared, assume_unique=True).all():
+        ends = np.cumsum([len(s.encode()) for s in stretches])
+        lasts = np.searchsorted(shared, ends)
+        if not np.array_equal(shared[np.minimum(lasts, len(shared) - 1)], ends):
             return [self._cut([s])[0] for s in stretches]
-        codes = self.codes.find(a_ids[at_a], b_ids[at_b])
-        out, la, lb, lg = [], 0, 0, 0
-        at_a, at_b, texts_a, texts_b = (at_a + 1).tolist(), (at_b + 1).tolist(), list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-        for last in (np.searchsorted(shared, ends) + 1).tolist():
-            groups, first_a, first_b = [], la, lb
-            for k in range(lg, last):
-                groups.append(f"{','.join(texts_a[la : at_a[k]])}|{','.join(texts_b[lb : at_b[k]])}")
-                la, lb = at_a[k], at_b[k]
-            out.append((la - first_a, lb - first_b, ";".join(groups), codes[lg:last].tobytes()))
-            lg = last
+        codes = self.codes.find(a_ids[at_a], b_ids[at_b]).tobytes()
+        a_names, b_names = list(map(self.names[0].__getitem__, a_list)), list(map(self.names[1].__getitem__, b_list))
+        to_a, to_b = (at_a + 1).tolist(), (at_b + 1).tolist()
+        groups = [
+            f"{a_names[i]}|{b_names[j]}" if x - i == 1 == y - j else f"{','.join(a_names[i:x])}|{','.join(b_names[j:y])}"
+            for i, x, j, y in zip([0, *to_a], to_a, [0, *to_b], to_b)
+        ]
+        out, first, la, lb = [], 0, 0, 0
+        for last in (lasts + 1).tolist():
+            x, y = to_a[last - 1], to_b[last - 1]
+            out.append((x - la, y - lb, ";".join(groups[first:last]), codes[4 * first : 4 * last]))
+            first, la, lb = last, x, y
         return out
 
 
@@ -162,6 +178,14 @@ def suffix_pairs(a: Sequence[bytes], b: Sequence[bytes]) -> SuffixPairs:
     return SuffixPairs(np.array(sorted(keys), dtype=np.int64))
 
 
+def _row(parts: list[tuple]) -> tuple:
+    """What stretches in a row come to."""
+    n_a, n_b, groups, codes = zip(*parts) if parts else ((), (), (), ())
+    codes = np.frombuffer(b"".join(codes), dtype="<i4")
+    pairs, times = np.unique(codes, return_counts=True)
+    return sum(n_a), sum(n_b), len(codes), ";".join(groups), pairs, times.astype("<i4")
+
+
 _pairs: dict[bytes, Pair] = {}
 
 
@@ -208,16 +232,12 @@ def align_tokens(docs: DataFrame, vocabularies: Vocabularies, text: str = "text"
             texts = batch.column(batch.num_columns - 1)
             done = 0
             while done < len(texts):
-                start, size, rows = done, 0, []
-                while done < len(texts) and size < SLICE_BYTES:
-                    text = texts[done].as_py()
-                    parts = pair.align(text) if text else []
-                    groups = ";".join([p[2] for p in parts])
-                    codes = np.frombuffer(b"".join([p[3] for p in parts]), dtype="<i4")
-                    pairs, times = np.unique(codes, return_counts=True)
-                    rows.append((sum(p[0] for p in parts), sum(p[1] for p in parts), len(codes), groups, pairs, times.astype("<i4")))
-                    size += len(groups) + 8 * len(pairs)
+                start, size, run = done, 0, []
+                while done < len(texts) and (not run or size < CHUNK):
+                    run.append(texts[done].as_py())
+                    size += len(run[-1])
                     done += 1
+                rows = [_row(parts) for parts in pair.align_all(run)]
                 n_a, n_b, n, groups, pairs, times = zip(*rows)
                 offsets = pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32())
                 columns = [c.slice(start, done - start) for c in batch.columns[:-1]]

@@ -48,32 +48,3 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     if not gone & {c.lower() for c in df.columns}:
         return df
     return df.select(*[col(c) for c in df.columns if c.lower() not in gone])
-
-
-class Remembered(dict):
-    """Results by key within a budget of bytes: the newer half is this dictionary, the older one is dropped when this one is full."""
-
-    # What an entry of a dictionary takes besides the characters of its key and the bytes of its value.
-    ENTRY = 190
-
-    def __init__(self, budget: int):
-        super().__init__()
-        self.older: dict = {}
-        self.half, self.used = budget // 2, 0
-
-    def found(self, key):
-        """The value, moved to the newer half; None if it isn't there."""
-        value = self.get(key)
-        if value is None:
-            value = self.older.get(key)
-            if value is not None:
-                self.put(key, value, 0)
-        return value
-
-    def put(self, key, value, size: int) -> None:
-        self.used += self.ENTRY + len(key) + size
-        if self.used > self.half:
-            self.older = self.copy()
-            self.clear()
-            self.used = self.ENTRY + len(key) + size
-        self[key] = value

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,14 +16,15 @@ from strata.session import Workspace, kept
 OUT = ("n_shingles", "component_id", "kept")
 LAST_ID = 2**63 - 1
 # Texts and bytes of one side of a tile.
-TILE_TEXTS, TILE_BYTES = 500, 1 << 20
-# Bytes of text that are sketched at once.
+TILE_TEXTS, TILE_BYTES = 500, 8 << 20
+# Bytes of text that are hashed at once; that takes about 50 times as much memory.
 PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 _GOLDEN, _M1, _M2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_blank = re.compile(rb"[\x20\x09-\x0D]").search
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # Powers of an odd number, for hashes of words by the place of their bytes.
@@ -36,13 +38,13 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_sets(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[str] | list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the distinct shingles of many texts, and where each text's begin.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A text with fewer words than ``length`` has
     its whole sequence as one shingle, and none without words. The hashes of a text are sorted.
     """
-    raw = [t.encode() for t in texts]
+    raw = [t if isinstance(t, bytes) else t.encode() for t in texts]
     sizes = np.array([len(r) + 1 for r in raw], dtype=np.int64)
     data = _LOWER[np.frombuffer(b" ".join(raw) + b" ", dtype=np.uint8)] if raw else np.zeros(0, np.uint8)
     inside = ~_BLANK[data]
@@ -78,6 +80,39 @@ def shingle_sets(texts: list[str], length: int) -> tuple[np.ndarray, np.ndarray]
     return h, np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=len(texts)))))
 
 
+def windows(raw: bytes, length: int, most: int) -> Iterator[bytes]:
+    """A long text in parts of about ``most`` bytes, cut between words, each beginning with the last ``length - 1`` words of the one before.
+
+    Every run of ``length`` words lies in one part. A part has at least ``length`` words, unless the text has not.
+    """
+    start, end = 0, 0
+    while end < len(raw):
+        blank = _blank(raw, min(len(raw), max(end + 1, start + most)))
+        end = blank.start() if blank else len(raw)
+        words = raw[start:end].rsplit(None, length - 1) if length > 1 else [raw[start:end]]
+        if end == len(raw):
+            if start == 0 or len(raw[start:end].split(None, length)) >= length:
+                yield raw[start:end]
+        elif len(words) == length and words[0].strip():
+            yield raw[start:end]
+            start = start + len(words[0]) if length > 1 else end
+
+
+def sets_of(texts: list[str], length: int, most: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_sets` in bounded memory: short texts in runs, long ones part by part."""
+    hashes, sizes = [], []
+    for run in _pieces(texts, most):
+        if len(run) == 1 and len(run[0]) > most:
+            parts = [shingle_sets([w], length)[0] for w in windows(run[0].encode(), length, most)]
+            hashes.append(np.unique(np.concatenate(parts)))
+            sizes.append(len(hashes[-1]))
+        else:
+            h, begin = shingle_sets(run, length)
+            hashes.append(h)
+            sizes += np.diff(begin).tolist()
+    return np.concatenate([np.zeros(0, _U), *hashes]), np.cumsum([0, *sizes])
+
+
 def fast_sketches(hashes: np.ndarray, begin: np.ndarray, t: int) -> np.ndarray:
     """Sketches of ``t`` coordinates; two sets agree in each with the probability of their similarity.
 
@@ -118,7 +153,7 @@ def band_keys(sketches: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h
 
 
-def _pieces(series: pd.Series, most: int = PIECE_BYTES) -> Iterator[list[str]]:
+def _pieces(series: Iterable[str], most: int = PIECE_BYTES) -> Iterator[list[str]]:
     """The texts of a batch in runs of bounded length, at least one text each."""
     run, size = [], 0
     for t in series:
@@ -138,7 +173,7 @@ def sketch_udf(length: int, bands: int, rows: int):
     def sketch(texts: pd.Series) -> pd.DataFrame:
         out: dict[str, list] = {"n": [], "s1": [], "s2": [], "bands": []}
         for run in _pieces(texts):
-            h, begin = shingle_sets(run, length)
+            h, begin = sets_of(run, length)
             keys = band_keys(fast_sketches(h, begin, bands * rows), bands, rows).view(np.int64)
             sums = [np.concatenate((np.zeros(1, _U), np.cumsum(mixed(h ^ m)))) for m in (_M1, _M2)]
             out["n"] += np.diff(begin).tolist()
@@ -157,7 +192,7 @@ def alike_udf(length: int, percent: int):
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(a, b):
-            h, begin = shingle_sets([x, y], length)
+            h, begin = sets_of([x, y], length)
             n, m = np.diff(begin)
             common = n + m - len(np.unique(h))
             out.append(bool(100 * common >= percent * (n + m - common)))
@@ -171,7 +206,7 @@ def tile_links(length: int, percent: int):
 
     def run(tile: pd.DataFrame) -> pd.DataFrame:
         left, right = tile[tile["left"]].drop_duplicates("node"), tile[~tile["left"]].drop_duplicates("node")
-        h, begin = shingle_sets(right["text"].tolist(), length)
+        h, begin = sets_of(right["text"].tolist(), length)
         n_right, comp_right = np.diff(begin), right["comp"].to_numpy()
         owner = np.repeat(np.arange(len(right)), n_right)
         order = np.argsort(h, kind="stable")
@@ -183,7 +218,7 @@ def tile_links(length: int, percent: int):
                 x = joined[x]
             return x
 
-        g, at = shingle_sets(left["text"].tolist(), length)
+        g, at = sets_of(left["text"].tolist(), length)
         for i, comp in enumerate(left["comp"].tolist()):
             own = g[at[i] : at[i + 1]]
             lo, hi = np.searchsorted(h, own), np.searchsorted(h, own, side="right")

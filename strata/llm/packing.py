@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping, Sequence
@@ -15,54 +16,117 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from strata.llm.common import Remembered, col, content, fresh, without
+from strata.llm.common import col, content, fresh, without
 from strata.session import kept
 
 PIECE = ("piece", "start", "length", "ids")
 OUT = ("sequence_id", "offset")
-# Words that a worker remembers, characters of a text that are split at once, and bytes of ids that leave at once.
-CACHE_BYTES, CHUNK, SLICE_BYTES = 64 << 20, 1 << 18, 1 << 20
+# Memory of the words that a worker remembers, characters that are encoded at once, and bytes of ids that leave at once.
+CACHE_BYTES, CHUNK, SLICE_BYTES = 128 << 20, 1 << 18, 1 << 20
+# What a remembered word takes besides its ids.
+ENTRY_BYTES = 200
 # Pieces of one length are numbered in cells of about so many.
 CELL = 300
 
 _blank = re.compile(r"[ \t\n\r]").search
+# Latin letters and digits, composed, whose small forms are one letter and the same whatever stands around them.
+_LATIN = "0-9A-Za-zªµºÀ-ÖØ-öø-įıĲ-ɏ"
+_beyond_latin = re.compile("[^\x00-įıĲ-ɏ]").search
+_mark_run = re.compile(rf"[.,](?<=[^ {_LATIN}][.,]) ").search
+_mark = re.compile(rf"(?<=[{_LATIN}])(?=[.,] )")
+
+
+def _latin_1(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def plain_words_only(config: dict) -> Tokenizer | None:
+    """The tokenizer of a file, for words of small composed letters alone: without what such words pass unchanged.
+
+    None if the file does anything else to them than compose, squeeze blanks and lower, and take runs of letters as bytes.
+    """
+    kinds = [n.get("type") for n in (config.get("normalizer") or {}).get("normalizers", [])]
+    before = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    runs = len(before) == 2 and before[0]["type"] == "Split" and r"|[\p{L}]+|" in before[0]["pattern"].get("Regex", "")
+    if kinds != ["NFC", "Replace", "Lowercase"] or not runs or before[1]["type"] != "ByteLevel" or not config["model"].get("end_of_word_suffix"):
+        return None
+    splits = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, before[1]]}
+    return Tokenizer.from_str(json.dumps(config | {"normalizer": None, "pre_tokenizer": splits, "added_tokens": []}))
 
 
 class WordIds:
-    """Ids of texts by a vocabulary that drops white space; words are encoded once and remembered.
+    """Ids of texts by a vocabulary that drops white space and case; words are encoded once and remembered.
 
-    White space ends every token of such a vocabulary, so the ids of a text are those of its words in a row. Words new to
-    the worker are encoded together, and the tokens' character offsets say whose they are.
+    White space ends every token of such a vocabulary, and so does a full stop or comma after a Latin letter or digit, so the ids of a text are
+    those of its words in a row. Words new to the worker are encoded together, and the tokens' character offsets
+    say whose they are. The newer half of what is remembered is ``known``; when it is full, the older half is dropped.
     """
 
     def __init__(self, data: bytes):
         self.tokenizer = Tokenizer.from_str(data.decode())
-        self.known = Remembered(CACHE_BYTES)
-        self.known.put("", b"", 0)
-
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
-        encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoded.ids, dtype="<u4")
-        cuts = np.searchsorted(np.array([a for a, _ in encoded.offsets], dtype=np.int64), starts).tolist()
-        return {w: ids[a:b].tobytes() for w, a, b in zip(words, cuts, cuts[1:])}
+        config = json.loads(data)
+        self.plain = plain_words_only(config)
+        suffix = config["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.used = 0
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text, written alike where the vocabulary takes them to be."""
+        text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        if "<" not in text or not any(t in text or t.lower() in text.lower() for t in self.special):
+            if _latin_1(text) or not _beyond_latin(text):
+                text = text.lower()
+            text = _mark.sub(" ", text) if _mark_run(text) else text.replace(". ", " . ").replace(", ", " , ")
+        return text.split(" ")
+
+    def learn(self, words: list[str]) -> None:
+        """Remember the ids of new words. Words of small letters are one run each, which ends with a token that ends a word."""
+        easy = [w for w in words if w.isalpha() and w == w.lower() and _latin_1(w)] if self.plain else []
+        if easy:
+            ids = np.array(self.plain.encode_batch_fast([" ".join(easy)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(easy):
+                self._remember(easy, ids, np.concatenate(([0], cuts)))
+                words = set(words).difference(easy)
+        if words:
+            words = list(words)
+            starts = np.cumsum([0, *[len(w) + 1 for w in words]])
+            encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+            firsts = np.array([a for a, _ in encoded.offsets], dtype=np.int64)
+            self._remember(words, np.array(encoded.ids, dtype="<u4"), np.searchsorted(firsts, starts))
+
+    def _remember(self, words: list[str], ids: np.ndarray, cuts: np.ndarray) -> None:
+        packed, at = ids.tobytes(), (4 * cuts).tolist()
+        self.known.update((w, packed[a:b]) for w, a, b in zip(words, at, at[1:]))
+        self.used += ENTRY_BYTES * len(words) + len(packed)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, without special tokens around the texts."""
+        lists = [self.words(t) for t in texts]
+        known, older = self.known, self.older
+        new = set().union(*lists) - known.keys()
+        again = [w for w in new if w in older]
+        for w in again:
+            known[w] = older[w]
+        self.used += ENTRY_BYTES * len(again)
+        if len(again) < len(new):
+            self.learn(sorted(new.difference(again)))
+        out = [b"".join(map(known.__getitem__, words)) for words in lists]
+        if self.used > CACHE_BYTES // 2:
+            self.older, self.known, self.used = known, {"": b""}, 0
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers, without special tokens around the text."""
-        return b"".join(self._chunk(part) for part in chunks(text))
-
-    def _chunk(self, text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        out = list(map(self.known.get, words))
-        new = dict.fromkeys(w for w, ids in zip(words, out) if ids is None)
-        if new:
-            found = {w: self.known.found(w) for w in new}
-            fresh_words = self.learn([w for w, ids in found.items() if ids is None])
-            for w, ids in fresh_words.items():
-                self.known.put(w, ids, len(ids))
-            found |= fresh_words
-            out = [found[w] if ids is None else ids for w, ids in zip(words, out)]
-        return b"".join(out)
+        return b"".join(self.encode_all([part])[0] for part in chunks(text))
 
 
 def chunks(text: str) -> Iterator[str]:
@@ -75,6 +139,25 @@ def chunks(text: str) -> Iterator[str]:
         at = end
 
 
+def _encoded(encoder: WordIds, texts: pa.Array) -> Iterator[tuple[int, bytes]]:
+    """The ids of each text of a column; short texts are encoded together, long ones part by part."""
+    run, size, first = [], 0, 0
+    for i in range(len(texts)):
+        text = texts[i].as_py()
+        if run and size + len(text) > CHUNK:
+            yield from enumerate(encoder.encode_all(run), first)
+            run, size = [], 0
+        if len(text) > CHUNK:
+            yield i, encoder.encode(text)
+            continue
+        if not run:
+            first = i
+        run.append(text)
+        size += len(text)
+    if run:
+        yield from enumerate(encoder.encode_all(run), first)
+
+
 _encoders: dict[bytes, WordIds] = {}
 
 
@@ -112,10 +195,9 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
             rows, pieces, ids, size = [], [], [], 0
-            for i in range(len(texts)):
-                packed = encoder.encode(texts[i].as_py()) + last
+            for i, packed in _encoded(encoder, batch.column(batch.num_columns - 1)):
+                packed += last
                 for k, at in enumerate(range(0, len(packed), step)):
                     rows.append(i)
                     pieces.append(k)

@@ -19,6 +19,8 @@ from strata.session import Workspace, kept
 STEP = 16
 # Bytes of paths that a shard should hold, sampled conversations per shard, and the most shards and nodes of the splitters' trie.
 SHARD_BYTES, SAMPLED, MOST_SHARDS, SKELETON_NODES = 1 << 20, 40, 1 << 15, 1 << 18
+# Conversations of a shard, at least, where a table is small.
+LEAST_CONVERSATIONS = 32
 # Rows of an outgoing batch, and characters of joined ids in one row.
 BATCH, RUN_CHARS = 2000, 1 << 16
 
@@ -233,7 +235,9 @@ def prefix_trie(paths: DataFrame, shard_bytes: int = SHARD_BYTES, most: int = SK
     spark = paths.sparkSession
     paths = kept(paths.select("conv_id", "path", "chars"))
     size = paths.agg(F.sum(F.octet_length("path") + 4 * F.size("chars") + 16)).first()[0] or 0
-    shards = min(MOST_SHARDS, max(spark.sparkContext.defaultParallelism, size // shard_bytes + 1))
+    # Small tables are dealt out too, to as many shards as a shuffle has partitions, of some conversations each.
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), paths.count() // LEAST_CONVERSATIONS)
+    shards = min(MOST_SHARDS, max(1, least, size // shard_bytes + 1))
     splitters = Splitters(cut_points(paths, shards), most)
     shared = spark.sparkContext.broadcast((splitters.cuts, splitters.nodes))
 

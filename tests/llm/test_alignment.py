@@ -122,7 +122,7 @@ def test_pairs_are_bounded_by_the_vocabularies():
     whole = Pair(*(open(p, "rb").read() for p in (A, B)))
     whole.by_stretch = False
     text = "The quick brown fox.\n\n  Jumps é漢 over " * 20
-    parts, one = pair.align(text), whole.align(text)
+    (parts,), (one,) = pair.align_all([text]), whole.align_all([text])
     assert len(one) == 1 and ";".join(p[2] for p in parts) == one[0][2] and b"".join(p[3] for p in parts) == one[0][3]
 
 

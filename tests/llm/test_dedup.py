@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.exact import exact_dedup
 from strata.llm.lines import line_dedup
-from strata.llm.minhash import near_dedup, shingle_sets
+from strata.llm.minhash import near_dedup, sets_of, shingle_sets
 
 
 def sets(texts, length):
@@ -172,3 +172,15 @@ def test_near_dedup_of_repeated_and_missing_ids(spark):
         assert len(got) == len(rows)
         assert all(by[x] == (5, x[0] == 5) for x in rows[:5]) and by[7, c] == (7, True) and by[None, near(c)] == (7, False)
         assert sum(r.kept for r in got if r.text in (d, near(d))) == 1 and by[None, e] == by[None, ""] == by[None, None] == (None, True)
+
+
+def test_sets_of_long_texts():
+    """Window by window the sets are those of the whole text."""
+    rng = random.Random(21)
+    for case in range(400):
+        words = ["".join(rng.choice("ab") for _ in range(rng.choice([1, 2, 3, 40]))) for _ in range(rng.randrange(60))]
+        texts = [rng.choice(["", " ", "\n\t"]) + "".join(w + rng.choice([" ", "\n", "  ", "\x0b "]) for w in words), "a b c d e", "", "é " * 30, " "]
+        length, most = rng.randrange(1, 7), rng.choice([5, 20, 64])
+        (h, at), (g, end) = sets_of(texts, length, most), shingle_sets(texts, length)
+        assert at.tolist() == end.tolist()
+        assert all(sorted(h[a:b]) == sorted(g[a:b]) for a, b in zip(at, at[1:]))
