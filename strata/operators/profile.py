@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.time import clock, hours_between
-from strata.operators.aggregates import null_profile, value_counts
+from strata.operators.aggregates import TOP_VALUES, is_empty
 from strata.operators.align import find_column
 from strata.operators.keysets import smallest_keys
 from strata.specs import key_list
@@ -66,39 +67,71 @@ def run_metadata(
     return df.agg(*[c.alias(name) for name, c in columns.items()])
 
 
-def _null_count(df: DataFrame, column: str) -> DataFrame:
-    counts = null_profile(df, [column])
-    return counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit(f"{column}_null").alias("metadata_key"), F.col("null_count").cast("string").alias("metadata_value")),
-                F.struct(F.lit(f"{column}_present").alias("metadata_key"), F.col("present_count").cast("string").alias("metadata_value")),
-            )
-        )
-    )
+@dataclass(frozen=True)
+class Counted:
+    """An analyzer that counts the rows of a table by a label; all of a profile's share one scan and one grouping."""
+
+    label: Callable[[DataFrame, str], Column]
+    listed: bool  # whether labels are listed with their counts, or are NULL_LABEL and PRESENT_LABEL
+    key: str | None = None  # what the list is called, the column's distribution unless given
+
+
+NULL_LABEL, PRESENT_LABEL = "null", "present"
 
 
-def _distribution(df: DataFrame, column: str, key: str) -> DataFrame:
-    top = value_counts(df, column)
-    # At most 20 rows are left here, so one list of them is small.
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("n_rows")).alias("o"), "value", "n_rows")))
-    text = F.array_join(F.transform(ranked, lambda r: F.concat(r["value"], F.lit(": "), r["n_rows"])), ", ")
-    return top.agg(text.alias("metadata_value")).select(F.lit(key).alias("metadata_key"), "metadata_value")
+def _emptiness(df: DataFrame, column: str) -> Column:
+    return F.when(is_empty(df, column), NULL_LABEL).otherwise(PRESENT_LABEL)
 
 
-# Analyzers a profile spec may name; each turns a table and a column into (metadata_key, metadata_value).
-ANALYZERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {
-    "null_count": _null_count,
-    "value_counts": lambda df, c: _distribution(df, c, f"{c}_distribution"),
-    "row_count_by_event_type": lambda df, c: _distribution(df, c, "row_count_by_event_type"),
+def _shown(df: DataFrame, column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit("NULL"))
+
+
+# Analyzers a profile spec may name. Others than these turn a table and a column into (metadata_key, metadata_value).
+ANALYZERS: dict[str, Counted | Callable[[DataFrame, str], DataFrame]] = {
+    "null_count": Counted(_emptiness, False),
+    "value_counts": Counted(_shown, True),
+    "row_count_by_event_type": Counted(_shown, True, "row_count_by_event_type"),
 }
 
 
+def label_counts(df: DataFrame, entries: Sequence[tuple[Counted, str]]) -> DataFrame:
+    """Rows per entry and label (entry, label, n): one scan of the columns, one grouping that combines before rows move."""
+    labels = F.array(*[c.label(df, column) for c, column in entries])
+    return df.select(F.posexplode(labels).alias("entry", "label")).groupBy("entry", "label").agg(F.count("*").alias("n"))
+
+
+def _counted_metadata(df: DataFrame, entries: Sequence[tuple[Counted, str]]) -> DataFrame:
+    spark, counts = df.sparkSession, label_counts(df, entries)
+    # Of each entry the most frequent labels, equal counts in order of label.
+    place = F.row_number().over(Window.partitionBy("entry").orderBy(F.desc("n"), "label"))
+    top = counts.withColumn("place", place).filter(F.col("place") <= TOP_VALUES)
+    ranked = F.transform(F.sort_array(F.collect_list(F.struct("place", "label", "n"))), lambda r: F.concat(r["label"], F.lit(": "), r["n"]))
+
+    def rows_with(label: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("label") == label, F.col("n"))), F.lit(0)).cast("string")
+
+    found = top.groupBy("entry").agg(
+        F.array_join(ranked, ", ").alias("list"), rows_with(NULL_LABEL).alias("null"), rows_with(PRESENT_LABEL).alias("present")
+    )
+    wanted = []
+    for i, (c, column) in enumerate(entries):
+        if c.listed:
+            wanted.append((i, "list", c.key or f"{column}_distribution", ""))
+        else:
+            wanted += [(i, part, f"{column}_{part}", "0") for part in ("null", "present")]
+    names = spark.createDataFrame(wanted, "entry int, part string, metadata_key string, none string")
+    values = found.unpivot("entry", ["list", "null", "present"], "part", "value")
+    return F.broadcast(names).join(values, ["entry", "part"], "left").select("metadata_key", F.coalesce("value", "none").alias("metadata_value"))
+
+
 def custom_metadata(df: DataFrame, profile: Sequence[Mapping[str, str]]) -> DataFrame:
-    """Declared profile of a table in long form."""
-    parts = [ANALYZERS[p["type"]](df, p.get("column", "event_type")) for p in profile]
-    if not parts:
+    """Declared profile of a table in long form; all built-in entries take one scan together."""
+    chosen = [(ANALYZERS[p["type"]], p.get("column", "event_type")) for p in profile]
+    if not chosen:
         raise ValueError("an empty profile has no result")
+    counted = [(a, c) for a, c in chosen if isinstance(a, Counted)]
+    parts = ([_counted_metadata(df, counted)] if counted else []) + [a(df, c) for a, c in chosen if not isinstance(a, Counted)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -190,12 +190,18 @@ def load_stats(
 
 
 def table_checks(df: DataFrame, spec: LoadSpec, state: DataFrame, as_of) -> DataFrame:
-    """The five standing checks of a loaded table."""
+    """The five standing checks of a loaded table; those of its rows share one scan, grouped by key."""
     keys = list(spec.primary_key)
-    row_checks = run_checks(
-        df,
-        [zero_rows(f"{spec.name}_zero_rows", spec.skip_zero_rows_check), null_pk(keys, f"{spec.name}_null_pk")],
-    )
+    # Counted by key, the rows, those without a key and the repeated keys all follow.
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    rows, lost, twice = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.when(any_null(keys), F.col("_n"))), F.lit(0)), F.count_if(F.col("_n") > 1)
+    filled = F.lit(True) | (rows > 0) if spec.skip_zero_rows_check else rows > 0
+    checks = [
+        replace(zero_rows(f"{spec.name}_zero_rows"), value=rows, passed=filled),
+        replace(null_pk(keys, f"{spec.name}_null_pk"), value=lost, passed=lost == 0),
+        ColumnCheck(f"{spec.name}_duplicate_pk", "duplicate_pk_groups", twice, twice == 0),
+    ]
+    row_checks = run_checks(per_key, checks)
     own = state.filter(
         (F.col("layer") == spec.layer)
         & (F.col("target_schema") == spec.target_schema)
@@ -205,8 +211,7 @@ def table_checks(df: DataFrame, spec: LoadSpec, state: DataFrame, as_of) -> Data
     key = df.sparkSession.range(1).select(*[F.lit(v).alias(k) for k, v in zip(STATE_KEY, (spec.layer, spec.target_schema, spec.target_table))])
     own = key.join(own, list(STATE_KEY), "left")
     return (
-        row_checks.unionByName(check_duplicates(df, keys, f"{spec.name}_duplicate_pk"))
-        .unionByName(check_freshness(own, as_of, spec.max_age_hours))
+        row_checks.unionByName(check_freshness(own, as_of, spec.max_age_hours))
         .unionByName(check_schema(df, spec.expected_columns, f"{spec.name}_schema"))
     )
 

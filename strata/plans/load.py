@@ -325,6 +325,23 @@ def publish(df: DataFrame, table: str, folder: str, buckets: int = 0, keys: Sequ
     spark.catalog.refreshTable(table)
 
 
+def drop_versions(spark: SparkSession, table: str, folder: str, keep: int = 1) -> list[str]:
+    """Remove the folders of old versions of a table, but for the current one and the newest ``keep`` before it; returns their names.
+
+    A reader of a removed version fails, so keep as many as are published while the longest reader runs.
+    """
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    files = new(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    now = new(table_version(spark, table)).getName()
+    found = [(s.getModificationTime(), s.getPath().getName()) for s in files.listStatus(new(folder)) if s.isDirectory()]
+    # Versions are named by publish; other folders are left alone.
+    old = sorted(f for f in found if f[1] != now and len(f[1]) == 32 and all(c in "0123456789abcdef" for c in f[1]))
+    gone = [name for _, name in old[: max(0, len(old) - keep)]]
+    for name in gone:
+        files.delete(new(f"{folder.rstrip('/')}/{name}"), True)
+    return gone
+
+
 def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]]:
     """Number of buckets and bucket columns of a table; 0 and none if it is not bucketed."""
     rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}

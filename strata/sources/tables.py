@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -59,6 +60,48 @@ def read_incremental(
     return filter_watermark(rows, column, watermark, keep_null=False)
 
 
+# Steps that a column's range is counted in before it is cut.
+STEPS = 1024
+
+
+def range_predicates(column: str, counts: Mapping[int, int], low: float, width: float, parts: int) -> list[str]:
+    """SQL conditions that cut a column into up to ``parts`` ranges of similar numbers of rows, every row in exactly one.
+
+    ``counts`` has the rows of each step of ``width`` from ``low`` on. Neighbouring steps are put together until they hold their
+    share; a step with more rows than that stays alone. The first range is open below and takes NULLs, the last is open
+    above, so rows that come after the count are in a range too.
+    """
+    share, cuts, held = sum(counts.values()) / max(1, parts), [], 0
+    for step in sorted(counts):
+        if held and held + counts[step] / 2 > share and len(cuts) < parts - 1:
+            cuts.append(low + step * width)
+            held = 0
+        held += counts[step]
+    cuts = [int(c) if float(c).is_integer() else c for c in cuts]
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"({column} < {cuts[0]} OR {column} IS NULL)", *middle, f"{column} >= {cuts[-1]}"]
+
+
+def newer_condition(column: str | None, watermark) -> str:
+    """The watermark filter as a condition that databases understand."""
+    if column is None or watermark is None:
+        return "1 = 1"
+    value = str(watermark) if isinstance(watermark, (int, float)) else "'" + str(watermark).replace("'", "''") + "'"
+    return f"{column} > {value}"
+
+
+def bounds_query(table: str, column: str, condition: str) -> str:
+    return f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {table} WHERE {condition}"
+
+
+def steps_query(table: str, column: str, condition: str, low: float, width: float) -> str:
+    """Rows per step of a numeric column; an aggregate, so a row per step is all that leaves the database."""
+    step = f"FLOOR(({column} - {low}) / {width})"
+    return f"SELECT {step} AS step, COUNT(*) AS n FROM {table} WHERE {condition} AND {column} IS NOT NULL GROUP BY {step}"
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -71,26 +114,32 @@ def read_jdbc(
 ) -> DataFrame:
     """Incremental scan of a database table; the watermark filter runs in the database.
 
-    With a numeric, date or timestamp ``partition_column`` the table is read over several
-    connections; the bounds are asked from the database first.
+    With a numeric ``partition_column`` the table is read over several connections. The database is asked for the column's bounds and
+    then for the rows in each of ``STEPS`` steps between them, and the ranges are cut so that they hold similar numbers of
+    rows: ids in one corner of their range do not leave one connection with nearly all of them. Dates and timestamps are cut into
+    equal strides.
     """
     base = {"url": url, **(options or {})}
 
-    def load(**extra) -> DataFrame:
-        return spark.read.format("jdbc").options(**base, dbtable=table, **extra).load()
-
-    split = {}
-    if partition_column:
-        newer = read_incremental(load(pushDownAggregate="true"), column, watermark)
-        low, high = newer.agg(F.min(partition_column), F.max(partition_column)).first()
-        if low is not None:
-            split = {
-                "partitionColumn": partition_column,
-                "lowerBound": str(low),
-                "upperBound": str(high),
-                "numPartitions": str(partitions),
-            }
-    return read_incremental(load(**split), column, watermark)
+    def asked(query: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**base, query=query).load()
+
+    whole = spark.read.format("jdbc").options(**base, dbtable=table)
+    if not partition_column:
+        return read_incremental(whole.load(), column, watermark)
+    condition = newer_condition(column, watermark)
+    low, high = asked(bounds_query(table, partition_column, condition)).first()
+    if low is None:
+        return read_incremental(whole.load(), column, watermark)
+    if isinstance(low, (dt.date, dt.datetime)):
+        ends = {"partitionColumn": partition_column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions)}
+        return read_incremental(whole.options(**ends).load(), column, watermark)
+    low, high = float(low), float(high)
+    width = max((high - low) / STEPS, 1.0 if low.is_integer() and high.is_integer() else 1e-9)
+    counts = {int(r[0]): int(r[1]) for r in asked(steps_query(table, partition_column, condition, low, width)).collect()}
+    ranges = range_predicates(partition_column, counts, low, width, partitions)
+    rows = spark.read.jdbc(url, table, predicates=ranges, properties=dict(options or {}))
+    return read_incremental(rows, column, watermark)
 
 
 def materialize(

@@ -1,5 +1,5 @@
 """The load loop as a stream."""
 
-from strata.streaming.loads import partition_sink, stream_dedup, stream_insert_new, stream_upsert, table_sink
+from strata.streaming.loads import file_sink, partition_sink, stream_dedup, stream_insert_new, stream_upsert, table_sink
 
-__all__ = ["partition_sink", "stream_dedup", "stream_insert_new", "stream_upsert", "table_sink"]
+__all__ = ["file_sink", "partition_sink", "stream_dedup", "stream_insert_new", "stream_upsert", "table_sink"]

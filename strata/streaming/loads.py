@@ -12,23 +12,37 @@ from strata.functions.keys import any_null
 from strata.operators.dedup import top_per_key
 from strata.operators.merge import merge_upsert
 from strata.operators.sizing import plain_columns
-from strata.plans.load import by_bucket, current, merge_partitions, publish
+from strata.plans.load import by_bucket, current, drop_versions, merge_files, merge_partitions, publish
+from strata.session import Workspace
 from strata.specs import key_list
+from strata.streaming.keyset import KeyBits, bucket_of, written_rows
 
 
 # Writes one micro-batch into a target.
 Sink = Callable[[DataFrame], None]
 
 
-def table_sink(table: str, folder: str, keys: str | Sequence[str], order_by: str | None = None) -> Sink:
+def table_sink(table: str, folder: str, keys: str | Sequence[str], order_by: str | None = None, keep: int | None = None) -> Sink:
     """Upsert into a catalog table by publishing a new version of it.
 
-    A table that is bucketed by the keys is joined bucket by bucket, and only the batch moves.
+    A table that is bucketed by the keys is joined bucket by bucket, and only the batch moves. ``keep`` removes older
+    versions than so many before the current one, once a new one is published; without it all stay.
     """
 
     def upsert(batch: DataFrame) -> None:
         spark = batch.sparkSession
         publish(merge_upsert(current(spark, table), batch, keys, order_by, co_located=by_bucket(spark, table, keys)), table, folder)
+        if keep is not None:
+            drop_versions(spark, table, folder, keep)
+
+    return upsert
+
+
+def file_sink(path: str, keys: str | Sequence[str], order_by: str | None = None) -> Sink:
+    """Upsert into an unpartitioned parquet folder, rewriting only the files that hold keys of the batch."""
+
+    def upsert(batch: DataFrame) -> None:
+        merge_files(batch.sparkSession, path, batch, keys, order_by)
 
     return upsert
 
@@ -62,12 +76,21 @@ def stream_upsert(stream: DataFrame, sink: Sink, checkpoint: str) -> StreamingQu
 
 
 def stream_insert_new(
-    stream: DataFrame, path: str, keys: str | Sequence[str], checkpoint: str, order_by: str | None = None
+    stream: DataFrame,
+    path: str,
+    keys: str | Sequence[str],
+    checkpoint: str,
+    order_by: str | None = None,
+    buckets: int = 64,
+    bits: int = 1 << 27,
 ) -> StreamingQuery:
     """Append the first row of every key that the folder does not have yet, however late it comes; then stop.
 
-    Each micro-batch is reduced to one row per key (the smallest ``order_by``), compared with the keys written before
-    and put into a partition of its own. A batch that is replayed replaces its partition. Rows without a key are all new.
+    Each micro-batch is reduced to one row per key (the smallest ``order_by``). Keys whose bit is unset in the folder's bitmaps (see
+    :class:`strata.streaming.keyset.KeyBits`) are new without a look at any row. The others are compared with the keys
+    written before, in their ``buckets`` of the key space only, so a batch of new keys costs what it holds and not what the
+    folder has. New rows go into a partition of their batch, by bucket; a batch that is replayed replaces its partition. Rows without a
+    key are all new.
     """
     names = key_list(keys)
 
@@ -75,12 +98,20 @@ def stream_insert_new(
         spark = batch.sparkSession
         order = [F.col(order_by).asc_nulls_last()] if order_by else []
         rest = [F.col(f"`{c}`").asc_nulls_last() for c in plain_columns(batch) if c not in names]
-        new = top_per_key(batch.filter(~any_null(names)), names, [*order, *rest]).unionByName(batch.filter(any_null(names)))
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-            before = spark.read.option("basePath", path).parquet(path).filter(F.col("_batch") < number)
-            new = new.join(before.select(*names), names, "left_anti").select(*batch.columns)
-        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_batch={number}")
+        known = KeyBits(spark, path, names, bits)
+        with Workspace(spark, "insert") as work:
+            # Rows that are all key are alike.
+            first = top_per_key(batch.filter(~any_null(names)), names, [*order, *rest] or [F.lit(0).asc()])
+            rows = work.stage(known.maybe_written(first.withColumn("_bucket", bucket_of(names, buckets))))
+            doubtful = rows.filter("_maybe")
+            touched = [r[0] for r in doubtful.select("_bucket").distinct().collect()]
+            new = rows.filter(~F.col("_maybe"))
+            if touched:
+                new = new.unionByName(doubtful.join(written_rows(spark, path, names, number, touched), names, "left_anti"))
+            new = work.stage(new.select(*rows.columns).drop("_maybe"))
+            known.add(new, number)
+            new = new.unionByName(batch.filter(any_null(names)).withColumn("_bucket", F.lit(buckets)))
+            new.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{path.rstrip('/')}/_batch={number}")
 
     return (
         stream.writeStream.foreachBatch(load)
