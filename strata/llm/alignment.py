@@ -70,7 +70,7 @@ class Pair:
         """For each text, the stretches of a space and the text as (tokens of A, of B, groups as text, codes of the links); none if bytes differ."""
         lists = [(_stretches(" " + t) if self.by_stretch else [" " + t]) if t else [] for t in texts]
         known, older = self.known, self.older
-        new = set().union(*lists) - known.keys()
+        new = {s for s in set().union(*lists) if s not in known}
         again = [s for s in new if s in older]
         known.update((s, older[s]) for s in again)
         self.used += sum(map(self._size, again))

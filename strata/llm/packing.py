@@ -10,6 +10,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from strata.session import kept
 PIECE = ("piece", "start", "length", "ids")
 OUT = ("sequence_id", "offset")
 # Memory of the words that a worker remembers, characters that are encoded at once, and bytes of ids that leave at once.
-CACHE_BYTES, CHUNK, SLICE_BYTES = 128 << 20, 1 << 18, 1 << 20
+CACHE_BYTES, CHUNK, SLICE_BYTES = 256 << 20, 1 << 20, 1 << 20
 # What a remembered word takes besides its ids.
 ENTRY_BYTES = 200
 # Pieces of one length are numbered in cells of about so many.
@@ -75,18 +76,18 @@ class WordIds:
         if suffix:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.used = 0
 
-    def words(self, text: str) -> list[str]:
-        """The words of a text, written alike where the vocabulary takes them to be."""
+    def spaced(self, text: str) -> str:
+        """A text with a space between words, which are written alike where the vocabulary takes them to be."""
         text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
         if "<" not in text or not any(t in text or t.lower() in text.lower() for t in self.special):
             if _latin_1(text) or not _beyond_latin(text):
                 text = text.lower()
             text = _mark.sub(" ", text) if _mark_run(text) else text.replace(". ", " . ").replace(", ", " , ")
-        return text.split(" ")
+        return text
 
     def learn(self, words: list[str]) -> None:
         """Remember the ids of new words. Words of small letters are one run each, which ends with a token that ends a word."""
@@ -98,7 +99,7 @@ class WordIds:
                 self._remember(easy, ids, np.concatenate(([0], cuts)))
                 words = set(words).difference(easy)
         if words:
-            words = list(words)
+            words = sorted(words)
             starts = np.cumsum([0, *[len(w) + 1 for w in words]])
             encoded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
             firsts = np.array([a for a, _ in encoded.offsets], dtype=np.int64)
@@ -109,22 +110,38 @@ class WordIds:
         self.known.update((w, packed[a:b]) for w, a, b in zip(words, at, at[1:]))
         self.used += ENTRY_BYTES * len(words) + len(packed)
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers, without special tokens around the texts."""
-        lists = [self.words(t) for t in texts]
-        known, older = self.known, self.older
-        new = set().union(*lists) - known.keys()
-        again = [w for w in new if w in older]
-        for w in again:
-            known[w] = older[w]
-        self.used += ENTRY_BYTES * len(again)
-        if len(again) < len(new):
-            self.learn(sorted(new.difference(again)))
-        out = [b"".join(map(known.__getitem__, words)) for words in lists]
+    def known_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
+        out = list(map(self.known.get, words))
+        new = [w for w, ids in zip(words, out) if ids is None]
+        if new:
+            again = {w: ids for w in new if (ids := self.older.get(w)) is not None}
+            self.known |= again
+            self.used += ENTRY_BYTES * len(again)
+            self.learn([w for w in new if w not in again])
+            out = list(map(self.known.__getitem__, words))
         if self.used > CACHE_BYTES // 2:
-            self.older, self.known, self.used = known, {"": b""}, 0
+            self.older, self.known, self.used = self.known, {}, 0
         return out
 
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, without special tokens around the texts.
+
+        Words are split and made distinct column-wise, distinct ones are looked up, and their ids are put in place by number.
+        """
+        lists = pc.split_pattern(pa.array([self.spaced(t) for t in texts], pa.large_string()), " ")
+        words = lists.flatten().dictionary_encode()
+        which = words.indices.to_numpy()
+        found = self.known_ids(words.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.array([len(f) for f in found], dtype=np.int64) // 4
+        starts = np.cumsum(sizes) - sizes
+        many = sizes[which]
+        ends = np.cumsum(many)
+        flat = ids[np.repeat(starts[which] - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
+        cuts = np.concatenate(([0], ends))[lists.offsets.to_numpy()].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
     def encode(self, text: str) -> bytes:
         return b"".join(self.encode_all([part])[0] for part in chunks(text))
 
