@@ -23,11 +23,11 @@ def differing_buckets(signed: DataFrame, columns: Sequence[str], sign: str, buck
     rows have equal hashes, so buckets of the same rows have the same sums whatever their order; rows that are not the same have them
     with a probability of about 2^-128.
     """
-    sums = [F.sum(sign).alias("_n")]
-    for i, salt in enumerate(("one", "two")):
-        h = row_hash(signed, columns, salt)
-        sums += [F.sum(F.col(sign) * F.shiftright(h, 32)).alias(f"_high{i}"), F.sum(F.col(sign) * h.bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"_low{i}")]
-    totals = signed.groupBy(bucket_of(signed, columns, buckets).alias("_bucket")).agg(*sums)
+    hashed = signed.select(F.col(sign).cast("bigint").alias("_s"), row_hash(signed, columns, "one").alias("_h0"), row_hash(signed, columns, "two").alias("_h1"))
+    sums = [F.sum("_s").alias("_n")]
+    for h in ("_h0", "_h1"):
+        sums += [F.sum(F.col("_s") * F.shiftright(h, 32)).alias(f"{h}_high"), F.sum(F.col("_s") * F.col(h).bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"{h}_low")]
+    totals = hashed.groupBy(F.pmod("_h0", F.lit(buckets)).alias("_bucket")).agg(*sums)
     unlike = F.lit(False)
     for c in totals.columns[1:]:
         unlike = unlike | (F.col(c) != 0)
@@ -46,7 +46,7 @@ def row_hash(df: DataFrame, columns: Sequence[str], salt: str) -> Column:
 
 
 def bucket_of(df: DataFrame, columns: Sequence[str], buckets: int) -> Column:
-    return F.pmod(row_hash(df, columns, "bucket"), F.lit(buckets))
+    return F.pmod(row_hash(df, columns, "one"), F.lit(buckets))
 
 
 def audit_except(a: DataFrame, b: DataFrame, buckets: int = BUCKETS) -> DataFrame:

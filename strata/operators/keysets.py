@@ -12,8 +12,9 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Sets tested in one pass, rows that one pass may move, and agreements kept of each set.
-BATCH, MOVED, WITNESSES = 400, 2_000_000, 30
+# Sets tested in one pass, rows that one pass may move (or, of a small table, so many times its rows), agreements kept of each
+# set, and how often a set is tested in a pass that has room.
+BATCH, MOVED, TIMES, WITNESSES, COPIES = 400, 2_000_000, 4, 30, 8
 # A set without an agreement among one of so many hash values is looked at again among more of them.
 ZOOM = 64
 
@@ -101,8 +102,15 @@ def find_agreements(rows: DataFrame, width: int, sets: Sequence[int], share: int
 
 
 def exact_agreement(rows: DataFrame, names: Sequence[str], members: int) -> int | None:
-    """The columns that two rows with the same values in a set agree on, by the values themselves; None if it is a key."""
+    """The columns that two rows with the same values in a set agree on; None if there are none, so that it is a key.
+
+    Rows whose hashes differ have different values, so the narrow hashes decide for a key; only where some are equal are
+    values compared.
+    """
     width = len(names)
+    narrow = rows.groupBy(_set_hash([F.col("h")[i] for i in range(width)], members).alias("v")).count()
+    if narrow.filter("count > 1").isEmpty():
+        return None
     keys = [F.col(f"`c{i}`") for i in range(width) if members >> i & 1]
     same = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("h").alias("low"), F.max("h").alias("high")).filter("n > 1")
     found = same.select("low", "high").first()
@@ -114,7 +122,7 @@ def exact_agreement(rows: DataFrame, names: Sequence[str], members: int) -> int
 def smallest_keys(df: DataFrame, columns: Sequence[str], n: int, most: int | None = None) -> list[tuple[str, ...]]:
     """All sets of the fewest columns (at most ``most``) without NULLs whose values tell any two of the ``n`` rows apart.
 
-    Each pass over the table tests up to ``BATCH`` sets. It looks at so small a share of their hash values that about ``MOVED`` rows move;
+    Each pass over the table tests up to ``BATCH`` sets. It looks at so small a share of their hash values that about ``MOVED`` rows move, or ``TIMES`` those of a small table;
     sets that show no agreement there are looked at again in larger shares while they stay open, and what is still open in the
     end is decided by its values. Only agreements reach the driver, a few for each tested set.
     """
@@ -138,8 +146,8 @@ def smallest_keys(df: DataFrame, columns: Sequence[str], n: int, most: int | Non
                 if len(fresh) == BATCH:
                     break
         if fresh:
-            tested, copies = fresh, max(1, BATCH // len(fresh))
-            share = max(1, n * len(fresh) * copies // MOVED)
+            tested, copies = fresh, max(1, min(COPIES, BATCH // len(fresh)))
+            share = max(1, n * len(fresh) * copies // min(MOVED, TIMES * n))
         elif seen:
             # Those that were looked at least go first, as many as one pass can take.
             seen.sort(key=lambda s: (-shares[s], s))
