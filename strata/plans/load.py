@@ -386,7 +386,7 @@ def merge_partitions(
         old = touched_partitions(target, partition_by, [r[0] for r in touched.collect()])
         merged = merge_upsert(old, batch, names, order_by, **merge_options)
         # A rebalance keeps files at a sensible size and splits a partition value that holds most rows.
-        merged.hint("rebalance", partition_by).write.mode("overwrite").parquet(f"{path}/{PENDING}")
+        merged.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}/{PENDING}")
     replace_pending(spark, path, partition_by)
 
 
@@ -401,18 +401,20 @@ def touched_partitions(target: DataFrame, column: str, values: Sequence) -> Data
 
 
 def replace_pending(spark: SparkSession, path: str, partition_by: str) -> None:
-    """Put complete pending content in the place of its partitions, then forget it.
+    """Put complete pending partitions in the place of the old ones, then forget the pending folder.
 
-    Spark replaces partitions by deleting and renaming. A run that dies in between leaves the content pending, and the next
-    merge puts it in place before anything else.
+    A partition's old folder is removed and the pending one moved there; nothing is written twice. A run that dies in
+    between leaves the rest pending, and the next merge puts it in place before anything else.
     """
-    pending = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PENDING}")
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    pending = new(f"{path}/{PENDING}")
     files = pending.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(pending):
-        return
-    if files.exists(spark._jvm.org.apache.hadoop.fs.Path(pending, "_SUCCESS")):
-        rows = spark.read.parquet(f"{path}/{PENDING}")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    if files.exists(new(pending, "_SUCCESS")):
+        for folder in files.listStatus(pending):
+            name = folder.getPath().getName()
+            if folder.isDirectory() and name.startswith(f"{partition_by}="):
+                files.delete(new(f"{path}/{name}"), True)
+                files.rename(folder.getPath(), new(f"{path}/{name}"))
     files.delete(pending, True)
 
 

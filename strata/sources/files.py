@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +16,8 @@ _NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 # Columns of a checked reading besides the target's.
 LINE, WRONG, FILE = "_line", "_wrong", "_file"
 CHECKED = (LINE, WRONG, FILE)
+# Files whose headers are read at once.
+OPENED = 16
 
 
 def _raw(schema: T.StructType) -> T.StructType:
@@ -141,7 +146,7 @@ def _checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[
         return spark.read.options(header=True, escape='"')
 
     files = reader().csv(path).inputFiles()
-    headers = _headers(spark, path) if len(files) > 1 else {"": files}
+    headers = _headers(spark, files) if len(files) > 1 else {"": files}
     out, named = None, set()
     for _, group in sorted(headers.items()):
         header = reader().csv(group[0]).columns
@@ -166,18 +171,27 @@ def _checked_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[
     return out.select(*kept, *CHECKED), {n: F.lit(True) for n in kept}
 
 
-def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files of a folder by their first line."""
-    first = (
-        spark.read.text(path)
-        .select("_metadata.file_path", "_metadata.file_block_start", "value")
-        .filter("file_block_start = 0")
-        .groupBy("file_path")
-        .agg(F.first("value").alias("header"))
-    )
+def _first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file, compressed or not; no more is read than a buffer."""
+    jvm = spark._jvm
+    file, conf = jvm.org.apache.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration()
+    stream = file.getFileSystem(conf).open(file)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def _headers(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files by their first line; files without any are left out. Several are opened at once, and only their beginnings are read."""
+    with ThreadPoolExecutor(OPENED) as pool:
+        lines = list(pool.map(lambda f: _first_line(spark, f), files))
     out: dict[str, list[str]] = {}
-    for r in first.collect():
-        out.setdefault(r["header"], []).append(r["file_path"])
+    for file, line in zip(files, lines):
+        if line is not None:
+            out.setdefault(line.lstrip("\ufeff"), []).append(file)
     return out
 
 
@@ -185,16 +199,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     """CSV with a header, matched to the target by column name; all text, then cast to target types.
 
     The header of each file decides which column is which: files of a folder are grouped by their header, and every group is
-    read with its own. That takes one pass over the beginnings of the files if there are several. Every column of the target that
+    read with its own. Of each file only the beginning is read for that, and nothing if there is just one. Every column of the target that
     any file has is in the result, NULL for files without it. ``multiline`` allows line breaks inside quotes at the price of
     unsplittable files.
     """
     reader = spark.read.options(header=True, escape='"', multiLine=multiline)
     whole = reader.csv(path)
-    if len(whole.inputFiles()) < 2:
+    files = whole.inputFiles()
+    if len(files) < 2:
         return column_intersect(whole, schema)
     out = None
-    for _, files in sorted(_headers(spark, path).items()):
+    for _, files in sorted(_headers(spark, files).items()):
         part = column_intersect(reader.option("enforceSchema", False).csv(files), schema)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out.select(*[c for c in schema.names if c in out.columns])
