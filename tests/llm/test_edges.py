@@ -1,5 +1,6 @@
 """Every operator on awkward rows: NULLs, empty and very long texts, ties, repeated rows, clashing names, empty tables."""
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,50 @@ def test_mix_as_rows(awkward):
     wanted = sum(r.taken // r["size"] for r in mixed.collect() if r["size"])
     rows = repeated(mixed, awkward.drop("size", "source_size", "target", "taken").columns).count()
     assert rows == wanted
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Labels beside documents: ids above 100 with and without a toxic word."""
+    path = str(tmp_path_factory.mktemp("labelled"))
+    spark.createDataFrame([(i, i % 2) for i in range(100, 160)], "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def corpus(spark):
+    labelled = [(i, f"plain words number {i} here" + " vileslur" * (i % 2), "a", "en", 1) for i in range(100, 160)]
+    docs = spark.createDataFrame(ROWS + labelled, SCHEMA).repartition(3).withColumn("n_chars", F.char_length("text").cast("long"))
+    return docs.select("*", *[F.lit("x").alias(c) for c in CLASH])
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_on_awkward_rows(spark, folder, name):
+    docs = corpus(spark)
+    out = dict(corpus_pipeline.STAGES)[name](spark, docs, folder)
+    assert out.schema.names == docs.schema.names and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+    rows = out.collect()
+    assert all(r[c] == "x" for r in rows for c in CLASH)
+    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in rows)
+    every = sorted((r[0] is None, r[0] or 0) for r in ROWS) + [(False, i) for i in range(100, 160)]
+    if name == "toxicity":
+        gone = {(False, i) for i in range(101, 160, 2)}
+        assert ids == sorted(x for x in every if x not in gone)
+    elif name == "line_dedup":
+        assert ids == sorted(every) and all(r.n_chars == len(r.text) for r in rows)
+        # Rows that repeat are one document, whose first line is the first of its kind.
+        assert sum("quick brown" in r.text for r in rows) == 2
+    elif name == "near_dedup":
+        # Of the two long texts the first stays, and both rows of id 1, which are one document.
+        assert (False, 6) not in ids and ids.count((False, 1)) == 2 and ids.count((True, 0)) == 2 and ids.count((False, 3)) == 2
+    else:
+        assert set(ids) <= set(every) and not {(False, 3), (False, 4)} & set(ids)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_an_empty_table(spark, folder, name):
+    assert dict(corpus_pipeline.STAGES)[name](spark, corpus(spark).filter("false"), folder).collect() == []
+
+
+def test_encoding_stage_on_awkward_rows(spark, folder):
+    rows = corpus_pipeline.encode(spark, corpus(spark), folder).collect()
+    assert len(rows) == len(ROWS) + 60 and sum(r.n_tokens == 0 and bytes(r.ids) == b"" for r in rows) == 3
