@@ -15,8 +15,10 @@ from strata.session import Workspace
 OUT = ("shard", "slot")
 # Histogram bins of a node in one pass.
 BINS = 1024
-# Codes stay so small that differences of two fit a long.
+# Words of a code stay so small that differences of two fit a long.
 LIMIT = 2**61
+# Bytes of text that one word holds, and words of a text that are compared as they are; of longer ones hashes decide.
+WORD_BYTES, TEXT_WORDS = 7, 8
 
 
 def payload(text: str) -> Column:
@@ -24,33 +26,72 @@ def payload(text: str) -> Column:
     return (F.octet_length(content(text)) + 16).cast("bigint")
 
 
-def code(df: DataFrame, name: str) -> Column:
-    """A column as a number in its own order: numbers and times whole, texts by their first 7 bytes, NULL first."""
+def is_text(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def code(df: DataFrame, name: str, longest: int = 0) -> list[Column]:
+    """A column as whole numbers that compare in its order, one after the other; NULL first.
+
+    Numbers beyond ``LIMIT`` go on in a second word, fractions in another. Texts (and what else is taken as text) are words of
+    ``WORD_BYTES`` bytes for as many bytes as the ``longest`` has; of texts with more than ``TEXT_WORDS`` words, two hashes follow in place
+    of the rest, so rows are told apart whatever their texts have in common.
+    """
     kind, c = df.schema[name].dataType, col(name)
-    if isinstance(kind, T.NumericType):
-        value = F.floor(c).cast("bigint")
-    elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        value = F.unix_micros(c.cast("timestamp"))
+    low, high = F.lit(-LIMIT), F.lit(LIMIT)
+    if isinstance(kind, T.DecimalType):
+        large = F.lit(10**18).cast("decimal(38,0)")
+        whole = F.floor(c).cast("decimal(38,0)")
+        top = F.floor(whole / large).cast("decimal(38,0)")
+        words = [top.cast("bigint")] if kind.precision - kind.scale > 18 else []
+        words.append((whole - top * large).cast("bigint") if words else whole.cast("bigint"))
+        if kind.scale:
+            # Up to 18 digits of the fraction tell rows apart.
+            words.append(((c - whole) * F.lit(10 ** min(kind.scale, 18)).cast("decimal(19,0)")).cast("bigint"))
+    elif isinstance(kind, T.FractionalType):
+        value = F.nanvl(c.cast("double"), F.lit(float("inf")))
+        inside = F.greatest(F.least(value, F.lit(float(LIMIT))), F.lit(-float(LIMIT)))
+        beyond = F.when(value == float("inf"), LIMIT).when(value == -float("inf"), -LIMIT).otherwise((F.signum(value) * F.log2(F.abs(value)) * 2**40).cast("bigint"))
+        words = [F.floor(inside).cast("bigint"), F.when(F.abs(value) > LIMIT, beyond).otherwise(((value - F.floor(inside)) * 2**52).cast("bigint"))]
+    elif isinstance(kind, T.NumericType):
+        value = c.cast("bigint")
+        inside = F.greatest(F.least(value, high), low)
+        words = [inside, value - inside] if isinstance(kind, T.LongType) else [value]
+    elif not is_text(kind):
+        words = [F.unix_micros(c.cast("timestamp"))]
     else:
-        head = F.rpad(F.hex(F.substring(c.cast("string").cast("binary"), 1, 7)), 14, "0")
-        value = F.conv(head, 16, 10).cast("bigint")
-    return F.coalesce(F.greatest(F.least(value, F.lit(LIMIT)), F.lit(-LIMIT)), F.lit(-LIMIT - 1))
+        raw = c.cast("string").cast("binary")
+        n = -(-longest // WORD_BYTES)
+        parts = [F.rpad(F.hex(F.substring(raw, 1 + i * WORD_BYTES, WORD_BYTES)), 2 * WORD_BYTES, "0") for i in range(min(n, TEXT_WORDS))]
+        words = [F.conv(p, 16, 10).cast("bigint") for p in parts] or [F.when(c.isNotNull(), 0).cast("bigint")]
+        if n > TEXT_WORDS:
+            words += [F.shiftright(F.xxhash64(raw, F.lit(i)), 2) for i in (1, 2)]
+    return [F.coalesce(w, F.lit(-LIMIT - 1)) for w in words]
+
+
+def measure(df: DataFrame, name: str, first: Column) -> Column:
+    """What a dimension's width is told by: numbers as they are, the beginnings of texts."""
+    return F.coalesce(col(name).cast("double") if isinstance(df.schema[name].dataType, T.NumericType) else first.cast("double"), F.lit(0.0))
+
+
+def listed(values: Sequence[Sequence[int]], at: Column) -> Column:
+    """``values[at]`` of a list of lists that the plan carries as one constant; it has an entry per shard at most."""
+    text = ";".join(",".join(map(str, v)) for v in values)
+    return F.split(F.get(F.split(F.lit(text), ";"), at), ",").cast("array<bigint>")
 
 
 def look(values: Sequence[int], at: Column) -> Column:
-    """``values[at]`` of a list that the plan carries as one constant; it has an entry per shard at most."""
-    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), at)
+    return listed([[v] for v in values], at)[0]
 
 
 @dataclass
 class Cut:
-    """A node of one level: how many shards it becomes, and which rows go left."""
+    """A node of one level: how many shards it becomes, and which rows go left: those whose code in a dimension is not above the limit."""
 
     leaves: int
     first: int = 0  # its left child's number in the next level
     dim: int = 0
-    value: int = 2**62
-    tie: int = 2**62
+    limit: tuple[int, ...] = (2**62,)
 
 
 class Tree:
@@ -60,18 +101,18 @@ class Tree:
         self.done: list[list[Cut]] = []
         self.level = [Cut(leaves)]
 
-    def place(self, df: DataFrame, dims: Sequence[str], tie: str, node: str) -> DataFrame:
+    def place(self, df: DataFrame, codes: Column, node: str) -> DataFrame:
+        """The node of each row, from its codes per dimension."""
         if not self.done:
             return df.withColumn(node, F.lit(0))
         cuts = [n for level in self.done for n in level]
         starts = [sum(map(len, self.done[:i])) for i in range(len(self.done))]
-        dim, first, value, ties = ([getattr(n, a) for n in cuts] for a in ("dim", "first", "value", "tie"))
 
         def step(at: Column, start: Column) -> Column:
             cut = start + at
-            place, limit = F.get(F.array(*dims), look(dim, cut).cast("int")), look(value, cut)
-            right = (place > limit) | ((place == limit) & (F.col(tie) > look(ties, cut)))
-            return (look(first, cut) + right.cast("int")).cast("int")
+            own = F.get(codes, look([n.dim for n in cuts], cut).cast("int"))
+            right = own > listed([n.limit for n in cuts], cut)
+            return (look([n.first for n in cuts], cut) + right.cast("int")).cast("int")
 
         return df.withColumn(node, F.aggregate(F.array(*map(F.lit, starts)), F.lit(0), step))
 
@@ -84,94 +125,110 @@ class Tree:
         self.level = below
 
 
-def _crossing(rows: DataFrame, pick: Column, low: list[int], high: list[int], goal: list[float], node: str, size: str):
+def _crossing(rows: DataFrame, pick: Column, low: dict[int, int], high: dict[int, int], goal: dict[int, float]):
     """Per node the value at which the running weight reaches the goal, and the weight below it.
 
-    Each pass counts one histogram for all nodes and narrows every node to the values of one bin,
-    so a pass returns at most ``BINS`` rows per node and no rows of the table.
+    Each pass counts one histogram for all nodes, finds on the executors the bin in which each node's goal lies, and narrows the
+    node to that bin's values; the driver gets a row per node and pass.
     """
-    low, high, below = list(low), list(high), [0.0] * len(low)
-    while any(a < b for a, b in zip(low, high)):
-        at = F.col(node)
-        a, b = look(low, at), look(high, at)
-        bin = F.floor((pick - a).cast("double") * BINS / (b - a + 1).cast("double"))
-        counted = (
-            rows.filter((a < b) & pick.between(a, b))
-            .groupBy(node, bin.alias("bin"))
-            .agg(F.sum(size).alias("w"), F.min(pick).alias("a"), F.max(pick).alias("b"))
-            .collect()
+    low, high, below = dict(low), dict(high), dict.fromkeys(low, 0.0)
+    while True:
+        wide = sorted(n for n in low if low[n] < high[n])
+        if not wide:
+            return low, below
+        known = rows.sparkSession.createDataFrame(
+            [(n, low[n], high[n], goal[n] - below[n]) for n in wide], "node int, a bigint, b bigint, goal double"
+        )
+        inside = rows.select("node", "size", pick.alias("v")).join(F.broadcast(known), "node").filter(F.col("v").between(F.col("a"), F.col("b")))
+        bin = F.floor((F.col("v") - F.col("a")).cast("double") * BINS / (F.col("b") - F.col("a") + 1).cast("double"))
+        bins = inside.groupBy("node", bin.alias("bin")).agg(
+            F.sum("size").alias("w"), F.min("v").alias("a"), F.max("v").alias("b"), F.first("goal").alias("goal")
         )
-        found = [False] * len(low)
-        for r in sorted(counted, key=lambda r: (r[node], r["bin"])):
-            n = r[node]
-            if found[n]:
-                continue
-            low[n], high[n] = r["a"], r["b"]
-            if below[n] + r["w"] >= goal[n]:
-                found[n] = True
-            else:
-                below[n] += r["w"]
-        for n, ok in enumerate(found):
-            if not ok and low[n] < high[n]:  # all weight is below the goal: the last value
-                low[n] = high[n]
-    return low, below
+        upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin"))
+        last = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("bin"))) == 1
+        # The bin in which the goal is reached, or the last one where all weight is below it.
+        hit = bins.withColumns({"upto": upto, "last": last}).filter((F.col("upto") >= F.col("goal")) | F.col("last"))
+        found = hit.groupBy("node").agg(F.min(F.struct("bin", "a", "b", "w", "upto", "goal")).alias("x")).select("node", "x.*").collect()
+        for r in found:
+            n = r["node"]
+            below[n] += r["upto"] - r["w"]
+            low[n], high[n] = (r["a"], r["b"]) if r["upto"] >= r["goal"] else (r["b"], r["b"])
 
 
 def plan_tree(
     docs: DataFrame, dims: Sequence[str], id: str, text: str, leaves: int | None = None, target_bytes: int | None = None
-) -> tuple[Tree, list[Column]]:
+) -> tuple[Tree, list[list[Column]]]:
     """Split recursively at weighted medians along each node's widest dimension.
 
     Width is a node's range as a part of the whole table's range. A node that becomes ``k`` shards
-    is cut at ``floor(k / 2) / k`` of its bytes; rows with the cut's value are cut by id.
+    is cut at ``floor(k / 2) / k`` of its bytes; rows with the cut's value are cut by id. Codes are compared word by word: where
+    a word's cut falls among rows that share it, the next word is cut.
     """
-    codes = [code(docs, d) for d in dims]
-    names = [f"d{i}" for i in range(len(dims))]
+    texts = [c for c in dict.fromkeys([*dims, id]) if is_text(docs.schema[c].dataType)]
+    longest = dict.fromkeys(texts, 0)
+    if texts:
+        sizes = docs.agg(*[F.max(F.octet_length(col(c).cast("string"))) for c in texts]).first()
+        longest = {c: n or 0 for c, n in zip(texts, sizes)}
+    tie = code(docs, id, longest.get(id, 0))
+    codes = [[*code(docs, d, longest.get(d, 0)), *tie] for d in dims]
+    names, n_words = [f"d{i}" for i in range(len(dims))], max(map(len, codes))
     with Workspace(docs.sparkSession, "shards") as work:
         rows = work.stage(
-            docs.select(*[c.alias(n) for c, n in zip(codes, names)], code(docs, id).alias("tie"), payload(text).alias("size"))
+            docs.select(
+                *[F.array(*c).alias(n) for c, n in zip(codes, names)],
+                *[measure(docs, d, c[0]).alias(f"m_{n}") for d, c, n in zip(dims, codes, names)],
+                payload(text).alias("size"),
+            )
         )
         if leaves is None:
             total = rows.agg(F.sum("size")).first()[0] or 0
             leaves = max(1, -(-total // target_bytes))
         tree, whole = Tree(leaves), None
         while any(n.leaves > 1 for n in tree.level):
-            placed = tree.place(rows, names, "tie", "node")
-            ranges = [f(c).alias(f"{f.__name__}_{c}") for c in [*names, "tie"] for f in (F.min, F.max)]
+            placed = tree.place(rows, F.array(*names), "node")
+            ranges = [f(f"m_{c}").alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max)]
             seen = {r["node"]: r for r in placed.groupBy("node").agg(F.sum("size").alias("w"), *ranges).collect()}
             if not seen:
                 break
             whole = whole or seen[0]
-            goal, low, high = [0.0] * len(tree.level), [0] * len(tree.level), [0] * len(tree.level)
+            goal: dict[int, float] = {}
             for i, n in enumerate(tree.level):
                 if n.leaves > 1 and i in seen:
-                    r = seen[i]
-                    width = [
-                        (r[f"max_{c}"] - r[f"min_{c}"]) / max(1, whole[f"max_{c}"] - whole[f"min_{c}"]) for c in names
-                    ]
+                    width = [(seen[i][f"max_{c}"] - seen[i][f"min_{c}"]) / ((whole[f"max_{c}"] - whole[f"min_{c}"]) or 1.0) for c in names]
                     n.dim = width.index(max(width))
-                    goal[i] = r["w"] * (n.leaves // 2) / n.leaves
-                    low[i], high[i] = r[f"min_d{n.dim}"], r[f"max_d{n.dim}"]
-            pick = F.get(F.array(*names), look([n.dim for n in tree.level], F.col("node")).cast("int"))
-            value, below = _crossing(placed, pick, low, high, goal, "node", "size")
-            ties = placed.filter(pick == look(value, F.col("node")))
-            edge = {r["node"]: r for r in ties.groupBy("node").agg(F.min("tie").alias("a"), F.max("tie").alias("b")).collect()}
-            rest = [g - b for g, b in zip(goal, below)]
-            first = [edge[i]["a"] if i in edge else 0 for i in range(len(value))]
-            last = [edge[i]["b"] if i in edge else 0 for i in range(len(value))]
-            tie, under = _crossing(ties, F.col("tie"), first, last, rest, "node", "size")
-            at = {
-                r["node"]: r["w"]
-                for r in ties.filter(F.col("tie") == look(tie, F.col("node"))).groupBy("node").agg(F.sum("size").alias("w")).collect()
-            }
-            for i, n in enumerate(tree.level):
-                if n.leaves > 1:
-                    # The row on the edge goes where it leaves the smaller difference.
-                    n.value, n.tie = value[i], tie[i] - (2 * (rest[i] - under[i]) < at.get(i, 0))
+                    goal[i] = seen[i]["w"] * (n.leaves // 2) / n.leaves
+            own = F.get(F.array(*names), look([n.dim for n in tree.level], F.col("node")).cast("int"))
+            there = placed.select("node", "size", own.alias("own")).filter(F.col("node").isin(*goal))
+            _cut_words(tree, there, goal, n_words)
             tree.descend()
     return tree, codes
 
 
+def _cut_words(tree: Tree, rows: DataFrame, goal: dict[int, float], n_words: int) -> None:
+    """The limits of a level's nodes, word by word; only nodes whose cut falls among rows that share the words so far go on."""
+    limit: dict[int, list[int]] = {n: [] for n in goal}
+    left = rows
+    for j in range(n_words):
+        word = F.get("own", F.lit(j))
+        spans = left.filter(word.isNotNull()).groupBy("node").agg(F.min(word).alias("a"), F.max(word).alias("b"), F.sum("size").alias("w")).collect()
+        if not spans:
+            break
+        low, high = ({r["node"]: r[e] for r in spans} for e in ("a", "b"))
+        value, below = _crossing(left, word, low, high, {n: goal[n] for n in low})
+        for n in low:
+            limit[n].append(value[n])
+            goal[n] -= below[n]
+        if j + 1 < n_words:
+            known = rows.sparkSession.createDataFrame([(n, v) for n, v in value.items()], "node int, value bigint")
+            left = left.join(F.broadcast(known), "node").filter(word == F.col("value")).drop("value")
+    # What shares all words is one row, or rows of one id: it goes where it leaves the smaller difference.
+    known = rows.sparkSession.createDataFrame([(n, v) for n, v in limit.items()], "node int, edge array<bigint>")
+    edge = rows.join(F.broadcast(known), "node").filter(F.col("own") == F.col("edge")).groupBy("node").agg(F.sum("size").alias("w"))
+    at = {r["node"]: r["w"] for r in edge.collect()}
+    for n, words in limit.items():
+        tree.level[n].limit = (*words[:-1], words[-1] - (2 * goal[n] < at.get(n, 0)))
+
+
 def kd_shards(
     docs: DataFrame,
     dims: Sequence[str],
@@ -180,22 +237,21 @@ def kd_shards(
     id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """All rows with ``shard`` (from 0) and ``slot`` (gapless from 0 within the shard, in id order).
+    """All rows with ``shard`` (from 0) and ``slot`` (gapless from 0 within the shard, in id order, then by length and digest).
 
-    Give the number of shards or the bytes each should reach. The tree has one entry per shard and
-    stays in the plan; the rows themselves are only read, and move once, for the slots.
+    Give the number of shards or the bytes each should reach. Ids and dimensions may be of any type that can be cast to text. The
+    tree has one entry per shard and stays in the plan; the rows themselves are only read, and move once, for the slots.
 
     NULL text has no bytes, NULL in a dimension sorts first. Rows that repeat an id stay together where a cut
     falls on them. An empty table gives no rows. Columns of the input named like an added one are replaced.
     """
     docs = without(docs, OUT)
     tree, codes = plan_tree(docs, dims, id, text, leaves, target_bytes)
-    names = fresh(docs, *[f"d{i}" for i in range(len(dims))])
-    tie, node = fresh(docs, "tie", "node")
-    coded = docs.select(*[col(c) for c in docs.columns], *[c.alias(n) for c, n in zip(codes, names)], code(docs, id).alias(tie))
-    order = Window.partitionBy("shard").orderBy(col(id), F.octet_length(content(text)))
+    node, own = fresh(docs, "node", "own")
+    coded = docs.withColumn(own, F.array(*[F.array(*c) for c in codes]))
+    order = Window.partitionBy("shard").orderBy(col(id), F.octet_length(content(text)), F.xxhash64(content(text)))
     return (
-        tree.place(coded, names, tie, node)
+        tree.place(coded, col(own), node)
         .select(*[col(c) for c in docs.columns], F.col(node).alias("shard"))
         .withColumn("slot", (F.row_number().over(order) - 1).cast("bigint"))
     )

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import defaultdict
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -168,6 +169,60 @@ def test_shards(spark, tmp_path, leaves):
         assert back.count() == 1500 and back.select("shard").distinct().count() == 7
 
 
+def plain_tree(rows, leaves, whole=None):
+    """The same recursion on lists of (codes per dimension, measures per dimension, size, id): id -> shard."""
+    whole = whole or [(min(r[1][d] for r in rows), max(r[1][d] for r in rows)) for d in range(len(rows[0][1]))]
+    if leaves == 1:
+        return [rows]
+    width = [(max(r[1][d] for r in rows) - min(r[1][d] for r in rows)) / ((whole[d][1] - whole[d][0]) or 1.0) for d in range(len(whole))]
+    dim = width.index(max(width))
+    total, left = sum(r[2] for r in rows), leaves // 2
+    goal, run = total * left / leaves, 0
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[0][dim]].append(r)
+    for key in sorted(groups):
+        here = sum(r[2] for r in groups[key])
+        if run + here >= goal or key == max(groups):
+            low = [r for k in groups if k < key for r in groups[k]]
+            if 2 * (goal - run) >= here:
+                low += groups[key]
+            break
+        run += here
+    high = [r for r in rows if r not in low]
+    both = ((low, left), (high, leaves - left))
+    return [shard for part, n in both for shard in (plain_tree(part, n, whole) if part else [[]] * n)]
+
+
+@pytest.mark.parametrize("kind", ["plain", "text", "hash", "decimal", "fraction", "long text"])
+def test_shards_are_those_of_a_plain_tree(spark, kind):
+    """Ids and dimensions of any type are cut at their full values: shard by shard against the recursion in plain Python."""
+    rng = random.Random(kind)
+    n, same = 240, "x" * 70
+    ids = {
+        "plain": list(range(n)), "text": [f"doc-{i:08d}" for i in range(n)], "hash": [rng.randrange(-(2**63), 2**63) for _ in range(n)],
+        "decimal": list(range(n)), "fraction": list(range(n)), "long text": [f"doc-{i:08d}" for i in range(n)],
+    }[kind]
+    dims = {
+        "plain": [5] * n, "text": [rng.choice(["alphabetical", "alphabetica", "alpha", ""]) for _ in range(n)], "hash": [1] * n,
+        "decimal": [rng.randrange(10**30) for _ in range(n)], "fraction": [rng.random() * 1e-3 for _ in range(n)], "long text": [same + str(i % 7) for i in range(n)],
+    }[kind]
+    types = {"plain": "long, d int", "text": "string, d string", "hash": "long, d int", "decimal": "long, d decimal(38,0)", "fraction": "long, d double", "long text": "string, d string"}
+    rows = [(i, d if kind != "decimal" else Decimal(d), "y" * rng.choice([0, 30, 200])) for i, d in zip(ids, dims)]
+    docs = spark.createDataFrame(rows, f"doc_id {types[kind]}, text string")
+    out = kd_shards(docs, ["d"], leaves=8).collect()
+    sizes = [sum(len(r.text) + 16 for r in out if r.shard == k) for k in range(8)]
+    assert max(sizes) - min(sizes) <= 3 * 216
+    if kind != "long text":
+        padded = lambda t: tuple(t.encode().ljust(14, b"\0")[i : i + 7] for i in (0, 7))
+        first = lambda d: float(int.from_bytes(d.encode()[:7].ljust(7, b"\0"), "big")) if kind == "text" else float(d)
+        coded = [((((padded(d) if kind == "text" else (d,)), i),), (first(d),), len(t) + 16, i) for i, d, t in rows]
+        want = {r[3]: k for k, shard in enumerate(plain_tree(coded, 8)) for r in shard}
+        assert {r.doc_id: r.shard for r in out} == want
+    for k in range(8):
+        assert sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out)))
+
+
 def test_shards_by_bytes(spark):
     docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("x" * 84).alias("text"))
     sizes = [r["n"] for r in kd_shards(docs, ["doc_id"], target_bytes=10_000).groupBy("shard").agg(F.count("*").alias("n")).collect()]
