@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -76,12 +78,13 @@ def measure(df: DataFrame, name: str, first: Column) -> Column:
 
 def listed(values: Sequence[Sequence[int]], at: Column) -> Column:
     """``values[at]`` of a list of lists that the plan carries as one constant; it has an entry per shard at most."""
-    text = ";".join(",".join(map(str, v)) for v in values)
-    return F.split(F.get(F.split(F.lit(text), ";"), at), ",").cast("array<bigint>")
+    text = json.dumps([list(v) for v in values])
+    return F.get(F.from_json(F.lit(text), "array<array<bigint>>"), at)
 
 
 def look(values: Sequence[int], at: Column) -> Column:
-    return listed([[v] for v in values], at)[0]
+    """``values[at]`` of a list, likewise."""
+    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), at)
 
 
 @dataclass
@@ -125,34 +128,30 @@ class Tree:
         self.level = below
 
 
-def _crossing(rows: DataFrame, pick: Column, low: dict[int, int], high: dict[int, int], goal: dict[int, float]):
+def _crossing(rows: DataFrame, pick: Column, low: list[int], high: list[int], goal: list[float]) -> tuple[list[int], list[float]]:
     """Per node the value at which the running weight reaches the goal, and the weight below it.
 
     Each pass counts one histogram for all nodes, finds on the executors the bin in which each node's goal lies, and narrows the
     node to that bin's values; the driver gets a row per node and pass.
     """
-    low, high, below = dict(low), dict(high), dict.fromkeys(low, 0.0)
-    while True:
-        wide = sorted(n for n in low if low[n] < high[n])
-        if not wide:
-            return low, below
-        known = rows.sparkSession.createDataFrame(
-            [(n, low[n], high[n], goal[n] - below[n]) for n in wide], "node int, a bigint, b bigint, goal double"
-        )
-        inside = rows.select("node", "size", pick.alias("v")).join(F.broadcast(known), "node").filter(F.col("v").between(F.col("a"), F.col("b")))
-        bin = F.floor((F.col("v") - F.col("a")).cast("double") * BINS / (F.col("b") - F.col("a") + 1).cast("double"))
-        bins = inside.groupBy("node", bin.alias("bin")).agg(
-            F.sum("size").alias("w"), F.min("v").alias("a"), F.max("v").alias("b"), F.first("goal").alias("goal")
-        )
+    low, high, below = list(low), list(high), [0.0] * len(low)
+    while any(a < b for a, b in zip(low, high)):
+        at = F.col("node")
+        a, b = look(low, at), look(high, at)
+        inside = rows.select("node", "size", pick.alias("v")).filter((a < b) & F.col("v").between(a, b))
+        bin = F.floor((F.col("v") - a).cast("double") * BINS / (b - a + 1).cast("double"))
+        bins = inside.groupBy("node", bin.alias("bin")).agg(F.sum("size").alias("w"), F.min("v").alias("a"), F.max("v").alias("b"))
+        # Weights are whole, so the goal may be rounded up.
+        wanted = look([math.ceil(g - w) for g, w in zip(goal, below)], at)
         upto = F.sum("w").over(Window.partitionBy("node").orderBy("bin"))
-        last = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("bin"))) == 1
+        last = F.lead("bin").over(Window.partitionBy("node").orderBy("bin")).isNull()
         # The bin in which the goal is reached, or the last one where all weight is below it.
-        hit = bins.withColumns({"upto": upto, "last": last}).filter((F.col("upto") >= F.col("goal")) | F.col("last"))
-        found = hit.groupBy("node").agg(F.min(F.struct("bin", "a", "b", "w", "upto", "goal")).alias("x")).select("node", "x.*").collect()
-        for r in found:
+        hit = bins.withColumns({"upto": upto, "last": last, "reached": upto >= wanted}).filter("reached OR last")
+        for r in hit.groupBy("node").agg(F.min(F.struct("bin", "a", "b", "w", "upto", "reached")).alias("x")).select("node", "x.*").collect():
             n = r["node"]
             below[n] += r["upto"] - r["w"]
-            low[n], high[n] = (r["a"], r["b"]) if r["upto"] >= r["goal"] else (r["b"], r["b"])
+            low[n], high[n] = (r["a"], r["b"]) if r["reached"] else (r["b"], r["b"])
+    return low, below
 
 
 def plan_tree(
@@ -191,42 +190,46 @@ def plan_tree(
             if not seen:
                 break
             whole = whole or seen[0]
-            goal: dict[int, float] = {}
+            goal = [0.0] * len(tree.level)
             for i, n in enumerate(tree.level):
                 if n.leaves > 1 and i in seen:
                     width = [(seen[i][f"max_{c}"] - seen[i][f"min_{c}"]) / ((whole[f"max_{c}"] - whole[f"min_{c}"]) or 1.0) for c in names]
                     n.dim = width.index(max(width))
                     goal[i] = seen[i]["w"] * (n.leaves // 2) / n.leaves
             own = F.get(F.array(*names), look([n.dim for n in tree.level], F.col("node")).cast("int"))
-            there = placed.select("node", "size", own.alias("own")).filter(F.col("node").isin(*goal))
-            _cut_words(tree, there, goal, n_words)
+            _cut_words(tree, placed.select("node", "size", own.alias("own")), goal, n_words)
             tree.descend()
     return tree, codes
 
 
-def _cut_words(tree: Tree, rows: DataFrame, goal: dict[int, float], n_words: int) -> None:
-    """The limits of a level's nodes, word by word; only nodes whose cut falls among rows that share the words so far go on."""
-    limit: dict[int, list[int]] = {n: [] for n in goal}
-    left = rows
+def _cut_words(tree: Tree, rows: DataFrame, goal: list[float], n_words: int) -> None:
+    """The limits of a level's nodes, word by word; only rows that share the words at the cut so far go on."""
+    nodes = [i for i, g in enumerate(goal) if g > 0]
+    limit: dict[int, list[int]] = {n: [] for n in nodes}
+    at, left = F.col("node"), rows.filter(look([int(g > 0) for g in goal], F.col("node")) == 1)
     for j in range(n_words):
         word = F.get("own", F.lit(j))
+        # Where the cut has been found all remaining words are those of one row, or of rows that share an id.
         spans = left.filter(word.isNotNull()).groupBy("node").agg(F.min(word).alias("a"), F.max(word).alias("b"), F.sum("size").alias("w")).collect()
         if not spans:
             break
-        low, high = ({r["node"]: r[e] for r in spans} for e in ("a", "b"))
-        value, below = _crossing(left, word, low, high, {n: goal[n] for n in low})
-        for n in low:
+        low, high = [0] * len(goal), [0] * len(goal)
+        for r in spans:
+            low[r["node"]], high[r["node"]] = r["a"], r["b"]
+        value, below = _crossing(left, word, low, high, goal)
+        for r in spans:
+            n = r["node"]
             limit[n].append(value[n])
             goal[n] -= below[n]
-        if j + 1 < n_words:
-            known = rows.sparkSession.createDataFrame([(n, v) for n, v in value.items()], "node int, value bigint")
-            left = left.join(F.broadcast(known), "node").filter(word == F.col("value")).drop("value")
-    # What shares all words is one row, or rows of one id: it goes where it leaves the smaller difference.
-    known = rows.sparkSession.createDataFrame([(n, v) for n, v in limit.items()], "node int, edge array<bigint>")
-    edge = rows.join(F.broadcast(known), "node").filter(F.col("own") == F.col("edge")).groupBy("node").agg(F.sum("size").alias("w"))
-    at = {r["node"]: r["w"] for r in edge.collect()}
+        left = left.filter(word == look(value, at))
+    if not limit:
+        return
+    edges = [limit.get(n, []) for n in range(len(goal))]
+    held = rows.filter(F.col("own") == listed(edges, at)).groupBy("node").agg(F.sum("size").alias("w")).collect()
+    weight = {r["node"]: r["w"] for r in held}
     for n, words in limit.items():
-        tree.level[n].limit = (*words[:-1], words[-1] - (2 * goal[n] < at.get(n, 0)))
+        # What shares all words goes where it leaves the smaller difference.
+        tree.level[n].limit = (*words[:-1], words[-1] - (2 * goal[n] < weight.get(n, 0)))
 
 
 def kd_shards(
