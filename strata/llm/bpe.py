@@ -21,7 +21,7 @@ from strata.llm.common import col, content, fresh, without
 
 OUT = ("n_tokens", "ids")
 # Pre-tokens of at most so many bytes are remembered by a worker, in two halves of so much memory each.
-CACHED_BYTES, CACHE_BYTES = 48, 32 << 20
+CACHED_BYTES, CACHE_BYTES = 48, 80 << 20
 # What an entry of a dictionary takes besides its text and its ids.
 ENTRY_BYTES = 190
 SLICE_BYTES = 2 << 20
