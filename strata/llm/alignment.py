@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +32,17 @@ ENTRY_BYTES = 400
 _SPACE = "▁"
 # White space and what follows it, up to a space that comes after something else: no token of either kind crosses such a space.
 # White space at the end stays with the last stretch.
-_stretches = re.compile(r"\s*\S+(?:[^\S ]\s*\S*)*(?:\s+\Z)?|\s+").findall
+_STRETCH = r"\s*\S+(?:[^\S ]\s*\S*)*(?:\s+\Z)?|\s+"
+_stretches = re.compile(_STRETCH).findall
+# Stretches cut further, where the vocabularies allow it: behind a word of Latin letters and digits that a mark or a line's end
+# follows, and behind marks that end a line or come before a space. So the same word is met again whatever mark follows it.
+_WORD, _MARK = "A-Za-z0-9À-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
+_parts = re.compile(rf"\s*[{_WORD}]+(?=[{_MARK}]|[ \n]\s*\S)|[{_MARK}]+(?=[ \n]\s*\S)|{_STRETCH}").findall
+# A token that such a cut would go through; the bytes of one may begin inside a letter.
+_crosses = re.compile(f"[{_WORD}][{_MARK}\n]|[{_MARK}]\n").search
+_crosses_bytes = re.compile(rb"(?:[A-Za-z0-9]|\xc3[\x80-\xbf]|^[\x80-\xbf]+)[!-/:-@\[-`{-~\n]|[!-/:-@\[-`{-~]\n").search
+# What parts without a space in front are encoded behind.
+_LEAD = " a"
 
 
 def byte_letters() -> dict[str, int]:
@@ -59,6 +72,9 @@ class Pair:
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
         # Stretches are independent if no piece goes on after a space that follows something else.
         self.by_stretch = not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces)
+        # Names of control, unknown and byte tokens are no text.
+        plain = [p for i, p in enumerate(pieces) if not (self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_byte(i))]
+        self.by_word = self.by_stretch and not any(map(_crosses, plain)) and not any(map(_crosses_bytes, self.a_bytes))
         self.codes = suffix_pairs(self.a_bytes, self.b_bytes)
         self.names = [list(map(str, range(len(side)))) for side in (self.a_bytes, self.b_bytes)]
         # What is remembered of stretches; when the newer half is full, the older one is dropped.
@@ -68,18 +84,23 @@ class Pair:
 
     def align_all(self, texts: list[str]) -> list[list[tuple]]:
         """For each text, the stretches of a space and the text as (tokens of A, of B, groups as text, codes of the links); none if bytes differ."""
-        lists = [(_stretches(" " + t) if self.by_stretch else [" " + t]) if t else [] for t in texts]
+        split = _parts if self.by_word else _stretches
+        lists = [(split(" " + t) if self.by_stretch else [" " + t]) if t else [] for t in texts]
         known, older = self.known, self.older
-        new = {s for s in set().union(*lists) if s not in known}
+        new = set().union(*lists).difference(known)
         again = [s for s in new if s in older]
         known.update((s, older[s]) for s in again)
         self.used += sum(map(self._size, again))
         new.difference_update(again)
         # What ends in white space would meet the next one's space, and U+2581 the space before it, so they go alone.
         alone = {s for s in new if s[-1].isspace() or _SPACE in s} if self.by_stretch else new
-        joined = list(new - alone)
-        known.update(zip(joined, self._cut(joined)))
-        known.update((s, self._cut([s])[0]) for s in alone)
+        row = list(chain.from_iterable(map(_behind, new - alone)))
+        done = self._cut(row)
+        if done is None:
+            alone = new
+        else:
+            known.update(zip(row, done))
+        known.update((s, (self._cut(_behind(s)) or [None])[-1]) for s in alone)
         out = [list(map(known.__getitem__, parts)) for parts in lists]
         for s in new:
             if len(s) > KNOWN_CHARS:
@@ -94,30 +115,30 @@ class Pair:
         done = self.known[stretch]
         return ENTRY_BYTES + len(stretch) + (len(done[2]) + len(done[3]) if done else 0)
 
-    def _cut(self, stretches: list[str]) -> list[tuple | None]:
-        """Stretches that stand in a row, encoded together and cut where tokens of both kinds end; None where the bytes differ."""
+    def _cut(self, stretches: list[str]) -> list[tuple] | None:
+        """Stretches that stand in a row, encoded together and cut where tokens of both kinds end; None if the bytes differ."""
         if not stretches:
             return []
         text = "".join(stretches)
         raw = text.encode()
         a = self.a.encode(text, add_special_tokens=False)
         # B puts a space before what it is given.
-        b = np.array([(p.id, p.begin, p.end) for p in self.b.encode(text[1:], return_type="proto").pieces], dtype=np.int64).reshape(-1, 3)
-        a_list, b_list = a.ids, b[:, 0].tolist()
+        b = self.b.encode(raw[1:], return_type="offset_mapping")
+        a_list, b_list = a.ids, b["ids"]
         if b"".join(map(self.a_bytes.__getitem__, a_list)) != raw or b"".join(map(self.b_bytes.__getitem__, b_list)) != raw:
-            return [None] if len(stretches) == 1 else [self._cut([s])[0] for s in stretches]
-        a_ids, b_ids = np.array(a_list, dtype=np.int64), b[:, 0]
+            return None
+        a_ids, b_ids = (np.array(ids, dtype=np.int64) for ids in (a_list, b_list))
         # Coarse cuts: ends of spans. A's spans are of characters, B's of the bytes after the space.
-        spans = np.array(a.offsets, dtype=np.int64).reshape(-1, 2)
+        spans, b_spans = (flat_pairs(offsets, len(ids)) for offsets, ids in ((a.offsets, a_ids), (b["offsets"], b_ids)))
         a_coarse = np.concatenate(([0], np.cumsum(utf8_sizes(text))))[spans[:, 1]]
         a_holds = np.append(spans[1:, 0] >= spans[:-1, 1], True)
         a_ends = refined(a_coarse, a_holds, self.a_sizes[a_ids])
-        b_ends = refined(b[:, 2] + 1, b[:, 1] < b[:, 2], self.b_sizes[b_ids])
+        b_ends = refined(b_spans[:, 1] + 1, b_spans[:, 0] < b_spans[:, 1], self.b_sizes[b_ids])
         shared, at_a, at_b = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
         ends = np.cumsum([len(s.encode()) for s in stretches])
         lasts = np.searchsorted(shared, ends)
         if not np.array_equal(shared[np.minimum(lasts, len(shared) - 1)], ends):
-            return [self._cut([s])[0] for s in stretches]
+            return None
         codes = self.codes.find(a_ids[at_a], b_ids[at_b]).tobytes()
         a_names, b_names = list(map(self.names[0].__getitem__, a_list)), list(map(self.names[1].__getitem__, b_list))
         to_a, to_b = (at_a + 1).tolist(), (at_b + 1).tolist()
@@ -133,6 +154,15 @@ class Pair:
         return out
 
 
+def _behind(stretch: str) -> list[str]:
+    """The stretch, with something in front that no token joins it to if it has no space there."""
+    return [stretch] if stretch[0] == " " else [_LEAD, stretch]
+
+
+def flat_pairs(pairs: list[tuple[int, int]], n: int) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(pairs), np.int64, 2 * n).reshape(-1, 2)
+
+
 def utf8_sizes(text: str) -> np.ndarray:
     """Bytes of each character in UTF-8."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -186,6 +216,18 @@ def _row(parts: list[tuple]) -> tuple:
     return sum(n_a), sum(n_b), len(codes), ";".join(groups), pairs, times.astype("<i4")
 
 
+@contextmanager
+def _no_cycles() -> Iterator[None]:
+    """Without searches for cycles: the many small tuples of spans and stretches are in none, and are freed without."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 _pairs: dict[bytes, Pair] = {}
 
 
@@ -216,9 +258,10 @@ def align_tokens(docs: DataFrame, vocabularies: Vocabularies, text: str = "text"
     often each occurs).
 
     Texts are encoded whole. A space after something else ends a token in both vocabularies (that is checked for B), so the
-    stretches between such spaces are encoded together where they are new to a worker, and remembered. Memory follows a text's
-    longest such stretch and its links. Texts that are NULL, empty, or whose tokens don't give the text's bytes back (as with U+2581,
-    which B takes for a space) have no tokens. ``carry`` names the input columns to keep (default: all). Columns of the input
+    stretches between such spaces are encoded together where they are new to a worker, and remembered. Where no token of either holds
+    a letter or digit before a mark, or one of these before a line's end (that is checked for both), words and the marks behind
+    them are stretches of their own. Memory follows a text's longest such stretch and its links. Texts that are NULL, empty, or
+    whose tokens don't give the text's bytes back (as with U+2581, which B takes for a space) have no tokens. ``carry`` names the input columns to keep (default: all). Columns of the input
     named like an added one are replaced.
     """
     docs = without(docs, ALIGNED)
@@ -237,7 +280,8 @@ def align_tokens(docs: DataFrame, vocabularies: Vocabularies, text: str = "text"
                     run.append(texts[done].as_py())
                     size += len(run[-1])
                     done += 1
-                rows = [_row(parts) for parts in pair.align_all(run)]
+                with _no_cycles():
+                    rows = [_row(parts) for parts in pair.align_all(run)]
                 n_a, n_b, n, groups, pairs, times = zip(*rows)
                 offsets = pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32())
                 columns = [c.slice(start, done - start) for c in batch.columns[:-1]]

@@ -126,6 +126,38 @@ def test_pairs_are_bounded_by_the_vocabularies():
     assert len(one) == 1 and ";".join(p[2] for p in parts) == one[0][2] and b"".join(p[3] for p in parts) == one[0][3]
 
 
+def test_words_are_met_again_whatever_follows():
+    """A word is cut and remembered once for all marks and line ends behind it."""
+    pair = Pair(*(open(p, "rb").read() for p in (A, B)))
+    words = [f"{c}{d}zzy" for c in "abcdeéö" for d in "lmnop"]
+    text = " ".join(w + mark for w in words for mark in (",", ".", "!?", ";", ":", ")", ".\nThe", "\nSo"))
+    pair.align_all([text])
+    assert pair.by_word and len(pair.known) < 2 * len(words)
+
+
+def test_cuts_behind_words_and_marks(plain):
+    rng = random.Random(31)
+    items = ["The", "it", "'s", "'t", "don", "naïve", "é", "Ö9", "3", ".14", ",", ".", "!!", '"', "(", ")", "***"]
+    items += ["<0x0A>", "</s>", "e\u0301", "×", "…", "—", "»", "漢", "😀", "µ", "ª"]
+    gaps = ["", "", "", " ", " ", "  ", "\n", "\n\n", " \n ", "\t", "\r\n", "\xa0", "\x0b", "\u2028", "▁"]
+    texts = []
+    for i in range(3000):
+        texts.append("".join(rng.choice(items) + rng.choice(gaps[: -1 if i % 10 else None]) for _ in range(rng.randrange(1, 14))))
+    texts += [".", "\n", " ", ",x", "\nx", "'s", "a. ", "a.\n", "a \n", "x,\ny", "a.\n\n b", "x" * 300 + ", y", "," * 300 + " y"]
+    pair = Pair(*(open(p, "rb").read() for p in (A, B)))
+    assert pair.by_word
+    for of in (texts, texts[::-1], *([t] for t in texts[-100:])):
+        for text, parts in zip(of, pair.align_all(of)):
+            groups, _ = plain.align(text) or ([], [])
+            assert ";".join(p[2] for p in parts) == ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups), text
+            assert sum(p[0] for p in parts) == sum(len(x) for x, _ in groups), text
+    # Each part by itself, without the others of its batch.
+    for text in texts[:300]:
+        pair.known, pair.older = {}, {}
+        groups, _ = plain.align(text) or ([], [])
+        assert ";".join(p[2] for p in pair.align_all([text])[0]) == ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups), text
+
+
 def test_awkward_rows(spark):
     rows = [(1, "a b", "x"), (1, "a b", "x"), (None, None, None), (None, "c", "y"), (3, "", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, pairs string").selectExpr("*", "'k' AS verdict", "'k' AS body", "'k' AS n_best")
