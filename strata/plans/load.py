@@ -404,17 +404,24 @@ def replace_pending(spark: SparkSession, path: str, partition_by: str) -> None:
     """Put complete pending partitions in the place of the old ones, then forget the pending folder.
 
     A partition's old folder is removed and the pending one moved there; nothing is written twice. A run that dies in
-    between leaves the rest pending, and the next merge puts it in place before anything else.
+    between leaves the rest pending, and the next merge puts it in place before anything else. Pending rows that are not
+    in folders by partition, as earlier versions left them, are written to their partitions.
     """
     new = spark._jvm.org.apache.hadoop.fs.Path
     pending = new(f"{path}/{PENDING}")
     files = pending.getFileSystem(spark._jsc.hadoopConfiguration())
     if files.exists(new(pending, "_SUCCESS")):
-        for folder in files.listStatus(pending):
-            name = folder.getPath().getName()
-            if folder.isDirectory() and name.startswith(f"{partition_by}="):
+        flat = False
+        for entry in files.listStatus(pending):
+            name = entry.getPath().getName()
+            if entry.isDirectory() and name.startswith(f"{partition_by}="):
                 files.delete(new(f"{path}/{name}"), True)
-                files.rename(folder.getPath(), new(f"{path}/{name}"))
+                files.rename(entry.getPath(), new(f"{path}/{name}"))
+            elif entry.isFile() and not name.startswith(("_", ".")):
+                flat = True
+        if flat:
+            rows = spark.read.parquet(f"{path}/{PENDING}")
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
     files.delete(pending, True)
 
 
